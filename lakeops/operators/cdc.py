@@ -110,8 +110,18 @@ def with_source(df: DataFrame, source: str = "source") -> DataFrame:
     )
 
 
-def demux(df: DataFrame, tables: Iterable[TableConfig]) -> dict[tuple[str, str], DataFrame]:
-    """One filtered DataFrame per configured (db, table): same-named tables of two databases stay apart."""
+def demux(
+    df: DataFrame, tables: Iterable[TableConfig], stage: str | None = None
+) -> dict[tuple[str, str], DataFrame]:
+    """One filtered DataFrame per configured (db, table): same-named tables of two databases stay apart.
+
+    With `stage` the events are written there once, foldered by (db, table), so each table reads only its own
+    folder; without it, pass a persisted batch.
+    """
+    if stage:
+        writer = df.hint("rebalance", "db", "table").write.mode("overwrite").partitionBy("db", "table")
+        writer.parquet(stage)
+        df = df.sparkSession.read.schema(df.schema).parquet(stage)
     return {(t.db, t.table): df.filter((F.col("db") == t.db) & (F.col("table") == t.table)) for t in tables}
 
 

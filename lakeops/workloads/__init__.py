@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("change_data",)
+FAMILIES = ("change_data", "lake", "star_reports")
 
 
 def _merged(name: str) -> dict:

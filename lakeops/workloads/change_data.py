@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import cdc
-from lakeops.session import table
+from lakeops.session import table, work_path
 
 _OPS = {"signup": "c", "view": "r", "click": "u", "purchase": "u", "error": "d"}
 _ORDER = ["ts_ms", "event_id"]
@@ -66,9 +66,14 @@ def live_by_type(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_counts(spark: SparkSession, sf: str) -> DataFrame:
     parsed = cdc.parse_envelope(change_events(table(spark, sf, "events")))
-    # One pass: the three policies are three action columns, unpivoted after a shared count by op.
+    # Routing looks only at the code and at which payloads exist: count those first, then route the counts.
+    shapes = parsed.groupBy(
+        "op",
+        F.when(F.col("before").isNotNull(), "{}").alias("before"),
+        F.when(F.col("after").isNotNull(), "{}").alias("after"),
+    ).agg(F.count("*").alias("n"))
     parts = [
-        cdc.route(parsed, p).groupBy("action").agg(F.count("*").alias("events")).withColumn("policy", F.lit(p))
+        cdc.route(shapes, p).groupBy("action").agg(F.sum("n").alias("events")).withColumn("policy", F.lit(p))
         for p in cdc.POLICIES
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -81,7 +86,7 @@ def table_action_counts(spark: SparkSession, sf: str) -> DataFrame:
 def demuxed(spark: SparkSession, sf: str) -> DataFrame:
     parsed = cdc.with_source(cdc.route(cdc.parse_envelope(change_events(table(spark, sf, "events"))), "C"))
     parts = []
-    for (db, name), rows in cdc.demux(parsed, _TABLES).items():
+    for (db, name), rows in cdc.demux(parsed, _TABLES, stage=work_path(spark, "demux")).items():
         state = cdc.apply_changelog(
             None,
             cdc.decode(rows.select("ts_ms", "action", cdc.payload().alias("data")), "data", _PAYLOAD),
