@@ -110,7 +110,7 @@ def channel_rollup(flows: DataFrame, date: str, start: str, days: int, limit: in
         (F.sum("profit") - F.sum("loss")).alias("profit"),
     )
     rolled = by_id.rollup("channel", "id").agg(
-        *(F.round(F.sum(c), 2).alias(c) for c in ("sales", "returns", "profit"))
+        *(F.round(F.sum(c), 4).alias(c) for c in ("sales", "returns", "profit"))
     )
     return rolled.orderBy(F.asc_nulls_first("channel"), F.asc_nulls_first("id")).limit(limit)
 

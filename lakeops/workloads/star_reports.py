@@ -213,7 +213,7 @@ ORACLE = {
         union all {_flows('web channel', "'web' || c_mktsegment", _WEB)}),
       x as (select channel, id, sum(sales) as sales, sum(returns) as returns, sum(profit) - sum(loss) as profit from flows
         where cast(d as date) between date '2000-08-23' and date '2000-08-23' + interval 14 day group by 1, 2)
-      select channel, id, round(sum(sales), 2) as sales, round(sum(returns), 2) as returns, round(sum(profit), 2) as profit
+      select channel, id, round(sum(sales), 4) as sales, round(sum(returns), 4) as returns, round(sum(profit), 4) as profit
       from x group by rollup (channel, id) order by channel nulls first, id nulls first limit 100""",
     "star_average_slice": """select p_partkey, round(avg(l_quantity), 6) as agg1, round(avg(l_extendedprice), 6) as agg2,
         round(avg(l_discount), 6) as agg3, round(avg(p_retailprice), 6) as agg4
