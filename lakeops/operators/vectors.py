@@ -200,10 +200,15 @@ def _blocks(queries: DataFrame, corpus: DataFrame, on: list[str], k: int, metric
 def _search(
     queries: DataFrame, corpus: DataFrame, k: int, metric: str, kernel, exclude_self: bool, width: Column, query_bytes: int
 ) -> DataFrame:
-    size = queries.agg(F.count("*").alias("n"), F.sum(width).alias("cells")).head()
-    volume = (size["cells"] or 0) * 16
-    if volume <= query_bytes:
-        shared = queries.sparkSession.sparkContext.broadcast(queries.toPandas())
+    queries = queries.persist()
+    try:
+        size = queries.agg(F.count("*").alias("n"), F.sum(width).alias("cells")).head()
+        volume = (size["cells"] or 0) * 16
+        known = queries.toPandas() if volume <= query_bytes else None
+    finally:
+        queries.unpersist()
+    if known is not None:
+        shared = queries.sparkSession.sparkContext.broadcast(known)
 
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _scan(shared.value, batches, k, metric, kernel, exclude_self)
