@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("change_data", "lake", "star_reports", "scripts", "pipeline_metrics", "retrieval", "documents")
+FAMILIES = ("change_data", "lake", "star_reports", "scripts", "pipeline_metrics", "retrieval", "documents", "logs", "lineage", "streams")
 
 
 def _merged(name: str) -> dict:
