@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 SPACE = "[ \\t\\r\\n]+"
 
 
-def tokens(text: str | Column) -> Column:
-    """Lower-case words split at blanks."""
-    return F.filter(F.split(F.lower(text), SPACE), lambda w: w != "")
+def split_words(text: str | Column) -> Column:
+    """Lower-case words split at blanks; a leading or trailing blank leaves an empty word."""
+    return F.split(F.lower(text), SPACE)
 
 
 def hash_embedder(dim: int = 64) -> Callable[[pd.Series], list[np.ndarray]]:
@@ -26,9 +26,12 @@ def hash_embedder(dim: int = 64) -> Callable[[pd.Series], list[np.ndarray]]:
         digest = hashlib.md5(word.encode()).hexdigest()
         return int(digest[:8], 16) % dim, 1 if int(digest[8], 16) % 2 == 0 else -1
 
+    known: dict[str, tuple[int, int]] = {}
+
     def embed(texts: pd.Series) -> list[np.ndarray]:
-        known: dict[str, tuple[int, int]] = {}
         out = []
+        if len(known) > 1_000_000:
+            known.clear()
         for text in texts:
             vector = np.zeros(dim)
             for word in re.split(SPACE, (text or "").lower()):

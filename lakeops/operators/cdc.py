@@ -74,11 +74,21 @@ def table_config(entry: dict) -> TableConfig:
     )
 
 
+def expand_json(df: DataFrame, column: str, schema: str | T.StructType) -> DataFrame:
+    """Replace a JSON text column by the columns of `schema`; unreadable text gives nulls.
+
+    The text is parsed in a generator (an object reads as a list of one). Catalyst moves filters on plain
+    projections below them and would then parse the text once per filtered field; a generator it leaves alone.
+    """
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    keep = [c for c in df.columns if c != column]
+    return df.select(*keep, F.inline_outer(F.from_json(column, T.ArrayType(fields))))
+
+
 def parse_envelope(df: DataFrame, fmt: str = "debezium", value_col: str = "value") -> DataFrame:
     """Parse change events of one format; payloads stay JSON text. Other columns are kept."""
     keep = [c for c in df.columns if c != value_col]
-    parsed = df.select(*keep, F.from_json(F.col(value_col).cast("string"), ENVELOPES[fmt]).alias("_e"))
-    parsed = parsed.select(*keep, "_e.*")
+    parsed = expand_json(df.select(*keep, F.col(value_col).cast("string").alias("_json")), "_json", ENVELOPES[fmt])
     if fmt == "flink":
         code = F.create_map(*(F.lit(x) for pair in FLINK_OPS.items() for x in pair))
         # "-U" (the old image of an update) has no code and drops out.
@@ -154,7 +164,7 @@ def decode(
             raise ValueError(f"infer={infer!r} needs a schema")
     if isinstance(schema, T.StructType) and not schema.fields:
         return df.select(*keep)
-    return df.select(*keep, F.from_json(payload_col, schema).alias("_p")).select(*keep, "_p.*")
+    return expand_json(df, payload_col, schema)
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

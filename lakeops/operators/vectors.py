@@ -9,6 +9,8 @@ Scores are rounded to nine decimals before ranking, so equal scores tie by id ho
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -49,7 +51,8 @@ def embed(
             yield pd.Series(list(model(texts)))
 
     source = F.col(text_col) if max_chars is None else F.substring(text_col, 1, max_chars)
-    return df.withColumn(out, run(source))
+    # Marked as not repeatable, so that no filter on the result makes Spark call the model twice.
+    return df.withColumn(out, run.asNondeterministic()(source))
 
 
 def prepare_texts(df: DataFrame, text_col: str, max_length: int | None = None, pieces: int | None = None) -> DataFrame:
@@ -69,10 +72,22 @@ def normalize(vector: str | Column) -> Column:
 
 
 def sparse_vectors(df: DataFrame, key: str, text_col: str, out: str = "terms") -> DataFrame:
-    """Term weights 1 + ln(count) per document as a map."""
-    counted = df.select(key, F.explode(words.tokens(text_col)).alias("_t")).groupBy(key, "_t").agg(F.count("*").alias("_n"))
-    entry = F.struct("_t", F.round(F.lit(1.0) + F.log("_n"), 6).alias("_w"))
-    return counted.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(out))
+    """Term weights 1 + ln(count) per document as a map; documents without a word drop out.
+
+    Counting inside the row keeps the words out of a shuffle, which exploding and grouping them would need.
+    """
+
+    def weigh(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for page in pages:
+            maps = []
+            for text in page["_text"]:
+                counts = Counter(word for word in re.split(words.SPACE, text or "") if word)
+                maps.append({t: round(1.0 + math.log(n), 6) for t, n in counts.items()})
+            full = [bool(m) for m in maps]
+            yield pd.DataFrame({key: page[key][full], out: pd.Series(maps, index=page.index, dtype=object)[full]})
+
+    schema = T.StructType([df.schema[key], T.StructField(out, T.MapType(T.StringType(), T.DoubleType()))])
+    return df.select(key, F.lower(text_col).alias("_text")).mapInPandas(weigh, schema)
 
 
 # --- scoring kernels (numpy inside one task) --------------------------------------------------------------
@@ -285,10 +300,10 @@ def sparse_topk(
     return found.select("query_id", "rank", "doc_id", "score")
 
 
-def vocabulary(corpus: DataFrame, terms: str = "terms", fallback: int = 100) -> DataFrame:
-    """Distinct terms of the corpus, or `term1..termN` if there are none."""
+def vocabulary(corpus: DataFrame, terms: str = "terms", fallback: int = 0) -> DataFrame:
+    """Distinct terms of the corpus; with `fallback`, `term1..termN` if there are none."""
     found = corpus.select(F.explode(F.map_keys(terms)).alias("term")).distinct()
-    if found.isEmpty():
+    if fallback and found.isEmpty():
         spark = corpus.sparkSession
         return spark.range(1, fallback + 1).select(F.concat(F.lit("term"), F.col("id").cast("string")).alias("term"))
     return found

@@ -41,6 +41,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, bytes_per_task: int = 32 * 1024 * 1024) -> DataFrame:
+    """Spread a small table over all tasks before costly per-row work.
+
+    A small Parquet file is one row group and so one task. A table with enough bytes for every task is returned as
+    it is: large inputs are never shuffled for this.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = parallelism(df.sparkSession)
+    return df.repartition(tasks) if size < tasks * bytes_per_task else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import cdc
-from lakeops.session import table, work_path
+from lakeops.session import spread, table, work_path
 
 _OPS = {"signup": "c", "view": "r", "click": "u", "purchase": "u", "error": "d"}
 _ORDER = ["ts_ms", "event_id"]
 _PAYLOAD = "user_id bigint, event_id bigint, event_type string, value double"
-_TABLES = [cdc.TableConfig(db, name, ("user_id",)) for db in ("crm", "shop") for name in ("visits", "users")]
+_TABLES = [cdc.TableConfig(db, name, ("user_id",), schema=_PAYLOAD) for db in ("crm", "shop") for name in ("visits", "users")]
 
 
 def op_code() -> Column:
@@ -27,6 +27,8 @@ def ts_ms() -> Column:
 
 def change_events(events: DataFrame, extra: bool = False) -> DataFrame:
     """`events` as change-event JSON text in `value`; purchases carry one more payload field with `extra`."""
+    if not events.isStreaming:
+        events = spread(events)
     fields = [F.col(c) for c in ("user_id", "event_id", "event_type", "value")]
     if extra:
         fields.append(F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"))
@@ -158,7 +160,7 @@ def delete_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nearest_time(spark: SparkSession, sf: str) -> DataFrame:
-    raw = table(spark, sf, "events").select(
+    raw = spread(table(spark, sf, "events")).select(
         F.to_json(F.struct(F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp"))).alias("timeStamp"),
                            F.struct(F.struct(F.col("user_id").cast("string").alias("vin")).alias("unit")).alias("Data"))).alias("kafka_data"),
         F.col("ts").cast("timestamp").alias("kafka_time"),
@@ -193,7 +195,7 @@ def ddl_log(spark: SparkSession, sf: str) -> DataFrame:
         F.to_json(F.struct(db.alias("db"), name.alias("table"), ts_ms().alias("ts_ms"), F.col("event_id").cast("int").alias("pos"))).alias("source"),
         F.concat(F.lit("ALTER TABLE "), name, F.lit(" ADD COLUMN c"), F.col("event_id").cast("string"), F.lit(" int")).alias("ddl"),
     )
-    log = table(spark, sf, "events").select(F.to_json(event).alias("value"))
+    log = spread(table(spark, sf, "events")).select(F.to_json(event).alias("value"))
     return cdc.schema_changes(log, "shop")
 
 
@@ -223,7 +225,7 @@ def flink_state(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("event_type") == "view", "-U").otherwise("+U")
     )
     data = F.struct("user_id", "event_id", "event_type", "value", ts_ms().alias("ts_ms"))
-    log = table(spark, sf, "events").select(F.to_json(F.struct(data.alias("data"), code.alias("op"))).alias("value"))
+    log = spread(table(spark, sf, "events")).select(F.to_json(F.struct(data.alias("data"), code.alias("op"))).alias("value"))
     routed = cdc.route(cdc.parse_envelope(log, "flink"), "C", before="data", after="data")
     changes = cdc.decode(routed.select("action", "data"), "data", f"{_PAYLOAD}, ts_ms bigint")
     return cdc.apply_changelog(None, changes, ["user_id"], _ORDER).drop("ts_ms")
@@ -231,7 +233,7 @@ def flink_state(spark: SparkSession, sf: str) -> DataFrame:
 
 def replication_rows(spark: SparkSession, sf: str) -> DataFrame:
     data = F.struct("event_id", "user_id", F.col("value").alias("price"))
-    log = table(spark, sf, "events").select(
+    log = spread(table(spark, sf, "events")).select(
         F.to_json(
             F.struct(
                 F.when(F.col("event_type") != "error", data).alias("data"),

@@ -144,9 +144,9 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_array(spark: SparkSession, sf: str) -> DataFrame:
-    """Array files of up to 64 turns of a conversation, an element per turn."""
+    """Array files, each with the first (second, ...) thousand turns of a hundred conversations."""
     path = work_path(spark, "arrays")
-    turns = table(spark, sf, "conversations").groupBy("conv_id", F.floor(F.col("turn") / 64)).agg(
+    turns = table(spark, sf, "conversations").groupBy(F.floor(F.col("conv_id") / 100), F.floor(F.col("turn") / 1000)).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("conv_id", "turn", "role"))), ","), F.lit("]")).alias("value")
     )
     turns.select("value").write.option("maxRecordsPerFile", 1).text(path)

@@ -34,11 +34,13 @@ def cow_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return lake.snapshot()
 
 
-def _commits(spark: SparkSession, sf: str):
-    """The routed change stream in four commits of about a week."""
+def _commits(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The routed change stream as four batches of about a week, each its own folder."""
     changes = cd._decoded(spark, sf)
     week = F.least(F.floor((F.dayofmonth(F.timestamp_millis("ts_ms")) - 1) / 8), F.lit(3)).cast("int")
-    return [changes.filter(week == i) for i in range(4)]
+    path = work_path(spark, "batches")
+    tables.bulk_insert(changes.withColumn("week", week), path, ["week"])
+    return [spark.read.schema(changes.schema).parquet(f"{path}/week={i}") for i in range(4)]
 
 
 def _mor(spark: SparkSession, sf: str, compact: bool) -> DataFrame:

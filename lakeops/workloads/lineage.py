@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import unescape
 from lakeops.operators import lineage
-from lakeops.session import table
+from lakeops.session import spread, table
 
 _NAMESPACE = "redshift://host:5439"
 _KINDS = ["DDL", "CTAS", "COPY", "INSERT", "UNLOAD", "SELECT"]
@@ -169,8 +169,8 @@ def table_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 def _logs(spark: SparkSession, sf: str) -> DataFrame:
     """Job logs: whole events, events split in two or three parts, and heads that never end."""
-    source = table(spark, sf, "events").select(
-        F.concat(F.lit("job-"), (F.col("user_id") % 4).cast("string")).alias("stream"),
+    source = spread(table(spark, sf, "events")).select(
+        F.concat(F.lit("job-"), (F.col("event_id") % 256).cast("string")).alias("stream"),
         "event_id",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
         (F.col("event_id") % 5).alias("kind"),
@@ -223,7 +223,7 @@ def log_position(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _crawl_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    base = table(spark, sf, "events").withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    base = spread(table(spark, sf, "events")).withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
     crawler = F.concat(F.lit("crawler-"), (F.col("user_id") % 3).cast("string"))
     crawls = base.filter("event_type in ('click', 'purchase')").select(
         F.concat(F.lit("c"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("crawl_id"),
@@ -330,10 +330,10 @@ ORACLE = {
         'mid' || (query_id % 3) || '|' || source_table as tables from edges""",
     "lineage_upstream_tables": f"""with {_BASE} select distinct target_table as downstream_table, unnest([source_table, 'mid' || (query_id % 3)]) as upstream_table from edges""",
     "lineage_table_sources": f"""with {_BASE} select target_table, string_agg(distinct source_table, ',' order by source_table) as sources from edges group by 1""",
-    "lineage_log_events": """select 'job-' || (user_id % 4) as stream, case when event_id % 5 = 1 then 'incomplete' else 'complete' end as state,
+    "lineage_log_events": """select 'job-' || (event_id % 256) as stream, case when event_id % 5 = 1 then 'incomplete' else 'complete' end as state,
       cast(event_id as varchar) as run, case when event_id % 5 <> 1 then event_type end as type,
       case when event_id % 5 <> 1 then cast(regexp_extract(props, '([0-9]+)', 1) as bigint) end as k from events""",
-    "lineage_log_position": """select 'job-' || (user_id % 4) as stream,
+    "lineage_log_position": """select 'job-' || (event_id % 256) as stream,
       max(epoch_us(ts) // 1000 + case event_id % 5 when 0 then 20 when 1 then 500 when 2 then 9 else 0 end) + 1 as next_ms,
       cast(sum(case event_id % 5 when 0 then 3 when 1 then 2 when 2 then 3 else 1 end) as bigint) as events from events group by 1""",
     "lineage_crawl_match": f'with {_CRAWLS} select "table", crawler, crawl_id, created_ms, start_ms, end_ms from m where r = 1',

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import logs, sinks
-from lakeops.session import table, work_path
+from lakeops.session import spread, table, work_path
 from lakeops.sources import readers
 
 # One line layout per log type. {d} date, {s} slash date, {t} time, {ms} milliseconds.
@@ -71,7 +71,7 @@ def _by_type(column, other: str) -> str:
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     noise = "concat('??? ', props)"
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id",
         F.lit("shop").alias("subsystem"),
         F.expr(_by_type(lambda i: f"'{LAYOUTS[i][0]}'", "'core'")).alias("logs_topic"),

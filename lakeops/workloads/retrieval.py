@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.text import hash_embedder
 from lakeops.operators import vectors
-from lakeops.session import table
+from lakeops.session import spread, table, work_path
 
 # Platforms of the vector documents.
 PLATFORMS = ["web", "mobile", "desktop", "api", "iot", "cloud"]
@@ -59,7 +59,7 @@ def knn_filtered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _doc_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return vectors.sparse_vectors(table(spark, sf, "documents"), "doc_id", "text")
+    return vectors.sparse_vectors(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def sparse(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,11 +75,12 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 def _hybrid_parts(spark: SparkSession, sf: str):
     """Per label: its mean vector and the eight terms found in most of its documents."""
     docs = _embeddings(spark, sf)
-    terms = _doc_terms(spark, sf)
+    # The term table is read twice, so it is written once.
+    path = work_path(spark, "terms")
+    _doc_terms(spark, sf).write.parquet(path)
+    terms = spark.read.parquet(path)
     labelled = terms.join(docs.select("doc_id", "label"), "doc_id")
     spread = labelled.select("label", F.explode(F.map_keys("terms")).alias("term")).groupBy("label", "term").agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
-
     top = spread.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "term"))).filter("r <= 8")
     entry = F.struct("term", (F.lit(5.0) - F.col("r") * 0.5).alias("w"))
     queries = top.groupBy(F.col("label").alias("query_id")).agg(F.map_from_entries(F.collect_list(entry)).alias("terms"))
@@ -111,7 +112,7 @@ def recall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def embed_hash(spark: SparkSession, sf: str) -> DataFrame:
-    texts = vectors.prepare_texts(table(spark, sf, "documents"), "text")
+    texts = vectors.prepare_texts(spread(table(spark, sf, "documents").select("doc_id", "text")), "text")
     embedded = vectors.embed(texts.select("doc_id", "text"), "text", hash_embedder, "embedding")
     places = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "weight"))
     return places.filter("weight <> 0").select("doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("weight", 6).alias("weight"))
