@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import parent_path, unescape
 from lakeops.operators.ordered import CHUNK, running_max, with_chunk
+from lakeops.session import shared_dir
 
 # Query kinds that move data, and the identifiers the event format asks for.
 QUERY_TYPES = ("DDL", "CTAS", "COPY", "INSERT", "UNLOAD")
@@ -222,8 +223,20 @@ def extract_log_events(
     complete = lines.filter(whole).select("stream", "event_id", "timestamp", F.col("body").alias("event"))
 
     order = ["timestamp", "event_id", "line_no"]
-    rest = with_chunk(lines.filter(~whole), "timestamp")
     is_head = F.col("body").isNotNull()
+    bucket = F.floor(F.col("timestamp") / stitch_ms).alias("_bucket")
+    heads = lines.filter(is_head & ~whole).select("stream", "event_id", "timestamp", "line_no", "body")
+    # Only lines close to a head can belong to one: few of a whole log, kept on shared storage for the steps below.
+    near = heads.select("stream", F.explode(F.array(bucket, bucket + 1)).alias("_bucket")).distinct()
+    shared_dir(logs.sparkSession)
+    rest = (
+        lines.filter(~whole)
+        .select("*", bucket)
+        .join(near, ["stream", "_bucket"], "left_semi")
+        .select("stream", *order, "line", "body")
+        .checkpoint()
+    )
+    rest = with_chunk(rest, "timestamp")
     head = F.when(is_head, F.struct(*order, "body"))
     placed = running_max(rest, ["stream"], order, head, "_head", strict=True).drop(CHUNK)
     in_reach = (
@@ -232,7 +245,7 @@ def extract_log_events(
         & (F.col("event_id") != F.col("_head.event_id"))
         & (F.col("timestamp") <= F.col("_head.timestamp") + stitch_ms)
     )
-    heads = lines.filter(is_head & ~whole).select("stream", "event_id", "timestamp", "line_no", "body")
+    heads = rest.filter(is_head).select("stream", "event_id", "timestamp", "line_no", "body")
     tails = placed.filter(in_reach).select(
         "stream",
         F.col("_head.event_id").alias("event_id"),

@@ -25,9 +25,10 @@ def with_chunk(df: DataFrame, order: str, pieces: int | None = None, name: str =
     values are spread. They are taken once and become literals: every later use agrees on the ranges.
     """
     pieces = pieces or 4 * parallelism(df.sparkSession)
+    accuracy = max(10_000, 10 * pieces)
     shares = ",".join(f"{i / pieces!r}D" for i in range(1, pieces))
     cuts = df.agg(
-        F.expr(f"percentile_approx(cast(`{order}` as double), array({shares}), 10000)").alias("c")
+        F.expr(f"percentile_approx(cast(`{order}` as double), array({shares}), {accuracy})").alias("c")
     ).head()["c"]
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     if len(splits) == 2:

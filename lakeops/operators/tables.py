@@ -252,6 +252,12 @@ class ParquetTable:
             df, keys, lambda current, source: cdc.merge_rows(current, source, keys, update, insert), df, batch_id, writer
         )
 
+    def upsert(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], batch_id: int | None = None, writer: str = "w"
+    ) -> int:
+        """Upsert the latest row per key of `df`; `order` is the precombine column and its tie-breaks."""
+        return self.merge(cdc.dedupe_latest(df, keys, order), keys, batch_id=batch_id, writer=writer)
+
     def delete(self, key_rows: DataFrame, keys: Sequence[str], batch_id: int | None = None, writer: str = "w") -> int:
         """Remove the rows whose key is listed."""
         return self._change(
@@ -287,9 +293,15 @@ class ParquetTable:
             manifest = {**manifest, "schema": new_rows.schema.json()}
         old = T.StructType.fromJson(json.loads(manifest["schema"]))
         schema = cdc.merge_schemas(old, new_rows.schema) if new_rows is not None else old
-        touched = list(manifest["parts"]) if self._retyped(manifest, schema) else self._touched(manifest, source, keys)
-        current = cdc.align(self._read(manifest, {p: manifest["parts"][p] for p in touched}), schema)
-        return self._write(manifest, cdc.align(rewrite(current, source), schema), touched, batch_id, writer, schema)
+        source = source.persist()  # read for the touched partitions, the anti join and the new rows
+        try:
+            touched = (
+                list(manifest["parts"]) if self._retyped(manifest, schema) else self._touched(manifest, source, keys)
+            )
+            current = cdc.align(self._read(manifest, {p: manifest["parts"][p] for p in touched}), schema)
+            return self._write(manifest, cdc.align(rewrite(current, source), schema), touched, batch_id, writer, schema)
+        finally:
+            source.unpersist()
 
     def _touched(self, manifest: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
         """Partitions that hold a key of `source`: a key-only scan; at most one row per partition comes back."""
@@ -436,6 +448,30 @@ class CatalogTable:
         on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
         return f"DELETE FROM {self.name} t WHERE EXISTS (SELECT 1 FROM {source} s WHERE {on})"
 
+    @property
+    def schema(self) -> T.StructType | None:
+        return self.spark.table(self.name).schema if self.spark.catalog.tableExists(self.name) else None
+
+    def apply_sql(self, source: str, keys: Sequence[str], columns: Sequence[str]) -> str:
+        """One MERGE for upserts and deletes: `source` holds the last change per key with its `action`."""
+        on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+        sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns)
+        names, values = ", ".join(f"`{c}`" for c in columns), ", ".join(f"s.`{c}`" for c in columns)
+        return (
+            f"MERGE INTO {self.name} t USING {source} s ON {on} WHEN MATCHED AND s.action = 'delete' THEN DELETE "
+            f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED AND s.action <> 'delete' THEN INSERT ({names}) VALUES ({values})"
+        )
+
+    def apply(self, changes: DataFrame, keys, order, mode: str = "latest", batch_id: int | None = None) -> None:
+        """Apply routed changes; the table format's own commit makes a repeated batch harmless, as keys decide."""
+        if mode != "latest":
+            raise ValueError("a single MERGE keeps event order; use mode='latest'")
+        last = cdc.dedupe_latest(changes, keys, order)
+        columns = [c for c in changes.columns if c != "action"]
+        if self.schema is None:
+            self.create(changes.select(*columns).schema)
+        self._with_view(last, lambda view: self.apply_sql(view, keys, columns))
+
     def merge(self, df: DataFrame, keys, update=None, insert=None) -> None:
         """Errors propagate, so a stream never commits past a failed merge."""
         self._with_view(df, lambda view: self.merge_sql(view, keys, update, insert))

@@ -363,11 +363,17 @@ def train_cells(corpus: DataFrame, cells: int, vector: str = "embedding", seed:
     return corpus.sparkSession.createDataFrame(rows, "cell bigint, embedding array<double>")
 
 
-def nearest_cells(df: DataFrame, centres: DataFrame, probes: int = 1, vector: str = "embedding", limit: int = 100_000) -> DataFrame:
-    """Each row once per nearest cell (`cell`, by Euclidean distance; ties by cell)."""
-    known = centres.orderBy("cell").limit(limit + 1).toPandas()
-    if len(known) > limit:
-        raise ValueError(f"more than {limit} cells")
+def nearest_cells(
+    df: DataFrame, centres: DataFrame, probes: int = 1, vector: str = "embedding", centre_bytes: int = 4 * QUERY_BYTES
+) -> DataFrame:
+    """Each row once per nearest cell (`cell`, by Euclidean distance; ties by cell).
+
+    The centres, a number the caller chose, go to every task and must fit `centre_bytes`.
+    """
+    volume = centres.agg(F.sum(F.size("embedding")) * 8).head()[0] or 0
+    if volume > centre_bytes:
+        raise ValueError(f"{volume} bytes of cell centres, at most {centre_bytes}: train fewer cells")
+    known = centres.orderBy("cell").toPandas()
     shared = df.sparkSession.sparkContext.broadcast((known["cell"].to_numpy(), _matrix(known["embedding"])))
 
     @F.pandas_udf("array<bigint>")
@@ -404,9 +410,11 @@ def cell_knn(
     A large cell is split over several tasks (its queries are copied to each) and a crowded query cell likewise,
     so the cell that holds a third of the corpus costs no more per task than the others.
     """
+    centres = centres.persist()  # small, and read once per side
     q = nearest_cells(_keyed(queries, query_id, query_vector, "query_id"), centres, probes, "_vec")
     d = nearest_cells(_keyed(corpus, doc_id, doc_vector, "doc_id"), centres, 1, "_vec")
 
+    centres.unpersist()
     # One row per cell, no more than there are centres.
     sizes = (
         d.select("cell", F.lit(1).alias("_d"), F.lit(0).alias("_q"))

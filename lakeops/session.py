@@ -58,9 +58,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master without that setting gets a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):

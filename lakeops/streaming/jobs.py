@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.functions.jsonx import infer_schema
 from lakeops.operators import cdc, docs, sinks
-from lakeops.operators.tables import MergeOnReadTable, ParquetTable
+from lakeops.operators.tables import CatalogTable, MergeOnReadTable, ParquetTable
 
 
 def checkpoint_path(root: str, job: str) -> str:
@@ -84,20 +85,25 @@ def apply_batch(
     batch: DataFrame,
     batch_id: int,
     tables: Sequence[cdc.TableConfig],
-    lakes: Mapping[tuple[str, str], ParquetTable],
+    lakes: Mapping[tuple[str, str], ParquetTable | CatalogTable],
     fmt: str = "debezium",
     policy: str = "C",
     mode: str = "latest",
+    at_once: int = 4,
 ) -> None:
-    """Apply one micro-batch of raw change events to the configured tables."""
+    """Apply one micro-batch of raw change events to the configured tables, `at_once` of them in parallel."""
     parsed = cdc.with_source(cdc.parse_envelope(batch, fmt)).persist()
-    try:
-        for table in tables:
-            lake = lakes[(table.db, table.table)]
-            changes = decoded_changes(parsed, table, policy, lake.schema)
-            if not set(table.primary_key) <= set(changes.columns):
-                continue  # no event of this table in the batch
+
+    def apply_one(table: cdc.TableConfig) -> None:
+        lake = lakes[(table.db, table.table)]
+        changes = decoded_changes(parsed, table, policy, lake.schema)
+        if set(table.primary_key) <= set(changes.columns):  # else the batch has no event of this table
             lake.apply(changes, table.primary_key, change_order(changes, table), mode, batch_id)
+
+    try:
+        # Tables are independent: several at a time keep the cluster busy while small ones commit.
+        with ThreadPoolExecutor(max_workers=max(1, min(len(tables), at_once))) as pool:
+            list(pool.map(apply_one, tables))
     finally:
         parsed.unpersist()
 
@@ -111,9 +117,13 @@ def start_cdc(
     fmt: str = "debezium",
     policy: str = "C",
     mode: str = "latest",
+    lakes: Mapping[tuple[str, str], ParquetTable | CatalogTable] | None = None,
 ) -> StreamingQuery:
-    """Keep one lake table per configured source table up to date from a stream with a `value` column."""
-    lakes = open_tables(stream.sparkSession, tables, root)
+    """Keep one lake table per configured source table up to date from a stream with a `value` column.
+
+    The targets are Parquet tables below `root` unless `lakes` names others, such as catalog tables.
+    """
+    lakes = lakes or open_tables(stream.sparkSession, tables, root)
     return start(
         stream, lambda batch, batch_id: apply_batch(batch, batch_id, tables, lakes, fmt, policy, mode), checkpoint, interval
     )

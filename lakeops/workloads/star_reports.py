@@ -14,7 +14,9 @@ from lakeops.session import table
 
 
 def over_average(spark: SparkSession, sf: str) -> DataFrame:
-    returns = table(spark, sf, "lineitem").filter((F.col("l_returnflag") == "R") & (F.year("l_shipdate") == 2000))
+    returns = table(spark, sf, "lineitem").filter(
+        (F.col("l_returnflag") == "R") & star.between_dates("l_shipdate", "2000-01-01", "2001-01-01")
+    )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     totals = (
         returns.join(orders, returns["l_orderkey"] == orders["o_orderkey"])
@@ -49,7 +51,7 @@ def brand_month(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def growth_compare(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem")
+    lines = table(spark, sf, "lineitem").filter(star.between_dates("l_shipdate", "1998-01-01", "2000-01-01"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     cost = F.col("l_extendedprice") * F.col("l_tax")
@@ -75,14 +77,17 @@ def channel_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
     def flows(rows: DataFrame, channel: str, ident) -> DataFrame:
         name = F.concat(F.lit(channel.split()[0]), ident.cast("string"))
-        base = [F.lit(channel).alias("channel"), name.alias("id"), F.col("l_shipdate").alias("d")]
-        sold = rows.filter("l_returnflag <> 'R'").select(
-            *base, price.alias("sales"), profit.alias("profit"), zero.alias("returns"), zero.alias("loss")
-        )
-        returned = rows.filter("l_returnflag = 'R'").select(
-            *base, zero.alias("sales"), zero.alias("profit"), price.alias("returns"), (price * F.col("l_tax")).alias("loss")
+        # Sales and returns live in one table here, so their union is one pass with conditional amounts.
+        returned = F.col("l_returnflag") == "R"
+        return rows.filter(F.col("l_returnflag").isNotNull()).select(
+            F.lit(channel).alias("channel"),
+            name.alias("id"),
+            F.col("l_shipdate").alias("d"),
+            F.when(returned, zero).otherwise(price).alias("sales"),
+            F.when(returned, zero).otherwise(profit).alias("profit"),
+            F.when(returned, price).otherwise(zero).alias("returns"),
+            F.when(returned, price * F.col("l_tax")).otherwise(zero).alias("loss"),
         )
-        return sold.unionByName(returned)
 
     store = flows(facts.filter("o_orderpriority in ('1-URGENT', '2-HIGH')"), "store channel", F.col("l_suppkey"))
     catalog = flows(
@@ -105,7 +110,7 @@ def channel_rollup(spark: SparkSession, sf: str) -> DataFrame:
 def average_slice(spark: SparkSession, sf: str) -> DataFrame:
     facts = (
         table(spark, sf, "lineitem").filter((F.col("l_discount") == 0.05) | (F.col("l_tax") == 0.02))
-        .join(table(spark, sf, "orders").filter(F.year("o_orderdate") == 2000), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf, "orders").filter(star.between_dates("o_orderdate", "2000-01-01", "2001-01-01")), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation").filter("n_regionkey = 2"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -117,7 +122,7 @@ def average_slice(spark: SparkSession, sf: str) -> DataFrame:
 def loss_slice(spark: SparkSession, sf: str) -> DataFrame:
     facts = (
         table(spark, sf, "lineitem").filter(
-            (F.col("l_returnflag") == "R") & (F.year("l_shipdate") == 1999) & (F.month("l_shipdate") == 11)
+            (F.col("l_returnflag") == "R") & star.between_dates("l_shipdate", "1999-11-01", "1999-12-01")
         )
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(

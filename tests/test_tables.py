@@ -22,6 +22,7 @@ def test_upsert_delete_and_replay(spark):
     version = lake.merge(frame(spark, [(2, "b", 99)]), ["id"], batch_id=1)
     assert version == lake.version == 2
     lake.delete(frame(spark, [(1, "", 0), (77, "", 0)]), ["id"], batch_id=2)
+    lake.upsert(frame(spark, [(3, "x", 7), (3, "c", 30)]), ["id"], ["v"], batch_id=3)
     assert rows(lake.snapshot(), "id") == [(2, "b", 20), (3, "c", 30)]
 
 
@@ -99,4 +100,5 @@ def test_catalog_statements():
     )
     assert "UPDATE SET t.`a` = s.`a` WHEN NOT MATCHED THEN INSERT (`id`, `a`) VALUES (s.`id`, s.`a`)" in lake.merge_sql("s", ["id"], ["a"], ["id", "a"])
     assert "WHERE EXISTS (SELECT 1 FROM s s WHERE t.`id` = s.`id`)" in lake.delete_sql("s", ["id"])
+    assert "WHEN MATCHED AND s.action = 'delete' THEN DELETE WHEN MATCHED THEN UPDATE SET t.`v` = s.`v`" in lake.apply_sql("s", ["id"], ["v"])
     assert lake.create_sql(properties={"format-version": "2"}, partition="days(t)").endswith("PARTITIONED BY (days(t)) TBLPROPERTIES ('format-version'='2')")
