@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +11,33 @@ from lakeops.functions.text import parent_path, unescape
 from lakeops.operators.ordered import CHUNK, running_max, with_chunk
 from lakeops.session import shared_dir
 
-# Query kinds that move data, and the identifiers the event format asks for.
+# Query kinds that move data, texts that mark events in job logs, and the identifiers of the events.
 QUERY_TYPES = ("DDL", "CTAS", "COPY", "INSERT", "UNLOAD")
 MAX_PARTS = 320
+SPARK_MARKER = "INFO [spark-listener-group-shared] transports.ConsoleTransport "
+TASK_MARKER = "{console.py:30} INFO - "
+JOB_PREFIX = "redshift-query-"
+JOB_INTEGRATION = "Redshift"
+CRAWL_JOBS = "glue_crawler"
+CRAWL_INTEGRATION = "glue"
 EVENT_SCHEMA = "https://openlineage.io/spec/2-0-2/OpenLineage.json#/$defs/RunEvent"
-COLUMN_FACET_SCHEMA = "https://openlineage.io/spec/facets/1-0-1/ColumnLineageDatasetFacet.json"
-LOG_MARKER = "ConsoleTransport"
+QUERY_PRODUCER = "https://github.com/OpenLineage/OpenLineage/blob/v1-0-0/client"
+SQL_PRODUCER = "https://github.com/OpenLineage/OpenLineage/tree/0.10.0/integration/sql"
+SQL_SCHEMA = "https://raw.githubusercontent.com/OpenLineage/OpenLineage/main/spec/OpenLineage.json#/definitions/SQLJobFacet"
+DATASET_SCHEMA = "https://raw.githubusercontent.com/OpenLineage/OpenLineage/main/spec/OpenLineage.json#/definitions/SchemaDatasetFacet"
+JOB_TYPE_SCHEMA = "https://openlineage.io/spec/facets/2-0-2/JobTypeJobFacet.json"
+COLUMN_PRODUCER = "https://github.com/OpenLineage/OpenLineage/tree/1.4.1/integration/"
+COLUMN_SCHEMA = "https://openlineage.io/spec/facets/1-0-1/ColumnLineageDatasetFacet.json"
+CRAWL_PRODUCER = "https://github.com/OpenLineage/OpenLineage/tree/1.9.1/integration/glue"
+CRAWL_JOB_TYPE_SCHEMA = "https://openlineage.io/spec/facets/2-0-2/JobTypeJobFacet.json#/$defs/JobTypeJobFacet"
+CRAWL_DATASET_SCHEMA = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json#/$defs/SchemaDatasetFacet"
+CRAWL_COLUMN_SCHEMA = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json#/$defs/ColumnLineageDatasetFacet"
+SYMLINK_SCHEMA = "https://openlineage.io/spec/facets/1-0-0/SymlinksDatasetFacet.json#/$defs/SymlinksDatasetFacet"
+RUN_SCHEMA = "https://openlineage.io/spec/2-0-2/OpenLineage.json#/$defs/RunFacet"
+
+
+def _facet(producer: str, schema: str, *content: Column) -> Column:
+    return F.struct(F.lit(producer).alias("_producer"), F.lit(schema).alias("_schemaURL"), *content)
 
 
 # --- query history ----------------------------------------------------------------------------------------
@@ -110,7 +131,9 @@ def dataset_nodes(tables: DataFrame, queries: DataFrame, columns: DataFrame, nam
     node = F.struct(
         F.lit(namespace).alias("namespace"),
         name.alias("name"),
-        F.struct(F.struct(F.coalesce("fields", F.array()).alias("fields")).alias("schema")).alias("facets"),
+        F.struct(_facet(SQL_PRODUCER, DATASET_SCHEMA, F.coalesce("fields", F.array()).alias("fields")).alias("schema")).alias(
+            "facets"
+        ),
     )
     return known.select("query_id", "role", name.alias("name"), node.alias("node"))
 
@@ -131,7 +154,7 @@ def run_events(queries: DataFrame, nodes: DataFrame, facets: DataFrame, namespac
     joined = queries.join(sides, "query_id").join(columns, "query_id", "left").withColumn("run_id", run_id)
     lineage = F.when(
         F.col("columns").isNotNull(),
-        F.struct(F.lit(COLUMN_FACET_SCHEMA).alias("_schemaURL"), F.col("columns").alias("fields")),
+        _facet(COLUMN_PRODUCER, COLUMN_SCHEMA, F.col("columns").alias("fields")),
     )
     first = F.get("outputs", F.lit(0))
     outputs = F.transform(
@@ -147,7 +170,7 @@ def run_events(queries: DataFrame, nodes: DataFrame, facets: DataFrame, namespac
         F.struct(F.lit("COMPLETE").alias("event_type"), F.col("end_time").alias("event_time")),
     )
     rows = joined.withColumn("outputs", F.when(first.isNotNull(), outputs)).withColumn("_phase", F.explode(phases))
-    rows = rows.select("*", "_phase.*").withColumn("job_name", F.concat(F.lit("redshift-query-"), "run_id"))
+    rows = rows.select("*", "_phase.*").withColumn("job_name", F.concat(F.lit(JOB_PREFIX), "run_id"))
     event = F.struct(
         F.col("event_type").alias("eventType"),
         F.col("event_time").cast("string").alias("eventTime"),
@@ -155,10 +178,16 @@ def run_events(queries: DataFrame, nodes: DataFrame, facets: DataFrame, namespac
         F.struct(
             F.lit(namespace).alias("namespace"),
             F.col("job_name").alias("name"),
-            F.struct(F.struct(F.col("query_txt").alias("query")).alias("sql")).alias("facets"),
+            F.struct(
+                _facet(SQL_PRODUCER, SQL_SCHEMA, F.col("query_txt").alias("query")).alias("sql"),
+                _facet(
+                    QUERY_PRODUCER, JOB_TYPE_SCHEMA, F.lit(JOB_INTEGRATION).alias("integration"), F.lit("Query").alias("jobType")
+                ).alias("jobType"),
+            ).alias("facets"),
         ).alias("job"),
         "inputs",
         "outputs",
+        F.lit(QUERY_PRODUCER).alias("producer"),
         F.lit(EVENT_SCHEMA).alias("schemaURL"),
     )
     return rows.select("run_id", "event_type", "event_time", "job_name", "inputs", "outputs", F.to_json(event).alias("event"))
@@ -199,17 +228,16 @@ def table_lineage(edges: DataFrame, target: str = "target_table", source: str =
 # --- events from job logs ---------------------------------------------------------------------------------
 
 
-def log_messages(logs: DataFrame, marker: str = LOG_MARKER) -> DataFrame:
+def log_messages(logs: DataFrame, marker: str = SPARK_MARKER) -> DataFrame:
     """Lines of the log events with, on marker lines, the text from the first `{` after the marker."""
     lines = logs.select("stream", "event_id", "timestamp", F.posexplode(F.split("message", "\n")).alias("line_no", "line"))
-    after = F.locate(marker, F.col("line")) + len(marker)
-    at = F.expr(f"locate('{{', line, locate('{marker}', line) + {len(marker)})")
-    body = F.when((F.locate(marker, F.col("line")) > 0) & (at >= after), F.expr("substring(line, 1)").substr(at, F.length("line")))
-    return lines.withColumn("body", body)
+    found = F.locate(marker, F.col("line"))
+    begin = F.position(F.lit("{"), F.col("line"), found + len(marker))
+    return lines.withColumn("body", F.when((found > 0) & (begin > 0), F.substr("line", begin)))
 
 
 def extract_log_events(
-    logs: DataFrame, marker: str = LOG_MARKER, stitch_ms: int = 100
+    logs: DataFrame, marker: str = SPARK_MARKER, stitch_ms: int = 100
 ) -> tuple[DataFrame, DataFrame]:
     """Run events found in log messages: (complete, incomplete), both (stream, event_id, timestamp, event).
 
@@ -312,14 +340,22 @@ def match_crawls(tables: DataFrame, crawls: DataFrame) -> DataFrame:
     return hits.select("_table.*", "_best.crawl_id", "_best.start_ms", "_best.end_ms")
 
 
-def crawl_lineage(tables: DataFrame, crawls: DataFrame) -> DataFrame:
+def crawl_lineage(
+    tables: DataFrame,
+    crawls: DataFrame,
+    start_environment: Mapping[str, str] | None = None,
+    complete_environment: Mapping[str, str] | None = None,
+) -> DataFrame:
     """START (storage to crawler) and COMPLETE (crawler to catalog) events of the matched tables.
 
-    `tables` also has database, table, location and columns (array of struct(name, type)).
+    `tables` also has database, table, location and columns (array of struct(name, type)). The environments become
+    the run facet of their event.
     """
     matched = match_crawls(tables, crawls).withColumn("namespace", parent_path("location"))
-    schema = F.struct(F.col("columns").alias("fields"))
-    links = F.struct(
+    schema = _facet(CRAWL_PRODUCER, CRAWL_DATASET_SCHEMA, F.col("columns").alias("fields"))
+    links = _facet(
+        CRAWL_PRODUCER,
+        SYMLINK_SCHEMA,
         F.array(
             F.struct(
                 F.col("namespace"), F.concat_ws(".", "database", "table").alias("name"), F.lit("TABLE").alias("type")
@@ -343,23 +379,44 @@ def crawl_lineage(tables: DataFrame, crawls: DataFrame) -> DataFrame:
     def dataset(output: bool) -> Column:
         facets = [schema.alias("schema"), links.alias("symlinks")]
         if output:
-            facets.append(F.struct(identity.alias("fields")).alias("columnLineage"))
+            facets.append(_facet(CRAWL_PRODUCER, CRAWL_COLUMN_SCHEMA, identity.alias("fields")).alias("columnLineage"))
         return F.array(F.struct(F.col("namespace"), F.col("table").alias("name"), F.struct(*facets).alias("facets")))
 
-    def event(kind: str, time: str, side: str) -> Column:
+    def run(environment: Mapping[str, str] | None) -> Column:
+        parts = [F.col("crawl_id").alias("runId")]
+        if environment:
+            values = F.struct(*(F.lit(v).alias(k) for k, v in environment.items()))
+            facet = _facet(CRAWL_PRODUCER, RUN_SCHEMA, values.alias("environment-properties"))
+            parts.append(F.struct(facet.alias("environment-properties")).alias("facets"))
+        return F.struct(*parts)
+
+    job_type = _facet(
+        CRAWL_PRODUCER,
+        CRAWL_JOB_TYPE_SCHEMA,
+        F.lit("BATCH").alias("processingType"),
+        F.lit(CRAWL_INTEGRATION).alias("integration"),
+        F.lit("JOB").alias("jobType"),
+    )
+
+    def event(kind: str, time: str, side: str, environment: Mapping[str, str] | None) -> Column:
         return F.to_json(
             F.struct(
-                F.lit(kind).alias("eventType"),
                 F.timestamp_millis(time).cast("string").alias("eventTime"),
-                F.struct(F.col("crawl_id").alias("runId")).alias("run"),
-                F.struct(F.lit("glue_crawler").alias("namespace"), F.col("crawler").alias("name")).alias("job"),
-                dataset(side == "outputs").alias(side),
+                F.lit(CRAWL_PRODUCER).alias("producer"),
                 F.lit(EVENT_SCHEMA).alias("schemaURL"),
+                F.lit(kind).alias("eventType"),
+                run(environment).alias("run"),
+                F.struct(
+                    F.lit(CRAWL_JOBS).alias("namespace"),
+                    F.col("crawler").alias("name"),
+                    F.struct(job_type.alias("jobType")).alias("facets"),
+                ).alias("job"),
+                dataset(side == "outputs").alias(side),
             )
         )
 
     both = F.array(
-        F.struct(F.lit("START").alias("event_type"), event("START", "start_ms", "inputs").alias("event")),
-        F.struct(F.lit("COMPLETE").alias("event_type"), event("COMPLETE", "end_ms", "outputs").alias("event")),
+        F.struct(F.lit("START").alias("event_type"), event("START", "start_ms", "inputs", start_environment).alias("event")),
+        F.struct(F.lit("COMPLETE").alias("event_type"), event("COMPLETE", "end_ms", "outputs", complete_environment).alias("event")),
     )
     return matched.withColumn("_e", F.explode(both)).select("database", "table", "crawl_id", "_e.*")

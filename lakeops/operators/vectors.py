@@ -55,11 +55,23 @@ def embed(
     return df.withColumn(out, run.asNondeterministic()(source))
 
 
-def prepare_texts(df: DataFrame, text_col: str, max_length: int | None = None, pieces: int | None = None) -> DataFrame:
-    """Non-empty texts, optionally only those up to a length, spread over `pieces` partitions for the model."""
+def prepare_texts(
+    df: DataFrame,
+    text_col: str,
+    max_length: int | None = None,
+    pieces: int | None = None,
+    limit: int | None = None,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """Non-empty texts spread over `pieces` partitions for the model.
+
+    Optionally only texts up to a length, and only the first `limit` by `order`.
+    """
     kept = df.filter(F.length(F.trim(text_col)) > 0)
     if max_length is not None:
         kept = kept.filter(F.length(text_col) <= max_length)
+    if limit is not None:
+        kept = (kept.orderBy(*order) if order else kept).limit(limit)
     return kept.repartition(pieces) if pieces else kept
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -70,15 +70,21 @@ def substitute(statement: str, params: Mapping[str, str]) -> str:
 
 
 def run_script(
-    spark: SparkSession, text: str, params: Mapping[str, str] | None = None, database: str | None = None
+    spark: SparkSession,
+    text: str,
+    params: Mapping[str, str] | None = None,
+    database: str | None = None,
+    on_result: Callable[[int, DataFrame], None] | None = None,
 ) -> DataFrame | None:
-    """Run all statements in order and return the last one's result."""
+    """Run all statements in order and return the last one's result; `on_result` sees each (to show it, say)."""
     if database:
         spark.catalog.setCurrentDatabase(database)
     result = None
     for index, statement in enumerate(split_statements(text), 1):
         try:
             result = spark.sql(substitute(statement, params or {}))
+            if on_result:
+                on_result(index, result)
         except Exception as cause:
             raise ScriptError(index, statement, cause) from cause
     return result

@@ -9,9 +9,9 @@ from lakeops.functions.text import unescape
 from lakeops.operators import lineage
 from lakeops.session import spread, table
 
-_NAMESPACE = "redshift://host:5439"
+_NAMESPACE = "warehouse://host:5439"
 _KINDS = ["DDL", "CTAS", "COPY", "INSERT", "UNLOAD", "SELECT"]
-_MARK = lineage.LOG_MARKER
+_MARK = lineage.SPARK_MARKER
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,14 +153,14 @@ def _paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fine_grained(spark: SparkSession, sf: str) -> DataFrame:
-    rows = lineage.fine_grained(_paths(spark, sf), "redshift")
+    rows = lineage.fine_grained(_paths(spark, sf), "warehouse")
     return rows.select(
         "query_id", "downstream", F.array_join("upstreams", "|").alias("upstreams"), F.array_join("upstream_tables", "|").alias("tables")
     )
 
 
 def upstream_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return lineage.upstream_tables(lineage.fine_grained(_paths(spark, sf), "redshift"))
+    return lineage.upstream_tables(lineage.fine_grained(_paths(spark, sf), "warehouse"))
 
 
 def table_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +174,7 @@ def _logs(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
         (F.col("event_id") % 5).alias("kind"),
-        F.concat(F.lit(f"10:00 {_MARK}: {{\"run\":\""), F.col("event_id").cast("string"), F.lit('",')).alias("head"),
+        F.concat(F.lit(f"10:00 {_MARK}{{\"run\":\""), F.col("event_id").cast("string"), F.lit('",')).alias("head"),
         F.concat(F.lit('"type":"'), F.col("event_type"), F.lit('",')).alias("middle"),
         F.concat(F.lit('"n":'), F.col("props"), F.lit("}")).alias("tail"),
     )
@@ -322,11 +322,11 @@ ORACLE = {
         min(name) filter (where role = 'output') as output from nodes group by 1),
       firsts as (select query_id, min(db || '.' || sch || '.' || source_table) as first_input from named where target_column = 'out0' group by 1),
       runs as (select one.*, query_id || '#' || transaction_id || '#' || session_id as run_id from one)
-      select run_id, p.event_type, case when p.event_type = 'START' then start_time else end_time end as event_time, 'redshift-query-' || run_id as job_name,
+      select run_id, p.event_type, case when p.event_type = 'START' then start_time else end_time end as event_time, '{lineage.JOB_PREFIX}' || run_id as job_name,
         inputs, outputs, output, length(query_txt) as chars, first_input
       from runs join sides using (query_id) left join firsts using (query_id), (values ('START'), ('COMPLETE')) p(event_type)""",
-    "lineage_fine_grained": f"""with {_BASE} select query_id, 'redshift:' || target_table || '/' || target_column as downstream,
-        'redshift:' || source_table || '/' || source_column || '|redshift:mid' || (query_id % 3) || '/' || source_column as upstreams,
+    "lineage_fine_grained": f"""with {_BASE} select query_id, 'warehouse:' || target_table || '/' || target_column as downstream,
+        'warehouse:' || source_table || '/' || source_column || '|warehouse:mid' || (query_id % 3) || '/' || source_column as upstreams,
         'mid' || (query_id % 3) || '|' || source_table as tables from edges""",
     "lineage_upstream_tables": f"""with {_BASE} select distinct target_table as downstream_table, unnest([source_table, 'mid' || (query_id % 3)]) as upstream_table from edges""",
     "lineage_table_sources": f"""with {_BASE} select target_table, string_agg(distinct source_table, ',' order by source_table) as sources from edges group by 1""",

@@ -13,7 +13,7 @@ def events(spark, items):
 
 
 def test_events_from_logs(spark):
-    m = lineage.LOG_MARKER
+    m = lineage.SPARK_MARKER
     df = events(
         spark,
         [
@@ -40,6 +40,12 @@ def test_events_from_logs(spark):
     assert lineage.since(df, 4001).count() == 3
 
 
+def test_task_marker_holds_a_brace_itself(spark):
+    df = events(spark, [("s", "a", 0, f"at {lineage.TASK_MARKER}{{\"r\":1}}"), ("s", "b", 1, lineage.TASK_MARKER + "nothing")])
+    complete, missing = lineage.extract_log_events(df, lineage.TASK_MARKER)
+    assert [r["event"] for r in complete.collect()] == ['{"r":1}'] and missing.count() == 0
+
+
 def test_query_text_order_and_types(spark):
     parts = spark.createDataFrame([(1, 1, "b  "), (1, 0, "a "), (1, 320, "z")], "query_id int, sequence int, text string")
     assert rows(lineage.query_texts(parts)) == [(1, "ab")]
@@ -62,7 +68,9 @@ def test_crawls(spark):
         "database string, table string, created_ms long, location string, columns array<struct<name:string,type:string>>, crawler string",
     )
     assert rows(lineage.match_crawls(tables, crawls).select("table", "crawl_id"), "table") == [("t1", "long"), ("t3", "long")]
-    got = {(r["table"], r["event_type"]): json.loads(r["event"]) for r in lineage.crawl_lineage(tables, crawls).collect()}
+    got = {(r["table"], r["event_type"]): json.loads(r["event"]) for r in lineage.crawl_lineage(tables, crawls, {"LANG": "x"}).collect()}
+    assert got[("t1", "START")]["run"]["facets"]["environment-properties"]["environment-properties"] == {"LANG": "x"}
+    assert got[("t1", "COMPLETE")]["run"] == {"runId": "long"}
     done = got[("t1", "COMPLETE")]["outputs"][0]
     assert done["namespace"] == "s3://b/a" and done["facets"]["symlinks"]["identifiers"][0]["name"] == "db.t1"
     assert done["facets"]["columnLineage"]["fields"]["id"]["inputFields"] == [{"namespace": "s3://b/a", "name": "t1", "field": "id"}]

@@ -26,6 +26,9 @@ def test_failing_statement_is_named(spark):
         script.run_script(spark, "select 1; s; select 2")
     assert error.value.index == 2
     assert rows(script.run_script(spark, "select 1 as a; select {N} as a", {"N": "5"})) == [(5,)]
+    seen = []
+    script.run_script(spark, "select 1; select 2", on_result=lambda i, df: seen.append((i, df.head()[0])))
+    assert seen == [(1, 1), (2, 2)]
 
 
 def test_suite_and_catalog(spark, tmp_path):
