@@ -2,7 +2,8 @@
 
 A plain window over `partitionBy(key)` sorts a whole key in one task. Here the order column is first
 cut into ranges of about equal row count, the window runs inside (key, range), and one small row per
-(key, range) carries the state of the earlier ranges forward. Results equal the plain window.
+(key, range) carries the state of the earlier ranges forward. Results equal the plain window. Orders are
+ascending and start with the column that was cut into ranges.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def with_chunk(df: DataFrame, order: str, pieces: int | None = None, name: str =
         return df.withColumn(name, F.lit(0.0))
     value = f"{name}_value"
     ranged = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(
-        df.withColumn(value, F.col(order).cast("double"))
+        # Nulls sort first, so they belong to the first range.
+        df.withColumn(value, F.coalesce(F.col(order).cast("double"), F.lit(float("-inf"))))
     )
     return ranged.drop(value)
 

@@ -38,6 +38,13 @@ def test_running_max_equals_plain_window(spark):
     assert df.filter("not (last.v <=> want) or not (prev.v <=> before)").count() == 0
 
 
+def test_null_order_values_come_first(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i) for i in range(100)], "id int, t int")
+    got = ordered.with_position(ordered.with_chunk(df, "t", 6), [], ["t", "id"])
+    want = Window.orderBy("t", "id")
+    assert got.withColumn("rn", F.row_number().over(want) - 1).filter("pos <> rn").count() == 0
+
+
 def test_rank_points_and_summary(spark):
     df = hot(spark).withColumn("x", (F.col("id") * 7 % 101).cast("double"))
     got = {r["k"]: r for r in metrics.latency_summary(df, "x", ["k"], 10.0).collect()}
