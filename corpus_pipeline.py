@@ -6,17 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import dart_dedup
+from lakeops.llm import dart_dedup, language_id, mixture, packing, secrets
 from lakeops.llm.work import read, stored
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in which no language can be told go: null, empty and letterless ones. Ambiguous ones stay: short clean texts are among them."""
+    return language_id.keep_known(docs, language_id.train(docs))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return dart_dedup.drop_near_duplicates(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by marks in the text; n_chars follows."""
+    return secrets.redact(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it."""
+    return mixture.sample(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in a training sequence."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
     ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("mixing", mixing),
+    ("packing", packed),
 ]
 
 #: Signatures, language models and random rounding can't be said in SQL; tests/llm compares each stage with a brute-force version.

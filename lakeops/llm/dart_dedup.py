@@ -174,7 +174,8 @@ def near_duplicates(
     )
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     more = _verified(rest, sets, "tested-rest").filter(F.col("similarity") >= similarity)
-    found = components(links.select("a", "b").unionByName(more.select("a", "b")))
+    if more.head(1):
+        found = components(links.select("a", "b").unionByName(more.select("a", "b")))
 
     label = member.join(found, member.rep == found.node, "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     label = stored(label.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "classes").withColumnRenamed("doc_id", "id")

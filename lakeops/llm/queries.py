@@ -4,15 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import dart_dedup
+from lakeops.llm import dart_dedup, language_id, mixture, packing, secrets
 from lakeops.llm.work import read
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_ecoc_language_id": languages,
+    "op2_pivotal_mixture": source_mix,
+    "op3_structural_secrets": secret_scan,
+    "op6_variable_best_fit": best_fit,
     "op9_dart_minhash_dedup": near_dedup,
 }
 
