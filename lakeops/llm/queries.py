@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import dart_dedup, language_id, mixture, packing, secrets
+from lakeops.llm import collision_dedup, dart_dedup, language_id, mixture, packing, secrets
 from lakeops.llm.work import read
 
 
@@ -29,12 +29,17 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ecoc_language_id": languages,
     "op2_pivotal_mixture": source_mix,
     "op3_structural_secrets": secret_scan,
     "op6_variable_best_fit": best_fit,
     "op9_dart_minhash_dedup": near_dedup,
+    "op10_collision_dedup": vector_dedup,
 }
 
 ORACLE: dict[str, str] = {}
