@@ -25,7 +25,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: later jobs start from the files, also when executors are lost."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    again.stored_path = path
+    return again
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `stored` that no later job reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def word_count(text: str) -> Column:
