@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import collision_dedup, dart_dedup, language_id, mixture, packing, repeats, secrets
+from lakeops.llm import collision_dedup, dart_dedup, forest_search, language_id, mixture, packing, repeats, secrets
 from lakeops.llm.work import read
 
 
@@ -37,10 +37,15 @@ def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_search.nearest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ecoc_language_id": languages,
     "op2_pivotal_mixture": source_mix,
     "op3_structural_secrets": secret_scan,
+    "op4_projection_forest": neighbours,
     "op6_variable_best_fit": best_fit,
     "op8_prefix_suffix_trees": repeat_removal,
     "op9_dart_minhash_dedup": near_dedup,
