@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import collision_dedup, dart_dedup, forest_search, language_id, mixture, packing, repeats, secrets
+from lakeops.llm import collision_dedup, dart_dedup, forest_search, language_id, mixture, packing, repeats, secrets, token_counts, token_files
 from lakeops.llm.work import read
 
 
@@ -41,12 +41,23 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_search.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_files(token_files.write_files(read(spark, sf_dir, "documents")))
+
+
+def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_prefixes(read(spark, sf_dir, "documents"))
+    return token_counts.with_limit(counted).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
     "op1_ecoc_language_id": languages,
     "op2_pivotal_mixture": source_mix,
     "op3_structural_secrets": secret_scan,
     "op4_projection_forest": neighbours,
+    "op5_context_mixing_ids": token_ids,
     "op6_variable_best_fit": best_fit,
+    "op7_prefix_token_counts": token_totals,
     "op8_prefix_suffix_trees": repeat_removal,
     "op9_dart_minhash_dedup": near_dedup,
     "op10_collision_dedup": vector_dedup,
