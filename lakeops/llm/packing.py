@@ -100,18 +100,18 @@ def _pack(capacities: tuple[int, ...], overhead: int):
         pieces["capacity"] = np.asarray(sizes, np.int64)[place]
         pieces["bin_words"] = np.asarray(used, np.int64)[place]
         pieces["offset"] = pieces.groupby("bin_id")["n_words"].cumsum() - pieces["n_words"]
-        return pieces[["doc_id", "copy", "piece", "start", "n_words", "bin_id", "capacity", "bin_words", "offset"]]
+        return pieces.rename(columns={"length": "doc_words"})[["doc_id", "doc_words", "copy", "piece", "start", "n_words", "bin_id", "capacity", "bin_words", "offset"]]
 
     return run
 
 
-SHAPE = "doc_id long, copy long, piece long, start long, n_words long, bin_id long, capacity long, bin_words long, offset long"
+SHAPE = "doc_id long, doc_words long, copy long, piece long, start long, n_words long, bin_id long, capacity long, bin_words long, offset long"
 
 
 def pack(
     docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, shard: int = SHARD, length: str | None = None
 ) -> DataFrame:
-    """One row per packed piece: doc_id, copy, piece, start (words of the document before it), n_words, bin_id, capacity, bin_words, offset.
+    """One row per packed piece: doc_id, doc_words, copy, piece, start (words of the document before it), n_words, bin_id, capacity, bin_words, offset.
 
     `length` names a column with lengths (of tokens, say); without it the words of `text` count.
     """

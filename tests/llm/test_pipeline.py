@@ -1,0 +1,30 @@
+from __future__ import annotations
+
+import corpus_pipeline
+from llm import data
+from llm.test_dart_dedup import brute
+
+from lakeops.llm import mixture, packing, secrets
+from lakeops.llm.work import stored
+
+
+def test_stages(spark):
+    docs = data.awkward(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    columns = docs.columns
+    first = stored(corpus_pipeline.language(spark, docs, ""), "t1")
+    gone = {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in first.collect()}
+    assert gone == {100, 101, 102, 103} and first.columns == columns
+    second = stored(corpus_pipeline.near_dedup(spark, first, ""), "t2")
+    want = set(brute([(r["doc_id"], r["text"]) for r in first.filter("doc_id is not null").collect()]).values())
+    assert {r["doc_id"] for r in second.filter("doc_id is not null").collect()} == want and second.columns == columns
+    third = stored(corpus_pipeline.secret_scan(spark, second, ""), "t3")
+    assert sorted((r["doc_id"] or -1, secrets.clean_text(r["text"])) for r in second.collect()) == sorted((r["doc_id"] or -1, r["text"]) for r in third.collect())
+    fourth = stored(corpus_pipeline.mixing(spark, third, ""), "t4")
+    assert fourth.count() == mixture.mix(third).agg({"copies": "sum"}).head()[0] and fourth.columns == columns
+    last = corpus_pipeline.packed(spark, fourth, "")
+    assert sum(r["n_words"] for r in last.collect()) == sum(len(data.words(r["text"])) for r in fourth.collect())
+    assert last.count() == packing.pack(fourth).count()
+
+
+def test_names():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "secret_scan", "mixing", "packing"]
