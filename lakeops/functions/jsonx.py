@@ -15,17 +15,34 @@ _ATOMS = {
     "BOOLEAN": T.BooleanType(),
     "DATE": T.StringType(),
     "STRING": T.StringType(),
+    "VOID": T.NullType(),
 }
+BIG = T.DecimalType(38, 0)
 
 
-def infer_schema(df: DataFrame, column: str) -> T.StructType:
-    """Schema of all JSON objects in `column`: ints widen to long, mixed numbers to double, the rest to string.
+def infer_schema(df: DataFrame, column: str, nulls: bool = True) -> T.StructType:
+    """Schema of all JSON objects in `column`: ints widen to long or, above 18 digits, to decimal, mixed numbers to double, the rest to string.
 
-    One aggregate on the executors with map-side merging; only the schema text reaches the driver.
+    One aggregate on the executors with map-side merging; only the schema text reaches the driver. Fields that hold
+    nothing but nulls are strings, or left out if `nulls` is false: a later batch then tells their type.
     """
     text = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).head()["s"]
     parsed = _parse(text or "VOID")
-    return parsed if isinstance(parsed, T.StructType) else T.StructType([])
+    if not isinstance(parsed, T.StructType):
+        return T.StructType([])
+    kept = [f for f in parsed.fields if nulls or not isinstance(f.dataType, T.NullType)]
+    return T.StructType([T.StructField(f.name, _known(f.dataType)) for f in kept])
+
+
+def _known(kind: T.DataType) -> T.DataType:
+    """Text in place of the type of a value never seen."""
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_known(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _known(f.dataType)) for f in kind.fields])
+    return kind
 
 
 def schema_of_text(spark, text: str) -> T.StructType:
@@ -42,8 +59,8 @@ def _parse(text: str) -> T.DataType:
         ]
         return T.StructType(fields)
     if text.startswith("DECIMAL"):
-        scale = int(re.search(r",\s*(\d+)", text).group(1))
-        return T.DoubleType() if scale else T.LongType()
+        precision, scale = map(int, re.search(r"(\d+),\s*(\d+)", text).groups())
+        return T.DoubleType() if scale else (T.LongType() if precision <= 18 else BIG)
     return _ATOMS.get(text, T.StringType())
 
 

@@ -79,10 +79,12 @@ def expand_json(df: DataFrame, column: str, schema: str | T.StructType) -> DataF
 
     The text is parsed in a generator (an object reads as a list of one). Catalyst moves filters on plain
     projections below them and would then parse the text once per filtered field; a generator it leaves alone.
+    Text that is no object, a list among them, counts as unreadable.
     """
+    object_text = F.when(F.col(column).rlike(r"^\s*\{"), F.col(column))
     fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     keep = [c for c in df.columns if c != column]
-    return df.select(*keep, F.inline_outer(F.from_json(column, T.ArrayType(fields))))
+    return df.select(*keep, F.inline_outer(F.from_json(object_text, T.ArrayType(fields))))
 
 
 def parse_envelope(df: DataFrame, fmt: str = "debezium", value_col: str = "value") -> DataFrame:
@@ -135,6 +137,14 @@ def demux(
     return {(t.db, t.table): df.filter((F.col("db") == t.db) & (F.col("table") == t.table)) for t in tables}
 
 
+def unrouted(df: DataFrame, tables: Iterable[TableConfig]) -> DataFrame:
+    """Events of tables that are not configured, and events without a table: what `demux` hands to nobody."""
+    known = F.lit(False)
+    for t in tables:
+        known = known | ((F.col("db") == t.db) & (F.col("table") == t.table))
+    return df.filter(~F.coalesce(known, F.lit(False)))
+
+
 def decode(
     df: DataFrame,
     payload_col: str,
@@ -215,9 +225,16 @@ def batch_counts(df: DataFrame) -> DataFrame:
 
 
 def widen(left: T.DataType, right: T.DataType) -> T.DataType:
-    """The narrowest common type: int, long, double; anything else meets in string."""
+    """The narrowest common type: int, long, decimal(38, 0), double; anything else meets in string."""
     if left == right:
         return left
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+    if T.DecimalType(38, 0) in (left, right) and isinstance(left, whole) and isinstance(right, whole):
+        return T.DecimalType(38, 0) if not any(getattr(t, "scale", 0) for t in (left, right)) else T.DoubleType()
+    if isinstance(left, T.DecimalType) and isinstance(right, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    if isinstance(right, T.DecimalType) and isinstance(left, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
     ladder = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
     if left in ladder and right in ladder:
         wider = max(ladder.index(left), ladder.index(right))
@@ -313,13 +330,17 @@ def apply_changelog(
 ) -> DataFrame:
     """Apply routed changes (an `action` column plus data columns) to `current`.
 
-    `latest` keeps event order: only the last change of each key counts. `sequential` reproduces the three
-    passes insert, upsert, delete, where inserts append and a delete beats a later re-insert.
+    `latest` keeps event order: only the last change of each key counts, and if `current` has the first order column, a change
+    older than the stored row does not. `sequential` reproduces the three passes insert, upsert, delete, where inserts append and a
+    delete beats a later re-insert.
     """
     keys = list(keys)
     data = [c for c in changes.columns if c != "action"]
     if mode == "latest":
         last = dedupe_latest(changes, keys, order)
+        if current is not None and order and isinstance(order[0], str) and {order[0], *keys} <= set(current.columns):
+            stored = current.groupBy(*keys).agg(F.max(order[0]).alias("_stored"))
+            last = last.join(stored, keys, "left").filter(F.coalesce(F.col(order[0]) >= F.col("_stored"), F.lit(True))).drop("_stored")
         alive = last.filter("action <> 'delete'").select(*data)
         if current is None:
             return alive

@@ -13,7 +13,6 @@ from lakeops.session import shared_dir
 
 # Query kinds that move data, texts that mark events in job logs, and the identifiers of the events.
 QUERY_TYPES = ("DDL", "CTAS", "COPY", "INSERT", "UNLOAD")
-MAX_PARTS = 320
 SPARK_MARKER = "INFO [spark-listener-group-shared] transports.ConsoleTransport "
 TASK_MARKER = "{console.py:30} INFO - "
 JOB_PREFIX = "redshift-query-"
@@ -43,9 +42,9 @@ def _facet(producer: str, schema: str, *content: Column) -> Column:
 # --- query history ----------------------------------------------------------------------------------------
 
 
-def query_texts(parts: DataFrame, max_parts: int = MAX_PARTS) -> DataFrame:
-    """Whole query texts from numbered parts: (query_id, query_txt)."""
-    kept = parts.filter(F.col("sequence") < max_parts)
+def query_texts(parts: DataFrame, max_parts: int | None = None) -> DataFrame:
+    """Whole query texts from numbered parts: (query_id, query_txt). `max_parts` leaves later parts out, as some histories do."""
+    kept = parts if max_parts is None else parts.filter(F.col("sequence") < max_parts)
     return kept.groupBy("query_id").agg(
         F.expr("listagg(rtrim(text)) within group (order by sequence, text)").alias("query_txt")
     )

@@ -28,6 +28,7 @@ GROK = {
     "GREEDYDATA": r".*",
 }
 
+# The fields of a record, the start of one, the time zone of the sources and the index names.
 FIELDS = ("timestamp", "level", "class", "thread", "traceId", "seqNo", "userId", "msg")
 START_LINE = r"^\d{4}-\d{2}-\d{2}"
 SOURCE_ZONE = "Asia/Shanghai"
@@ -83,6 +84,7 @@ _SHARED_TAIL = (
     Rule("chms", _CHMS, other_than=_CHMS_JOBS),
 )
 
+# Which pattern reads which topic and type.
 RULES_BY_TYPE = (
     Rule("core", _LAZADA, ("cimb-lazada",)),
     Rule("core", _LAZADA, ("modelbank",)),
@@ -104,7 +106,7 @@ RULES_BY_TYPE = (
 )
 
 # The same with similar types sharing a pattern. Lines of bankcloud-check carry one level only, which the shared
-# pattern does not accept: they come out unmatched here, unlike with the rules by type.
+# pattern does not accept: they come out unmatched here, unlike with the rules by type. Fixed values as above.
 RULES_MERGED = (
     Rule("core", _LAZADA, ("cimb-lazada", "modelbank", "cimb-paylater")),
     Rule("core", _FTS, ("fts-proxy", "fts-batch")),
@@ -142,7 +144,12 @@ TIME_RULES = (
 
 
 def expand(pattern: str) -> tuple[str, dict[str, list[int]]]:
-    """Regular expression of a grok pattern, and the capture group numbers of each field."""
+    """Regular expression of a grok pattern, and the capture group numbers of each field.
+
+    A field that ends at a bracket, a bar, a comma or, inside brackets, a blank cannot hold that character, and blanks are matched in one
+    way only. So a line that does not fit is given up after one pass for each time stamp in it.
+    """
+    pattern = pattern.replace("%{SPACE}+", "%{SPACE}")
     groups: dict[str, list[int]] = {}
     out, count, last = [], 0, 0
     for match in re.finditer(r"%\{(\w+)(?::(\w+))?\}", pattern):
@@ -150,6 +157,9 @@ def expand(pattern: str) -> tuple[str, dict[str, list[int]]]:
         count += len(re.findall(r"(?<!\\)\((?!\?)", literal))
         out.append(literal)
         body = _nested(GROK[match.group(1)])
+        if match.group(1) == "DATA":
+            opened = pattern[: match.start()].rpartition("\\[")[2]
+            body = _bounded(pattern[match.end() :], "\\]" not in opened and "\\[" in pattern[: match.start()])
         if match.group(2):
             count += 1
             groups.setdefault(match.group(2), []).append(count)
@@ -158,7 +168,16 @@ def expand(pattern: str) -> tuple[str, dict[str, list[int]]]:
             out.append(f"(?:{body})")
         last = match.end()
     out.append(pattern[last:])
-    return "".join(out), groups
+    # Blanks taken are never given back: what follows them begins with something else.
+    return "".join(out).replace(r"\s+", r"\s++").replace(r"\s*", r"\s*+"), groups
+
+
+def _bounded(rest: str, in_brackets: bool) -> str:
+    """DATA up to the delimiter that `rest` begins with."""
+    for delimiter in ("\\]?\\|", "\\]", "\\|", ",", *([" "] if in_brackets else [])):
+        if rest.startswith(delimiter):
+            return "[^" + delimiter.replace("?", "") + "\\n]*?"
+    return GROK["DATA"]
 
 
 def _nested(body: str) -> str:
@@ -177,23 +196,26 @@ def join_multiline(
     order: str = "line_no",
     line: str = "line",
     start: str = START_LINE,
-    max_lines: int = 1000,
+    max_lines: int | None = None,
 ) -> DataFrame:
     """Join continuation lines to the record they follow: (path, first_line, lines, message).
 
-    A line matching `start` begins a record; lines before the first one form a record of their own. Lines beyond
-    `max_lines` of a record are dropped, as the collector does. `block` numbers must rise with `order` inside a file:
+    A line matching `start` begins a record; lines before the first one form a record of their own. With `max_lines`, later lines of a
+    record are dropped, as the collector does, and `truncated` tells so. `block` numbers must rise with `order` inside a file:
     windows run per block, and one row per block carries the open record on, so a file may be of any size.
     """
     placed = with_position(lines.select(path, block, order, line), [path], [order], "_pos", chunk=block)
     begins = F.when(F.col(line).rlike(start), F.col("_pos"))
     marked = running_max(placed, [path], [order], begins, "_start", chunk=block)
     member = marked.withColumn("_start", F.coalesce("_start", F.lit(0)))
-    kept = member.filter(F.col("_pos") - F.col("_start") < max_lines)
-    records = kept.groupBy(path, F.col("_start").alias("first_line")).agg(
-        F.count("*").alias("lines"), F.array_sort(F.collect_list(F.struct("_pos", F.col(line).alias("l")))).alias("_all")
+    inside = F.lit(True) if max_lines is None else F.col("_pos") - F.col("_start") < max_lines
+    records = member.groupBy(path, F.col("_start").alias("first_line")).agg(
+        F.count_if(inside).alias("lines"),
+        F.count_if(~inside).alias("_over"),
+        F.array_sort(F.collect_list(F.when(inside, F.struct("_pos", F.col(line).alias("l"))))).alias("_all"),
     )
-    return records.select(path, "first_line", "lines", F.array_join(F.transform("_all", lambda x: x["l"]), "\n").alias("message"))
+    message = F.array_join(F.transform("_all", lambda x: x["l"]), "\n").alias("message")
+    return records.select(path, "first_line", "lines", message, (F.col("_over") > 0).alias("truncated"))
 
 
 def cap_bytes(df: DataFrame, column: str = "message", limit: int = 10240) -> DataFrame:

@@ -19,7 +19,7 @@ PERCENTILES = (50, 90, 95, 99)
 
 
 def bucket_label(value: str, bounds: Sequence[int] = LATENCY_BOUNDS) -> Column:
-    label = F.when(F.col(value) >= bounds[-1], f"{bounds[-1]}+")
+    label = F.when(F.col(value) >= bounds[-1], f"{bounds[-1]}+").when(F.col(value) < bounds[0], f"<{bounds[0]}")
     for low, high in zip(bounds[:-1], bounds[1:]):
         label = label.when((F.col(value) >= low) & (F.col(value) < high), f"{low}-{high}")
     return label
@@ -28,7 +28,7 @@ def bucket_label(value: str, bounds: Sequence[int] = LATENCY_BOUNDS) -> Column:
 def latency_histogram(
     df: DataFrame, value: str, bounds: Sequence[int] = LATENCY_BOUNDS, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Count and share per latency bucket; empty buckets are listed with zero."""
+    """Count and share per latency bucket, values below the first bound included; empty buckets are listed with zero."""
     by = list(by)
     # One conditional count per bucket: a single row per group, so empty buckets need no join.
     edges = list(zip(bounds, [*bounds[1:], None]))
@@ -38,6 +38,7 @@ def latency_histogram(
         )
         for low, high in edges
     }
+    counts[f"<{bounds[0]}"] = F.count_if(F.col(value) < bounds[0])
     wide = df.groupBy(*by).agg(F.count(value).alias("_n"), *(c.alias(n) for n, c in counts.items()))
     long = wide.unpivot([*by, "_n"], list(counts), "bucket", "messages")
     share = F.round(F.try_divide(F.col("messages") * 100.0, F.col("_n")), 4)

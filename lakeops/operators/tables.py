@@ -7,6 +7,7 @@ that make up the table. `MergeOnReadTable` appends change commits and merges the
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
@@ -341,10 +342,11 @@ class ParquetTable:
 
 
 class MergeOnReadTable:
-    """Change commits under `delta/commit=<batch>` over a base under `base/upto=<batch>`.
+    """Changes appended to delta folders beside a base; readers keep the latest row per key over both.
 
-    Rows carry `_deleted` and the order columns; readers keep the latest row per key. Writing commit N again
-    replaces it, so replays are harmless. Compaction folds the commits into a new base.
+    Rows carry `_deleted` and the order columns. A batch has a folder of its own, named by its stream and number, so a replay
+    replaces it. Compaction writes what readers see, tombstones included, as the base of the next generation; batches that come
+    again after it are harmless, as a row never beats itself. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
@@ -353,55 +355,45 @@ class MergeOnReadTable:
         self.keys = list(keys)
         self.order = list(order)
 
-    def append(self, df: DataFrame, batch_id: int, deleted: Column | None = None) -> None:
-        """Write one commit of upserts and deletes."""
-        flag = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-        df.withColumn("_deleted", flag).write.mode("overwrite").parquet(f"{self.path}/delta/commit={batch_id}")
-
-    def commits(self) -> list[int]:
-        """Commits not yet in the base."""
-        base = self._base()
-        return [c for c in self._numbers("delta", "commit") if c > base]
+    def _generation(self) -> int:
+        names = [n for n in list_dirs(self.spark, self.path) if n.startswith("gen=")]
+        whole = [n for n in names if path_exists(self.spark, f"{self.path}/{n}/base/_SUCCESS")]
+        return max((int(n.split("=")[1]) for n in whole), default=0)
 
-    def _numbers(self, folder: str, label: str) -> list[int]:
-        names = list_dirs(self.spark, f"{self.path}/{folder}")
-        done = [n for n in names if path_exists(self.spark, f"{self.path}/{folder}/{n}/_SUCCESS")]
-        return sorted(int(n.split("=")[1]) for n in done if n.startswith(f"{label}="))
+    def append(self, df: DataFrame, batch_id: int, deleted: Column | None = None, stream: str = "w") -> None:
+        """Write one batch of upserts and deletes."""
+        flag = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+        name = hashlib.sha256(stream.encode()).hexdigest()[:16]
+        df.withColumn("_deleted", flag).write.mode("overwrite").parquet(f"{self.path}/gen={self._generation()}/delta/{name}-{batch_id}")
 
-    def _base(self) -> int:
-        return max(self._numbers("base", "upto"), default=-1)
+    def commits(self) -> list[str]:
+        """Batches since the last compaction."""
+        folder = f"{self.path}/gen={self._generation()}/delta"
+        return [n for n in list_dirs(self.spark, folder) if path_exists(self.spark, f"{folder}/{n}/_SUCCESS")]
 
     def _merged(self) -> DataFrame:
-        base, commits = self._base(), self.commits()
-        rows = None
-        if base >= 0:
-            rows = self.spark.read.parquet(f"{self.path}/base/upto={base}")
+        home = f"{self.path}/gen={self._generation()}"
+        rows = self.spark.read.parquet(f"{home}/base") if path_exists(self.spark, f"{home}/base/_SUCCESS") else None
+        commits = self.commits()
         if commits:
-            paths = [f"{self.path}/delta/commit={c}" for c in commits]
-            delta = (
-                self.spark.read.option("basePath", f"{self.path}/delta")
-                .option("mergeSchema", True)
-                .parquet(*paths)
-                .withColumnRenamed("commit", "_commit")
-            )
+            delta = self.spark.read.option("mergeSchema", True).parquet(*(f"{home}/delta/{c}" for c in commits))
             rows = delta if rows is None else cdc.union_evolved(rows, delta)
         if rows is None:
-            raise ValueError(f"no commits under {self.path}")
-        return cdc.dedupe_latest(rows, self.keys, [*self.order, "_commit"])
+            raise ValueError(f"no batches under {self.path}")
+        return cdc.dedupe_latest(rows, self.keys, self.order)
 
     def snapshot(self) -> DataFrame:
-        """Latest row per key over base and commits, without deleted keys."""
-        return self._merged().filter(~F.col("_deleted")).drop("_deleted", "_commit")
+        """Latest row per key over base and batches, without deleted keys."""
+        return self._merged().filter(~F.col("_deleted")).drop("_deleted")
 
     def compact(self, min_commits: int = 3) -> bool:
-        """Fold the commits into a new base once there are enough of them.
+        """Fold the batches into the base of a new generation once there are enough of them.
 
         Tombstones stay in the base, so a late older change cannot bring a deleted key back.
         """
-        commits = self.commits()
-        if len(commits) < min_commits:
+        if len(self.commits()) < min_commits:
             return False
-        self._merged().write.mode("overwrite").parquet(f"{self.path}/base/upto={commits[-1]}")
+        self._merged().write.mode("overwrite").parquet(f"{self.path}/gen={self._generation() + 1}/base")
         return True
 
 
@@ -462,7 +454,7 @@ class CatalogTable:
             f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED AND s.action <> 'delete' THEN INSERT ({names}) VALUES ({values})"
         )
 
-    def apply(self, changes: DataFrame, keys, order, mode: str = "latest", batch_id: int | None = None) -> None:
+    def apply(self, changes: DataFrame, keys, order, mode: str = "latest", batch_id: int | None = None, writer: str = "w") -> None:
         """Apply routed changes; the table format's own commit makes a repeated batch harmless, as keys decide."""
         if mode != "latest":
             raise ValueError("a single MERGE keeps event order; use mode='latest'")

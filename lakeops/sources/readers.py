@@ -24,7 +24,7 @@ def kafka_options(
     servers: str,
     topics: str | Sequence[str],
     start: str | int = "latest",
-    max_offsets: int | None = 10_000,
+    max_offsets: int | None = None,
     group: str | None = None,
     fail_on_data_loss: bool = False,
     user: str | None = None,
@@ -74,10 +74,12 @@ def catalog_stream(spark: SparkSession, name: str) -> DataFrame:
 
 
 def file_stream(
-    spark: SparkSession, path: str, fmt: str = "text", schema: str | T.StructType | None = None, max_files: int = 1000, **options
+    spark: SparkSession, path: str, fmt: str = "text", schema: str | T.StructType | None = None, max_files: int | None = None, **options
 ) -> DataFrame:
-    """New files of a folder as a stream, rate-limited per trigger."""
-    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files).options(**options)
+    """New files of a folder as a stream; `max_files` limits the files of a trigger."""
+    reader = spark.readStream.format(fmt).options(**options)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

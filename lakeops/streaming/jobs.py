@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,6 +16,9 @@ from lakeops.operators import cdc, docs, sinks
 from lakeops.operators.tables import CatalogTable, MergeOnReadTable, ParquetTable
 
 
+log = logging.getLogger("lakeops")
+
+
 def checkpoint_path(root: str, job: str) -> str:
     """Checkpoint folder of a job: the same job name resumes where it stopped."""
     return f"{root.rstrip('/')}/checkpoint/{job}"
@@ -59,7 +63,7 @@ def decoded_changes(
     routed = cdc.route(mine, policy).select("action", "ts_ms", cdc.payload().alias("_data"))
     schema = table.schema
     if schema is None:
-        found = infer_schema(routed, "_data")
+        found = infer_schema(routed, "_data", nulls=False)
         schema = found
         if target_schema is not None:
             hidden = {"ts_ms", "action"}
@@ -90,17 +94,32 @@ def apply_batch(
     policy: str = "C",
     mode: str = "latest",
     at_once: int = 4,
+    writer: str = "w",
+    unrouted: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
-    """Apply one micro-batch of raw change events to the configured tables, `at_once` of them in parallel."""
+    """Apply one micro-batch of raw change events to the configured tables, `at_once` of them in parallel.
+
+    `writer` names the stream: batch ids count per stream, so a second stream's batches are not taken for replays.
+    `unrouted` gets the events of tables that are not configured; without it their counts are logged.
+    """
     parsed = cdc.with_source(cdc.parse_envelope(batch, fmt)).persist()
 
     def apply_one(table: cdc.TableConfig) -> None:
         lake = lakes[(table.db, table.table)]
         changes = decoded_changes(parsed, table, policy, lake.schema)
-        if set(table.primary_key) <= set(changes.columns):  # else the batch has no event of this table
-            lake.apply(changes, table.primary_key, change_order(changes, table), mode, batch_id)
+        if set(table.primary_key) <= set(changes.columns):
+            lake.apply(changes, table.primary_key, change_order(changes, table), mode, batch_id, writer)
+        elif not changes.isEmpty():  # an empty one has no column to know
+            missing = sorted(set(table.primary_key) - set(changes.columns))
+            raise ValueError(f"events of {table.db}.{table.table} have no key column {missing}, only {changes.columns}")
 
     try:
+        strange = cdc.unrouted(parsed, tables)
+        if unrouted:
+            unrouted(strange, batch_id)
+        else:
+            for row in strange.groupBy("db", "table").count().limit(50).collect():
+                log.warning("batch %s: %s events of %s.%s, which is not configured", batch_id, row["count"], row["db"], row["table"])
         # Tables are independent: several at a time keep the cluster busy while small ones commit.
         with ThreadPoolExecutor(max_workers=max(1, min(len(tables), at_once))) as pool:
             list(pool.map(apply_one, tables))
@@ -118,15 +137,19 @@ def start_cdc(
     policy: str = "C",
     mode: str = "latest",
     lakes: Mapping[tuple[str, str], ParquetTable | CatalogTable] | None = None,
+    unrouted: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Keep one lake table per configured source table up to date from a stream with a `value` column.
 
-    The targets are Parquet tables below `root` unless `lakes` names others, such as catalog tables.
+    The targets are Parquet tables below `root` unless `lakes` names others, such as catalog tables. The checkpoint folder
+    names the stream: each stream has batch ids of its own.
     """
     lakes = lakes or open_tables(stream.sparkSession, tables, root)
-    return start(
-        stream, lambda batch, batch_id: apply_batch(batch, batch_id, tables, lakes, fmt, policy, mode), checkpoint, interval
-    )
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        apply_batch(batch, batch_id, tables, lakes, fmt, policy, mode, writer=checkpoint, unrouted=unrouted)
+
+    return start(stream, handle, checkpoint, interval)
 
 
 def open_tables(spark, tables: Sequence[cdc.TableConfig], root: str) -> dict[tuple[str, str], ParquetTable]:
@@ -145,7 +168,7 @@ def start_merge_on_read(
     """Append routed changes (`action` plus data) as commits and compact after every few of them."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id, F.col("action") == "delete")
+        table.append(batch, batch_id, F.col("action") == "delete", stream=checkpoint)
         table.compact(compact_after)
 
     return start(changes, handle, checkpoint, interval)
@@ -173,6 +196,16 @@ def start_display(stream: DataFrame, checkpoint: str, rows: int = 20, interval:
     return start(stream, lambda batch, batch_id: sinks.log_sample(batch, rows, f"batch {batch_id}"), checkpoint, interval)
 
 
+def start_complete(result: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Keep the whole result of a streaming aggregate in a table: open windows are in it as they stand."""
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = result.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
 def latency_windows(
     messages: DataFrame, event_time: str, latency_ms: str, window: str = "10 seconds", late: str = "1 minute"
 ) -> DataFrame:

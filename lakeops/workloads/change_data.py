@@ -103,7 +103,7 @@ def decode_modes(spark: SparkSession, sf: str) -> DataFrame:
     """Columns each schema mode finds, with the rows that fill them."""
     events = table(spark, sf, "events")
     routed = cdc.route(cdc.parse_envelope(change_events(events, extra=True)), "C")
-    rows = routed.filter("action = 'upsert'").select("ts_ms", F.col("after").alias("data"))
+    rows = routed.select("ts_ms", cdc.payload().alias("data"))
     parts = []
     for mode in ("batch", "first", "last", "target"):
         schema = f"{_PAYLOAD}, amount double" if mode == "target" else None
@@ -303,7 +303,7 @@ ORACLE = {
           select case when user_id % 2 = 0 then 'shop' else 'crm' end as db,
                  case when event_type in ('view', 'click') then 'visits' else 'users' end as "table", * from events))
       where rn = 1 and event_type <> 'error'""",
-    "cdc_decode_modes": """with up as (select * from events where event_type <> 'error'),
+    "cdc_decode_modes": """with up as (select * from events),
       f as (select mode, field from (values ('batch'), ('first'), ('last'), ('target')) m(mode),
             (values ('user_id'), ('event_id'), ('event_type'), ('value'), ('amount')) c(field)),
       ends as (select 'first' as mode, arg_min(event_type, epoch_us(ts) // 1000) as t from up

@@ -20,6 +20,7 @@ def _wrapped(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(
             F.struct(F.lpad(F.hex("doc_id"), 24, "0").alias("$oid")).alias("_id"),
             F.col("doc_id"),
+            F.col("text"),
             number("n_chars").alias("chars"),
             F.struct((F.col("doc_id") * 5_000_000_000).cast("string").alias("$numberLong")).alias("big"),
             F.struct((F.col("n_chars") / 4).cast("string").alias("$numberDouble")).alias("ratio"),
@@ -31,8 +32,8 @@ def _wrapped(spark: SparkSession, sf: str) -> DataFrame:
             F.when(F.col("doc_id") % 7 == 0, "null").otherwise(F.col("lang")).alias("lang"),
             F.array(F.col("lang"), F.lit("null"), F.lit(None), F.col("source")).alias("tags"),
             F.struct(
-                F.struct(number("n_chars").alias("size"), F.col("source")).alias("data_files"),
-                F.struct(number("doc_id").alias("user_label")).alias("donate_label"),
+                F.struct(number("n_chars").alias("size"), F.col("source")).alias("parts"),
+                F.struct(number("doc_id").alias("grade")).alias("review"),
                 F.struct(F.when(F.col("doc_id") % 2 == 0, F.lit("null")).otherwise(F.col("source")).alias("note")).alias("extra"),
             ).alias("meta"),
         )
@@ -47,19 +48,20 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 def unwrapped(spark: SparkSession, sf: str, dates: str = "raw") -> DataFrame:
     plain = docs.unwrap_extended_json(
-        _parsed(spark, sf), dates, as_text=["meta.data_files"], as_string=["meta.donate_label.user_label"], drop_empty=dates == "millis"
+        _parsed(spark, sf), dates, as_text=["meta.parts"], as_string=["meta.review.grade"], drop_empty=dates == "millis"
     )
     return plain.select(
         F.col("_id").alias("id"),
         "doc_id",
+        F.md5("text").alias("digest"),
         "chars",
         "big",
         "ratio",
         "created",
         "lang",
         F.array_join("tags", ",").alias("tags"),
-        F.col("meta.data_files").alias("files"),
-        F.col("meta.donate_label.user_label").alias("user_label"),
+        F.col("meta.parts").alias("files"),
+        F.col("meta.review.grade").alias("grade"),
         F.col("meta.extra").isNotNull().cast("int").alias("has_extra"),
         F.col("meta.extra.note").alias("note"),
     )
@@ -67,7 +69,7 @@ def unwrapped(spark: SparkSession, sf: str, dates: str = "raw") -> DataFrame:
 
 def document_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Object id where there is one, plain id where not, content hash as the last resort."""
-    base = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    base = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     ident = (
         F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(F.lpad(F.hex("doc_id"), 24, "0").alias("$oid"))))
         .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("id-"), F.col("doc_id").cast("string")))
@@ -76,7 +78,7 @@ def document_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def actions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("doc_key"), "lang", "n_chars")
+    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("doc_key"), "lang", "n_chars", "text")
     return docs.bulk_actions(rows, sinks.index_name("docs-{lang}-v1"))
 
 
@@ -104,9 +106,9 @@ def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     letters = work_path(spark, "letters")
     docs.bulk_write(actions(spark, sf), _Picky(), 1, work_path(spark, "report"), letters)
     back = spark.read.schema(
-        "error string, timestamp string, index string, data array<struct<_id: string, lang: string, n_chars: bigint>>"
+        "error string, timestamp string, index string, data array<struct<_id: string, lang: string, n_chars: bigint, text: string>>"
     ).json(letters)
-    return back.select("error", "index", F.explode("data").alias("d")).select("error", "index", "d._id", "d.lang", "d.n_chars")
+    return back.select("error", "index", F.explode("data").alias("d")).select("error", "index", "d._id", "d.lang", "d.n_chars", F.md5("d.text").alias("digest"))
 
 
 def write_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,9 +181,9 @@ def change_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def index_folders(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "indices")
-    rows = sinks.route_index(table(spark, sf, "documents"), "s1-{source}-{lang}-alias").select("doc_id", "index_name")
+    rows = sinks.route_index(table(spark, sf, "documents"), "s1-{source}-{lang}-alias")
     sinks.write_by_index(rows, path)
-    return spark.read.schema(rows.schema).parquet(path).groupBy("index_name").agg(F.count("*").alias("docs"))
+    return spark.read.schema(rows.schema).parquet(path).groupBy("index_name").agg(F.count("*").alias("docs"), F.sum(F.length("text")).alias("chars"))
 
 
 QUERIES = {
@@ -200,22 +202,22 @@ QUERIES = {
     "sink_index_folders": index_folders,
 }
 
-_UNWRAP = """select lpad(printf('%X', doc_id), 24, '0') as id, doc_id, cast(n_chars as integer) as chars, doc_id * 5000000000 as big,
+_UNWRAP = """select lpad(printf('%X', doc_id), 24, '0') as id, doc_id, md5(text) as digest, cast(n_chars as integer) as chars, doc_id * 5000000000 as big,
     n_chars / 4 as ratio, case when doc_id % 11 = 0 then 'some day' else {date} end as created,
     case when doc_id % 7 = 0 then null else lang end as lang, lang || ',' || source as tags,
-    '{{"size":{{"$numberInt":"' || n_chars || '"}},"source":"' || source || '"}}' as files, cast(doc_id as varchar) as user_label,
+    '{{"size":{{"$numberInt":"' || n_chars || '"}},"source":"' || source || '"}}' as files, cast(doc_id as varchar) as grade,
     cast({extra} as integer) as has_extra, case when doc_id % 2 = 0 then null else source end as note from documents"""
 
 ORACLE = {
     "docs_unwrap": _UNWRAP.format(date="strftime(epoch_ms(doc_id * 86400000), '%Y-%m-%dT%H:%M:%SZ')", extra="1"),
     "docs_unwrap_millis": _UNWRAP.format(date="cast(doc_id * 86400000 as varchar)", extra="doc_id % 2"),
     "docs_ids": """select doc_id, case doc_id % 3 when 0 then lpad(printf('%X', doc_id), 24, '0') when 1 then 'id-' || doc_id
-      else sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}') end as doc_key from documents""",
+      else sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '","text":' || to_json(text) || '}') end as doc_key from documents""",
     "docs_actions": """select 'docs-' || lang || '-v1' as _index, cast(doc_id as varchar) as _id,
-      '{"lang":"' || lang || '","n_chars":' || n_chars || '}' as _source from documents""",
+      '{"lang":"' || lang || '","n_chars":' || n_chars || ',"text":' || to_json(text) || '}' as _source from documents""",
     "docs_batches": """select batch, count(*) as docs, min(doc_id) as first, max(doc_id) as last from (
       select doc_id, (row_number() over (order by doc_id) - 1) // 64 as batch from documents) group by 1""",
-    "docs_dead_letters": """select 'fr not accepted' as error, 'docs-fr-v1' as index, cast(doc_id as varchar) as _id, lang, n_chars
+    "docs_dead_letters": """select 'fr not accepted' as error, 'docs-fr-v1' as index, cast(doc_id as varchar) as _id, lang, n_chars, md5(text) as digest
       from documents where lang = 'fr'""",
     "docs_write_stats": """select count(*) as docs, count(*) filter (where lang <> 'fr') as ok, count(*) filter (where lang = 'fr') as failed
       from documents""",
@@ -226,5 +228,5 @@ ORACLE = {
     "source_positional_csv": "select p_partkey as id, p_name as name, p_brand as brand from part where p_size <= 45",
     "sink_change_messages": """select case when event_type = 'error' then 'delete' else 'upsert' end as action, count(*) as events,
       cast(sum(event_id) as bigint) as ids from events group by 1""",
-    "sink_index_folders": "select 's1-' || source || '-' || lang || '-alias' as index_name, count(*) as docs from documents group by 1",
+    "sink_index_folders": "select 's1-' || source || '-' || lang || '-alias' as index_name, count(*) as docs, cast(sum(length(text)) as bigint) as chars from documents group by 1",
 }

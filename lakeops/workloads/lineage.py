@@ -94,7 +94,8 @@ def columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def _schema_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Three columns for each source table name used without a database in `raw`, in `lake.raw`."""
-    number = table(spark, sf, "nation").filter("n_nationkey < 11").select(F.col("n_nationkey").alias("n"))
+    turns = table(spark, sf, "conversations")
+    number = turns.select(((F.col("conv_id") + F.col("turn")) % 11).alias("n")).distinct()
     spread = number.withColumn("position", F.explode(F.sequence(F.lit(1), F.lit(3))))
     return spread.select(
         F.lit("lake").alias("database"), F.lit("raw").alias("schema"), F.concat(F.lit("src"), F.col("n").cast("string")).alias("table"),
@@ -285,7 +286,7 @@ QUERIES = {
 _BASE = """history as (select conv_id as query_id, conv_id % 7 as user_id, conv_id * 10 as transaction_id, conv_id % 100 as session_id,
     conv_id * 1000 as start_time, conv_id * 1000 + max(turn) * 10 as end_time,
     (['DDL', 'CTAS', 'COPY', 'INSERT', 'UNLOAD', 'SELECT'])[conv_id % 6 + 1] as query_type from conversations group by conv_id),
-  texts as (select conv_id as query_id, string_agg(rtrim(text || '  ', ' '), '' order by turn, text) as query_txt from conversations where turn < 320 group by 1),
+  texts as (select conv_id as query_id, string_agg(rtrim(text || '  ', ' '), '' order by turn, text) as query_txt from conversations group by 1),
   tabs as (select n_nationkey as table_id, 'dev' as database, lower(r_name) as schema, lower(n_name) as "table", 'TABLE' as table_type
     from nation, region where n_regionkey = r_regionkey),
   q as (select distinct database, schema, "table", table_type, user_id, h.query_id, transaction_id, session_id, start_time, end_time, query_txt

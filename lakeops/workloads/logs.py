@@ -176,7 +176,7 @@ _DOC_RECORDS = """with l as (select source as path, doc_id, unnest(list_prepend(
       generate_subscripts(list_prepend('', string_split(text, chr(10))), 1) as i from documents),
   p as (select *, row_number() over (partition by path order by doc_id, i) - 1 as pos from l),
   s as (select *, coalesce(max(case when regexp_matches(line, '^\\d{4}-\\d{2}-\\d{2}') then pos end) over (partition by path order by pos), 0) as first_line from p),
-  r as (select path, first_line, count(*) as lines, string_agg(line, chr(10) order by pos) as message from s where pos - first_line < 1000 group by 1, 2) """
+  r as (select path, first_line, count(*) as lines, string_agg(line, chr(10) order by pos) as message from s group by 1, 2) """
 
 ORACLE = {
     "logs_extract": _extract_sql(False),

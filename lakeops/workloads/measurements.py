@@ -83,7 +83,7 @@ QUERIES = {
     "metrics_consumer_rate": consumer_rate,
 }
 
-_BOUNDS = """(values ('0-10', 0, 10), ('10-50', 10, 50), ('50-100', 50, 100), ('100-500', 100, 500), ('500-1000', 500, 1000),
+_BOUNDS = """(values ('<0', -1e300, 0), ('0-10', 0, 10), ('10-50', 10, 50), ('50-100', 50, 100), ('100-500', 100, 500), ('500-1000', 500, 1000),
   ('1000+', 1000, 1e300)) b(bucket, lo, hi)"""
 _P = "list_sort(list(value))"
 _PERCENTILES = ", ".join(

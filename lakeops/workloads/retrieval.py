@@ -9,16 +9,13 @@ from lakeops.functions.text import hash_embedder
 from lakeops.operators import vectors
 from lakeops.session import spread, table, work_path
 
-# Platforms of the vector documents.
-PLATFORMS = ["web", "mobile", "desktop", "api", "iot", "cloud"]
-
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("doc_id"),
         "embedding",
         F.col("label").cast("bigint").alias("label"),
-        F.element_at(F.array(*map(F.lit, PLATFORMS)), (F.col("vec_id") % 6 + 1).cast("int")).alias("platform"),
+        F.concat(F.lit("group"), (F.col("vec_id") % 6).cast("string")).alias("platform"),
         F.concat(F.lit("2024-01-"), F.lpad((F.col("vec_id") % 5 + 1).cast("string"), 2, "0")).alias("date"),
     )
 
@@ -168,7 +165,7 @@ QUERIES = {
 }
 
 _DOCS = """docs as (select vec_id as doc_id, cast(embedding as double[]) as v, cast(label as bigint) as label,
-    (['web', 'mobile', 'desktop', 'api', 'iot', 'cloud'])[vec_id % 6 + 1] as platform,
+    'group' || (vec_id % 6) as platform,
     '2024-01-0' || (vec_id % 5 + 1) as date from embeddings)"""
 
 

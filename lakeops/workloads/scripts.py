@@ -10,41 +10,36 @@ from lakeops.operators.tables import write_text
 from lakeops.plans import script
 from lakeops.session import tune, work_path
 
-_LAYERS = """
--- ods: rides with calendar columns
-create or replace temp view events_{RUN} using parquet options (path '{SF}/events.parquet');
-create table rides_{RUN} using parquet location '{DIR}/rides' as
-  select year(ts) year, month(ts) month, day(ts) day, hour(ts) hour, t.*
-  from events_{RUN} t where ts >= '2024-01-01 00:00:00' and ts <= '2024-02-01 00:00:00';
-drop table if exists ods_01_{RUN};
-create table ods_01_{RUN} using parquet location '{DIR}/ods01' as
-  select concat(year, '-', lpad(month, 2, 0), '-', lpad(day, 2, 0)) pardate, hour, count(*) as cnt
-  from rides_{RUN} where hour >= 0 and hour <= 12 group by year, month, day, hour;
-drop table if exists ods_02_{RUN};
-create table ods_02_{RUN} using parquet location '{DIR}/ods02' as
-  select concat(year, '-', lpad(month, 2, 0), '-', lpad(day, 2, 0)) pardate, hour, count(*) as cnt
-  from rides_{RUN} where hour >= 13 and hour <= 23 group by year, month, day, hour;
-----dwd; one day
-create table dwd_{RUN} using parquet location '${DIR}/dwd' as select * from ods_01_{RUN} where pardate = '${DT}';
+_STEPS = """
+create or replace temp view sales_{RUN} using parquet options (path '{SF}/lineitem.parquet');
+/* revenue per supplier and month; the busy and the quiet months go to tables of their own */
+create table monthly_{RUN} using parquet location '{DIR}/monthly' as
+  select l_suppkey as supplier, date_format(l_shipdate, 'yyyy-MM') as month, count(*) as lines, round(sum(l_quantity), 2) as quantity
+  from sales_{RUN} group by 1, 2;
+drop table if exists busy_{RUN};
+create table busy_{RUN} using parquet location '{DIR}/busy' as select * from monthly_{RUN} where quantity >= {MANY};
+drop table if exists quiet_{RUN};
+create table quiet_{RUN} using parquet location '{DIR}/quiet' as select * from monthly_{RUN} where quantity < {MANY};
+create table report_{RUN} using parquet location '${DIR}/report' as select * from busy_{RUN} where month < '${CUT}';
 """
 
-_APPEND = "insert into dwd_{RUN} select * from ods_02_{RUN} where pardate = '{DT}'; select * from dwd_{RUN}"
-_OVERWRITE = """insert overwrite table dwd_{RUN}
-  select * from ods_01_{RUN} where pardate = '{DT}' union select * from ods_02_{RUN} where pardate = '{DT}' and hour > 20;
-select * from dwd_{RUN}"""
+_APPEND = "insert into report_{RUN} select * from quiet_{RUN} where month < '{CUT}'; select * from report_{RUN}"
+_OVERWRITE = """insert overwrite table report_{RUN}
+  select * from quiet_{RUN} where month >= '{CUT}' union select * from busy_{RUN} where month >= '{CUT}' and lines > 1;
+select * from report_{RUN}"""
 
 
 def _params(spark: SparkSession, sf: str) -> dict[str, str]:
     tune(spark)
-    return {"RUN": uuid.uuid4().hex[:10], "SF": sf, "DIR": work_path(spark, "layers"), "DT": "2024-01-05"}
+    return {"RUN": uuid.uuid4().hex[:10], "SF": sf, "DIR": work_path(spark, "steps"), "MANY": "60", "CUT": "1998-06"}
 
 
 def layers_append(spark: SparkSession, sf: str) -> DataFrame:
-    return script.run_script(spark, _LAYERS + _APPEND, _params(spark, sf))
+    return script.run_script(spark, _STEPS + _APPEND, _params(spark, sf))
 
 
 def layers_overwrite(spark: SparkSession, sf: str) -> DataFrame:
-    return script.run_script(spark, _LAYERS + _OVERWRITE, _params(spark, sf))
+    return script.run_script(spark, _STEPS + _OVERWRITE, _params(spark, sf))
 
 
 def create_if_absent(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,12 +83,12 @@ QUERIES = {
     "script_suite_outcome": suite_outcome,
 }
 
-_HOURS = """select strftime(ts, '%Y-%m-%d') as pardate, cast(hour(ts) as integer) as hour, count(*) as cnt
-  from events where cast(ts as date) = date '2024-01-05' {more} group by 1, 2"""
+_MONTHS = """select * from (select l_suppkey as supplier, strftime(l_shipdate, '%Y-%m') as month, count(*) as lines, round(sum(l_quantity), 2) as quantity
+  from lineitem group by 1, 2) where {where}"""
 
 ORACLE = {
-    "script_layers_append": _HOURS.format(more=""),
-    "script_layers_overwrite": _HOURS.format(more="and (hour(ts) <= 12 or hour(ts) > 20)"),
+    "script_layers_append": _MONTHS.format(where="month < '1998-06'"),
+    "script_layers_overwrite": _MONTHS.format(where="month >= '1998-06' and (quantity < 60 or lines > 1)"),
     "script_create_if_absent": "select o_orderstatus, count(*) as orders from orders group by 1",
     "script_suite_outcome": """select 'q1.sql' as file, cast(1 as integer) as statement, count(distinct l_returnflag) as "rows", true as ok from lineitem
       union all select 'q2.sql', 1, count(distinct o_orderpriority), true from orders

@@ -27,16 +27,16 @@ def test_unwrap_nested(spark):
                 "epoch": {"$date": {"$numberLong": "77"}},
                 "list": [{"$numberDouble": "1.5"}, None, {"$numberDouble": "2"}],
                 "words": ["null", "a"],
-                "meta": {"data_files": {"k": {"$numberInt": "1"}}, "donate_label": {"user_label": {"$numberInt": "3"}}, "note": "null"},
+                "meta": {"parts": {"k": {"$numberInt": "1"}}, "review": {"grade": {"$numberInt": "3"}}, "note": "null"},
             },
             {"n": {"$numberInt": "oops"}, "when": {"$date": "soon"}, "words": []},
         ],
     )
-    out = docs.unwrap_extended_json(df, "millis", ["meta.data_files"], ["meta.donate_label.user_label"])
+    out = docs.unwrap_extended_json(df, "millis", ["meta.parts"], ["meta.review.grade"])
     first, second = out.orderBy(F.asc_nulls_last("_id")).collect()
     assert first["_id"] == "abc" and first["n"] == 5 and first["when"] == "1704067200000" and first["epoch"] == 77
     assert first["list"] == [1.5, 2.0] and first["words"] == ["a"]
-    assert first["meta"]["data_files"] == '{"k":{"$numberInt":"1"}}' and first["meta"]["donate_label"]["user_label"] == "3"
+    assert first["meta"]["parts"] == '{"k":{"$numberInt":"1"}}' and first["meta"]["review"]["grade"] == "3"
     assert first["meta"]["note"] is None
     assert second["n"] is None and second["when"] == "soon" and second["words"] == [] and second["meta"] is None
     action = docs.bulk_actions(docs.with_document_id(out), "idx").filter("_id = 'abc'").head()

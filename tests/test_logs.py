@@ -39,7 +39,9 @@ def test_max_lines_drops_the_excess(spark):
         F.when(F.col("id") == 0, "2024-01-01").otherwise(F.col("id").cast("string")).alias("line"),
     )
     (row,) = logs.join_multiline(lines, max_lines=10).collect()
-    assert row["lines"] == 10 and row["message"].endswith("\n9")
+    assert row["lines"] == 10 and row["message"].endswith("\n9") and row["truncated"]
+    (row,) = logs.join_multiline(lines).collect()
+    assert row["lines"] == 30 and not row["truncated"]
 
 
 def lines(spark, items):
