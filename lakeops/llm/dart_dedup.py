@@ -13,6 +13,7 @@ Texts with fewer words than a shingle have one shingle, all their words. Further
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.llm.graph import components
 from lakeops.llm.text import Words, mix, shingles, slices, uniform
@@ -90,8 +92,12 @@ def _signatures(size: int, bands: int, rows: int):
                     [
                         part.column(0), pa.array(counts, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
                         pa.ListArray.from_arrays(np.arange(0, n * bands + 1, bands, dtype=np.int32), pa.array(keys.reshape(-1).view(np.int64))),
+                        # One byte of each coordinate, to estimate the similarity of a pair.
+                        pa.ListArray.from_arrays(
+                            np.arange(0, n * bands * rows + 1, bands * rows, dtype=np.int32), pa.array((names.reshape(-1) & np.uint64(255)).astype(np.uint8).view(np.int8))
+                        ),
                     ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "bands"],
+                    names=["doc_id", "n_shingles", "h1", "h2", "bands", "marks"],
                 )
 
     return run
@@ -108,7 +114,17 @@ def _sets(size: int):
     return run
 
 
-@F.pandas_udf("double")
+def least_agreed(k: int, similarity: float, lost: float = 1e-5) -> int:
+    """Coordinates that a pair of this similarity shares at least, but for one pair in 1 / lost."""
+    total = 0.0
+    for n in range(k + 1):
+        total += math.comb(k, n) * similarity**n * (1 - similarity) ** (k - n)
+        if total > lost:
+            return n
+    return k
+
+
+@F.pandas_udf(T.DoubleType())
 def _jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     out = np.zeros(len(left))
     for i, (a, b) in enumerate(zip(left, right, strict=True)):
@@ -122,7 +138,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """Exact similarity of candidate pairs (a, b)."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right"))
-    return stored(pairs.join(right, "b").join(left, "a").select("a", "b", _jaccard("left", "right").alias("similarity")), name)
+    return stored(pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", _jaccard("left", "right").alias("similarity")), name)
 
 
 def near_duplicates(
@@ -132,50 +148,83 @@ def near_duplicates(
 
     A class is a connected component of the links: pairs that share a band and have an exact Jaccard similarity of at least
     `similarity`. Documents with equal shingle sets are one node. In a bucket (documents with one band in common), each is compared with
-    the bucket's smallest document. One that is not similar to it is compared with the others of the bucket that share a second band
-    with it (with 25 bands, all but one similar pair in 10 000 do), lie in another component, and are not ruled out by the triangle
-    inequality of the Jaccard distance. So a bucket of n copies costs n comparisons, not n squared, and loses no link.
+    the bucket's smallest document. One that is not similar to it is compared with the bucket's document that has the most links so far. Only
+    then, in buckets that still hold several components, it is compared with all others that share a second band with it (with 25 bands, all
+    but one similar pair in 10 000 do) and enough coordinates (all but one in 100 000 do), lie in another component, and are not ruled out by the triangle inequality of the
+    Jaccard distance. So a bucket of n copies costs n comparisons, not n squared, and no link between components is lost.
+
+    Joins are sort-merge joins at every size: plans, and what they cost, are alike for small and large inputs.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shape = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"
+    shape = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, marks array<tinyint>"
     signed = stored(texts.mapInArrow(_signatures(size, bands, rows), shape), "signatures")
     named = signed.filter("doc_id is not null and n_shingles > 0")
     equal = stored(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "equal")
+    first = F.col("doc_id") == F.col("rep")
     member = stored(
-        named.join(equal, ["h1", "h2"]).select("doc_id", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")),
+        named.join(equal.hint("merge"), ["h1", "h2"]).select(
+            "doc_id", "rep", F.when(first, F.col("bands")).alias("bands"), F.when(first, F.col("marks")).alias("marks")
+        ),
         "members",
     )
     banded = member.filter("bands is not null").select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last")
     buckets = stored(buckets.select("key", "leader"), "buckets")
-    seats = stored(banded.join(buckets, "key").filter("id > leader").distinct(), "seats")
+    seats = stored(banded.join(buckets.hint("merge"), "key").filter("id > leader").distinct(), "seats")
     pairs = stored(seats.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, elements binary"), "sets")
+    sets = stored(texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, elements binary"), "sets")
     sets = sets.groupBy("doc_id").agg(F.max("elements").alias("elements")) if _repeats(sets) else sets
     tested = _verified(pairs, sets, "tested")
     links = tested.filter(F.col("similarity") >= similarity)
-    found = components(links.select("a", "b"))
-
-    # Those that are not similar to their bucket's leader, against the rest of the bucket.
+    # Those that are not similar to their bucket's leader, against the member of the bucket with the most links so far.
     far = 1 - similarity
-    placed = seats.join(tested, (seats.leader == tested.a) & (seats.id == tested.b)).select(
-        "key", "id", (1 - F.col("similarity")).alias("distance")
+    seats = seats.join(tested.hint("merge"), (seats.leader == tested.a) & (seats.id == tested.b)).select(
+        "key", "leader", "id", (1 - F.col("similarity")).alias("distance")
     )
-    placed = placed.join(found, placed.id == found.node, "left").select("key", "id", "distance", F.coalesce("component", "id").alias("component"))
-    loose = stored(placed.filter(F.col("distance") > far), "loose")
-    near = placed.join(loose.select("key").distinct(), "key", "left_semi")
-    second = banded.select(F.col("id").alias("other"), F.col("key").alias("key2"))
-    wide = lambda x: x.join(second, x.id == second.other).filter("key != key2").drop("other")
-    x, y = wide(loose).alias("x"), wide(near).alias("y")
-    rest = x.join(y, ["key", "key2"]).filter(
-        (F.col("x.component") != F.col("y.component")) & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    loose = stored(seats.filter(F.col("distance") > far), "loose")
+    open_ = loose.select("key").distinct()
+    close = seats.filter(F.col("distance") <= far).join(open_.hint("merge"), "key", "left_semi").select("key", "id")
+    hubs = close.join(stored(degree, "degrees").hint("merge"), F.col("id") == F.col("node"))
+    hubs = hubs.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("most"))
+    hubs = stored(hubs.select("key", (-F.col("most.less")).alias("hub")), "hubs")
+    held = loose.join(hubs.hint("merge"), "key")
+    retry = stored(held.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "retry")
+    again = _verified(retry.join(tested.hint("merge"), ["a", "b"], "left_anti"), sets, "tested-hubs")
+    links = links.unionByName(again.filter(F.col("similarity") >= similarity)).select("a", "b")
+    found = components(links)
+
+    # At last, of each bucket that still holds several components, the pairs that may link them.
+    named_bands = member.filter("bands is not null").select(F.col("rep").alias("of"), "bands", "marks")
+    placed = seats.join(open_.hint("merge"), "key", "left_semi").join(found.hint("merge"), F.col("id") == F.col("node"), "left")
+    placed = placed.select("key", "leader", "id", "distance", F.coalesce("component", "id").alias("component"))
+    first = placed.select("key", "leader").distinct().join(found.hint("merge"), F.col("leader") == F.col("node"), "left")
+    first = first.select("key", F.col("leader").alias("id"), F.lit(0.0).alias("distance"), F.coalesce("component", "leader").alias("component"))
+    placed = stored(placed.drop("leader").unionByName(first), "placed")
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    several = stored(several.filter("low < high and n > 2").select("key"), "several")
+    placed = stored(placed.join(several.hint("merge"), "key", "left_semi").join(named_bands.hint("merge"), F.col("id") == F.col("of")).drop("of"), "open")
+    x, y = placed.filter(F.col("distance") > far).alias("x"), placed.filter("distance > 0").alias("y")
+    # A pair is taken in the first of the bands it shares; similar texts share two at least, and most coordinates.
+    shared = F.array_intersect("x.bands", "y.bands")
+    agreed = F.aggregate(F.zip_with("x.marks", "y.marks", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
+    rest = x.join(
+        y.hint("merge"),
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9)
+        & ((F.col("x.id") < F.col("y.id")) | (F.col("y.distance") <= far))
+        & (F.size(shared) > 1)
+        & (shared[0] == F.col("x.key"))
+        & (agreed >= least_agreed(bands * rows, similarity)),
     )
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    rest = rest.join(again.hint("merge"), ["a", "b"], "left_anti")
     more = _verified(rest, sets, "tested-rest").filter(F.col("similarity") >= similarity)
     if more.head(1):
-        found = components(links.select("a", "b").unionByName(more.select("a", "b")))
+        found = components(links.unionByName(more.select("a", "b")))
 
     label = member.join(found, member.rep == found.node, "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     label = stored(label.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "classes").withColumnRenamed("doc_id", "id")
@@ -192,5 +241,5 @@ def _repeats(sets: DataFrame) -> bool:
 def drop_near_duplicates(docs: DataFrame, **options: float) -> DataFrame:
     """The documents of `docs`, one of each class; of repeated rows of a kept document, one. Rows without doc_id stay."""
     keep = near_duplicates(docs, **options).filter("kept and doc_id is not null").select("doc_id")
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.filter("doc_id is null"))
