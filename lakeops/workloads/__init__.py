@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("change_data", "lake", "star_reports", "scripts", "measurements", "retrieval", "documents", "logs", "lineage", "streams")
+FAMILIES = ("change_data", "lake", "star_reports", "scripts", "measurements", "retrieval", "documents", "logs", "lineage", "streams", "operations")
 
 
 def _merged(name: str) -> dict:
