@@ -7,6 +7,7 @@ Joins carry no broadcast hints: Spark broadcasts a dimension only while its meas
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,33 +31,40 @@ def above_group_average(
     return totals.join(limit, group).filter(F.col(value) > F.col("_limit")).drop("_limit")
 
 
-def weekday_totals(sales: DataFrame, date: str, amount: str) -> DataFrame:
-    """Sales per week number, one column per weekday. Weeks count from a Sunday."""
+def weekday_totals(sales: DataFrame, date: str, amount: str, days: Sequence[int] = ()) -> DataFrame:
+    """Sales per week number, one column per weekday. Weeks count from a Sunday. `days` adds a count of rows of each of these years."""
     day = F.col(date).cast("date")
     week = F.floor((F.datediff(day, F.lit("1970-01-04").cast("date"))) / 7)
     sums = [
         F.sum(F.when(F.dayofweek(day) == i + 1, F.col(amount))).alias(f"{name}_sales")
         for i, name in enumerate(WEEKDAYS)
     ]
+    sums += [F.count_if(F.year(day) == y).alias(f"_days_{y}") for y in days]
     return sales.groupBy(week.alias("week_seq")).agg(*sums)
 
 
 def weekday_yoy(sales: DataFrame, date: str, amount: str, year: int, lag_weeks: int = 53) -> DataFrame:
     """Ratio of each weekday's sales to the same weekday `lag_weeks` later.
 
-    As in the star-schema query, a week repeats once per pair of its calendar days in the two years.
+    As in the star-schema query, a week repeats once per pair of its calendar days in the two years. The sales are read once, and only
+    those of the weeks of the two years; a week meets the one after `lag_weeks` by grouping on the shifted number, not by a join.
     """
-    weekly = weekday_totals(sales, date, amount)
+    near = between_dates(date, f"{year - 1}-12-25", f"{year + 2}-01-08")
     day = F.col(date).cast("date")
-    calendar = sales.select(day.alias("d")).distinct().select(
-        F.floor((F.datediff("d", F.lit("1970-01-04").cast("date"))) / 7).alias("week_seq"), F.year("d").alias("y")
+    daily = sales.filter(near).groupBy(day.alias("_day")).agg(F.sum(amount).alias("_amount"))
+    weekly = weekday_totals(daily, "_day", "_amount", days=[year, year + 1])
+    columns = [f"{d}_sales" for d in WEEKDAYS]
+    first = F.struct(F.col("week_seq").alias("week"), F.col(f"_days_{year}").alias("times"), *columns)
+    second = F.struct((F.col("week_seq") - lag_weeks).alias("week"), F.col(f"_days_{year + 1}").alias("times"), *columns)
+    sides = weekly.select(F.posexplode(F.array(first, second)).alias("side", "w")).filter("w.times > 0")
+    met = sides.groupBy(F.col("w.week").alias("week_seq")).agg(
+        F.max(F.when(F.col("side") == 0, F.col("w"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("w"))).alias("b")
     )
-    first = weekly.join(calendar.filter(F.col("y") == year), "week_seq").drop("y")
-    second = weekly.join(calendar.filter(F.col("y") == year + 1), "week_seq").drop("y")
-    second = second.select((F.col("week_seq") - lag_weeks).alias("week_seq"), *(F.col(f"{d}_sales").alias(f"{d}_next") for d in WEEKDAYS))
-    return first.join(second, "week_seq").select(
+    pairs = met.filter("a is not null and b is not null")
+    repeated = pairs.withColumn("_n", F.explode(F.sequence(F.lit(1), (F.col("a.times") * F.col("b.times")).cast("int"))))
+    return repeated.select(
         F.col("week_seq").cast("bigint").alias("week_seq"),
-        *(F.round(F.try_divide(f"{d}_sales", f"{d}_next"), 2).alias(d) for d in WEEKDAYS),
+        *(F.round(F.try_divide(f"a.{d}_sales", f"b.{d}_sales"), 2).alias(d) for d in WEEKDAYS),
     )
 
 
@@ -151,9 +159,8 @@ def hourly_counts(rides: DataFrame, hours: Sequence[int] | None = None) -> DataF
     )
 
 
-def union_slices(*slices: DataFrame, date: str) -> DataFrame:
-    """Distinct union of hourly slices for one day."""
-    merged = slices[0]
-    for part in slices[1:]:
-        merged = merged.unionByName(part)
-    return merged.filter(F.col("pardate") == date).distinct()
+def day_slices(rides: DataFrame, time: str, day: str, *hours: Sequence[int]) -> DataFrame:
+    """Distinct union of hourly slices of one day: one scan of the day with one list of hours."""
+    wanted = sorted({h for some in hours for h in some})
+    tomorrow = (date.fromisoformat(day) + timedelta(days=1)).isoformat()
+    return hourly_counts(with_calendar(rides.filter(between_dates(time, day, tomorrow)), time), wanted)

@@ -67,44 +67,40 @@ def growth_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def channel_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem")
+    """Sales and returns of three channels: the order's priority makes the channel, supplier, brand or customer segment its ids.
+
+    All channels are one join of the facts; the site of a web sale may be missing, the brand of a catalog sale may not.
+    """
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand")
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    facts = (
+        table(spark, sf, "lineitem").filter(F.col("l_returnflag").isNotNull())
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    )
     zero = F.lit(0.0)
     price, profit = F.col("l_extendedprice"), F.col("l_extendedprice") * F.col("l_discount")
-
-    def flows(rows: DataFrame, channel: str, ident) -> DataFrame:
-        name = F.concat(F.lit(channel.split()[0]), ident.cast("string"))
-        # Sales and returns live in one table here, so their union is one pass with conditional amounts.
-        returned = F.col("l_returnflag") == "R"
-        return rows.filter(F.col("l_returnflag").isNotNull()).select(
-            F.lit(channel).alias("channel"),
-            name.alias("id"),
-            F.col("l_shipdate").alias("d"),
-            F.when(returned, zero).otherwise(price).alias("sales"),
-            F.when(returned, zero).otherwise(profit).alias("profit"),
-            F.when(returned, price).otherwise(zero).alias("returns"),
-            F.when(returned, price * F.col("l_tax")).otherwise(zero).alias("loss"),
-        )
-
-    store = flows(facts.filter("o_orderpriority in ('1-URGENT', '2-HIGH')"), "store channel", F.col("l_suppkey"))
-    catalog = flows(
-        facts.filter("o_orderpriority = '3-MEDIUM'").join(parts, F.col("l_partkey") == F.col("p_partkey")),
-        "catalog channel",
-        F.col("p_brand"),
-    )
-    # Web returns find their site through the order, by a left join on the composite key.
-    web = facts.filter("o_orderpriority in ('4-NOT SPECIFIED', '5-LOW')")
-    sites = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        F.col("o_orderkey").alias("s_orderkey"), F.col("o_custkey").alias("s_custkey"), "c_mktsegment"
+    priority = F.col("o_orderpriority")
+    channel = (
+        F.when(priority.isin("1-URGENT", "2-HIGH"), "store")
+        .when((priority == "3-MEDIUM") & F.col("p_partkey").isNotNull(), "catalog")
+        .when(priority.isin("4-NOT SPECIFIED", "5-LOW"), "web")
     )
-    web = web.join(
-        sites, (F.col("l_orderkey") == F.col("s_orderkey")) & (F.col("o_custkey") == F.col("s_custkey")), "left"
+    ident = F.when(channel == "store", F.col("l_suppkey").cast("string")).when(channel == "catalog", F.col("p_brand")).otherwise(F.col("c_mktsegment"))
+    # Sales and returns live in one table here, so their union is one pass with conditional amounts.
+    returned = F.col("l_returnflag") == "R"
+    flows = facts.filter(channel.isNotNull()).select(
+        F.concat(channel, F.lit(" channel")).alias("channel"),
+        F.concat(channel, ident).alias("id"),
+        F.col("l_shipdate").alias("d"),
+        F.when(returned, zero).otherwise(price).alias("sales"),
+        F.when(returned, zero).otherwise(profit).alias("profit"),
+        F.when(returned, price).otherwise(zero).alias("returns"),
+        F.when(returned, price * F.col("l_tax")).otherwise(zero).alias("loss"),
     )
-    web = flows(web, "web channel", F.col("c_mktsegment"))
-    return star.channel_rollup(store.unionByName(catalog).unionByName(web), "d", "2000-08-23", 14)
+    return star.channel_rollup(flows, "d", "2000-08-23", 14)
 
 
 def average_slice(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,9 +143,7 @@ def hourly_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hourly_union_day(spark: SparkSession, sf: str) -> DataFrame:
-    rides = star.with_calendar(table(spark, sf, "events"), "ts")
-    slices = star.hourly_counts(rides, [11, 12, 13]), star.hourly_counts(rides, [13, 14])
-    return star.union_slices(*slices, date="2024-01-02")
+    return star.day_slices(table(spark, sf, "events"), "ts", "2024-01-02", [11, 12, 13], [13, 14])
 
 
 QUERIES = {
