@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import parent_path, unescape
 from lakeops.operators.ordered import CHUNK, running_max, with_chunk
-from lakeops.session import shared_dir
+from lakeops.session import stored
 
 # Query kinds that move data, texts that mark events in job logs, and the identifiers of the events.
 QUERY_TYPES = ("DDL", "CTAS", "COPY", "INSERT", "UNLOAD")
@@ -245,8 +245,10 @@ def extract_log_events(
     the event if that parses; otherwise they are unrelated and head and end alone are tried. A line belongs to the
     latest head before it.
     """
-    lines = log_messages(logs, marker)
-    whole = F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()
+    # Messages are split and parsed once; everything below reads the lines.
+    parsed = F.col("body").isNotNull() & F.try_parse_json("body").isNotNull()
+    lines = stored(log_messages(logs, marker).withColumn("_whole", parsed), "log-lines")
+    whole = F.col("_whole")
     complete = lines.filter(whole).select("stream", "event_id", "timestamp", F.col("body").alias("event"))
 
     order = ["timestamp", "event_id", "line_no"]
@@ -255,15 +257,13 @@ def extract_log_events(
     heads = lines.filter(is_head & ~whole).select("stream", "event_id", "timestamp", "line_no", "body")
     # Only lines close to a head can belong to one: few of a whole log, kept on shared storage for the steps below.
     near = heads.select("stream", F.explode(F.array(bucket, bucket + 1)).alias("_bucket")).distinct()
-    shared_dir(logs.sparkSession)
     rest = (
         lines.filter(~whole)
         .select("*", bucket)
         .join(near, ["stream", "_bucket"], "left_semi")
         .select("stream", *order, "line", "body")
-        .checkpoint()
     )
-    rest = with_chunk(rest, "timestamp")
+    rest = with_chunk(stored(rest, "near-lines"), "timestamp")
     head = F.when(is_head, F.struct(*order, "body"))
     placed = running_max(rest, ["stream"], order, head, "_head", strict=True).drop(CHUNK)
     in_reach = (

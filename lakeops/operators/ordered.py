@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.session import parallelism
+from lakeops.session import parallelism, stored
 
 CHUNK = "_chunk"
 
@@ -123,9 +123,8 @@ def rank_points(
     before any sort, and each group is spread over value ranges, so no task sees a whole group.
     """
     by = list(by)
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    )
+    # Read three times below, so the input is not.
+    counted = stored(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c")), "counted")
     ranged = with_chunk(counted, value)
     placed = prefix_sum(ranged, by, [value], F.col("_c"), "_before")
     totals = counted.groupBy(*by).agg(F.sum("_c").alias("n"))

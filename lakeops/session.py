@@ -77,5 +77,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lakeops/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several plans read to the shared folder, and read it again."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import cdc
-from lakeops.session import spread, table, work_path
+from lakeops.session import spread, stored, table, work_path
 
 _OPS = {"signup": "c", "view": "r", "click": "u", "purchase": "u", "error": "d"}
 _ORDER = ["ts_ms", "event_id"]
@@ -103,7 +103,7 @@ def decode_modes(spark: SparkSession, sf: str) -> DataFrame:
     """Columns each schema mode finds, with the rows that fill them."""
     events = table(spark, sf, "events")
     routed = cdc.route(cdc.parse_envelope(change_events(events, extra=True)), "C")
-    rows = routed.select("ts_ms", cdc.payload().alias("data"))
+    rows = stored(routed.select("ts_ms", cdc.payload().alias("data")), "routed")
     parts = []
     for mode in ("batch", "first", "last", "target"):
         schema = f"{_PAYLOAD}, amount double" if mode == "target" else None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.text import unescape
 from lakeops.operators import lineage
-from lakeops.session import spread, table
+from lakeops.session import spread, stored, table
 
 _NAMESPACE = "warehouse://host:5439"
 _KINDS = ["DDL", "CTAS", "COPY", "INSERT", "UNLOAD", "SELECT"]
@@ -124,7 +124,7 @@ def nodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    queries = _one_row_per_query(spark, sf)
+    queries = stored(_one_row_per_query(spark, sf), "queries")
     found = lineage.dataset_nodes(_touched(spark, sf), queries, _schema_columns(spark, sf), _NAMESPACE)
     facets = lineage.column_lineage(_edges(spark, sf), queries, _NAMESPACE)
     return lineage.run_events(queries, found, facets, _NAMESPACE)
