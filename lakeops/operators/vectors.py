@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions import text as words
-from lakeops.session import parallelism
+from lakeops.session import parallelism, stored
 
 QUERY_BYTES = 64 * 1024 * 1024
 ROWS_PER_CHUNK = 200_000
+CHUNK_BYTES = 64 * 1024 * 1024
 _CELLS_AT_ONCE = 4_000_000
 
 Scorer = Callable[[pd.DataFrame], np.ndarray]
@@ -131,28 +132,37 @@ def _dense(queries: pd.DataFrame, metric: str) -> Scorer:
 
 
 def _sparse(queries: pd.DataFrame, _metric: str) -> Scorer:
+    """Postings of the queries by term: memory follows the terms the queries hold, not vocabulary times queries."""
     owner = np.repeat(np.arange(len(queries)), [len(t) for t in queries["_terms"]])
     terms = np.concatenate([np.asarray(t, dtype=object) for t in queries["_terms"]]) if len(owner) else np.array([], object)
+    weights = np.concatenate([np.asarray(w, dtype=float) for w in queries["_weights"]]) if len(owner) else np.array([])
     vocabulary, at = np.unique(terms.astype(str), return_inverse=True)
-    weights = np.zeros((len(vocabulary) + 1, len(queries)))
-    if len(owner):
-        weights[at, owner] = np.concatenate([np.asarray(w, dtype=float) for w in queries["_weights"]])
+    order = np.argsort(at, kind="stable")
+    owner, weights = owner[order], weights[order]
+    first = np.searchsorted(at[order], np.arange(len(vocabulary) + 1))
     index = pd.Index(vocabulary)
 
     def score(docs: pd.DataFrame) -> np.ndarray:
-        result = np.zeros((len(docs), len(queries)))
-        matched = np.zeros((len(docs), len(queries)), dtype=bool)
-        if not len(index):
-            return np.full(result.T.shape, -np.inf)
-        for row, (keys, values) in enumerate(zip(docs["_terms"], docs["_weights"])):
-            hit = index.get_indexer(keys)
-            found = hit >= 0
-            if found.any():
-                chosen = weights[hit[found]]
-                result[row] = np.asarray(values, dtype=float)[found] @ chosen
-                matched[row] = (chosen != 0).any(axis=0)
+        shape = (len(docs), len(queries))
+        sizes = [len(t) for t in docs["_terms"]]
+        if not len(index) or not sum(sizes):
+            return np.full(shape[::-1], -np.inf)
+        hit = index.get_indexer(np.concatenate([np.asarray(t, dtype=object) for t in docs["_terms"]]))
+        values = np.concatenate([np.asarray(w, dtype=float) for w in docs["_weights"]])
+        row = np.repeat(np.arange(len(docs)), sizes)
+        result, matched = np.zeros(shape).reshape(-1), np.zeros(shape, dtype=bool).reshape(-1)
+        found = np.flatnonzero(hit >= 0)
+        many = np.cumsum(first[hit[found] + 1] - first[hit[found]])
+        # A bounded number of (document, posting) pairs at a time.
+        cuts = np.unique(np.searchsorted(many, np.arange(0, many[-1] if len(many) else 0, _CELLS_AT_ONCE)))
+        for part in np.split(found, cuts[1:]):
+            count = first[hit[part] + 1] - first[hit[part]]
+            place = np.repeat(first[hit[part]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            cell = np.repeat(row[part], count) * shape[1] + owner[place]
+            np.add.at(result, cell, np.repeat(values[part], count) * weights[place])
+            matched[cell[weights[place] != 0]] = True
         # Documents without a common term are no result at all.
-        return np.where(matched, result, -np.inf).T
+        return np.where(matched, result, -np.inf).reshape(shape).T
 
     return score
 
@@ -243,7 +253,9 @@ def _search(
         return _ranked(corpus.mapInPandas(scan, _result_schema(queries, corpus)), k)
     # Too many queries to ship whole: blocks of queries meet chunks of the corpus.
     blocks = math.ceil(volume / query_bytes)
-    chunks = max(parallelism(corpus.sparkSession), math.ceil(corpus.count() / ROWS_PER_CHUNK))
+    # Chunks hold bounded bytes, however long the vectors are.
+    cells = corpus.agg(F.sum(width)).head()[0] or 0
+    chunks = max(parallelism(corpus.sparkSession), math.ceil(cells * 16 / CHUNK_BYTES))
     left = queries.withColumns(
         {"_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)), "_chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))}
     ).withColumn("_chunk", F.col("_chunk").cast("bigint"))
@@ -253,6 +265,26 @@ def _search(
     return _ranked(_blocks(left, right, ["_block", "_chunk"], k, metric, kernel, exclude_self), k)
 
 
+def _search_groups(queries: DataFrame, corpus: DataFrame, k: int, metric: str, exclude_self: bool, group_bytes: int) -> DataFrame:
+    """Search within equal `_filter` values: both sides are grouped by the value first, so no query meets a document it may not return.
+
+    A large group of documents is split by its measured bytes and its queries go to each part; many queries of one value are split as well.
+    """
+    spec = [(corpus, "d"), (queries, "q")]
+    sizes = [x.groupBy("_filter").agg(F.ceil(F.sum(F.size("_vec")) * 16 / group_bytes).alias(f"_{n}n")) for x, n in spec]
+    parts = stored(sizes[0].join(sizes[1], "_filter"), "filter-groups")
+    part = parts.withColumnRenamed("_filter", "_f")
+    q = queries.join(part, F.col("_filter") == F.col("_f")).withColumns(
+        {"_qs": F.expr("pmod(xxhash64(query_id), _qn)"), "_ds": F.expr("explode(sequence(0L, _dn - 1))")}
+    )
+    d = corpus.join(part, F.col("_filter") == F.col("_f")).withColumns(
+        {"_ds": F.expr("pmod(xxhash64(doc_id), _dn)"), "_qs": F.expr("explode(sequence(0L, _qn - 1))")}
+    )
+    keys = ["_filter", "_qs", "_ds"]
+    q, d = q.select("query_id", "_vec", *keys), d.select("doc_id", "_vec", *keys)
+    return _ranked(_blocks(q, d, keys, k, metric, _dense, exclude_self), k)
+
+
 def _keyed(df: DataFrame, key: str, vector: str, name: str, filters: Sequence[str] = ()) -> DataFrame:
     columns = [F.col(key).alias(name), F.col(vector).alias("_vec")]
     if filters:
@@ -276,11 +308,14 @@ def knn(
     """Exact k nearest documents per query: (query_id, rank, doc_id, score).
 
     `cosine` and `dot` rank by similarity, `l2` by distance (`score` is the distance). `filters` pairs a query
-    column with a document column that must be equal; `exclude_self` drops the document with the query's id.
+    column with a document column that must be equal, which groups both sides before anything is scored; `exclude_self` drops the document with the query's id.
     """
     q = _keyed(queries, query_id, query_vector, "query_id", [a for a, _ in filters])
     d = _keyed(corpus, doc_id, doc_vector, "doc_id", [b for _, b in filters])
-    found = _search(q, d, k, metric, _dense, exclude_self, F.size("_vec"), query_bytes)
+    if filters:
+        found = _search_groups(q, d, k, metric, exclude_self, query_bytes)
+    else:
+        found = _search(q, d, k, metric, _dense, exclude_self, F.size("_vec"), query_bytes)
     score = F.sqrt(-F.col("score")) if metric == "l2" else F.col("score")
     return found.select("query_id", "rank", "doc_id", score.alias("score"))
 

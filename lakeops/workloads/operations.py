@@ -20,6 +20,7 @@ from lakeops.streaming import jobs
 from lakeops.workloads import change_data as cd
 from lakeops.workloads import documents
 from lakeops.workloads import lineage as lineage_queries
+from lakeops.workloads import retrieval
 
 # --- sources ----------------------------------------------------------------------------------------------
 
@@ -151,6 +152,15 @@ def prepared_texts(spark: SparkSession, sf: str) -> DataFrame:
     return embedded.select("doc_id", F.length("text").cast("bigint").alias("chars"), F.size("embedding").cast("bigint").alias("width"))
 
 
+def trained_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Search in cells trained by k-means, with the mean vector of each label as queries: recall against exact search."""
+    corpus, queries = retrieval._embeddings(spark, sf), retrieval._labels(spark, sf)
+    cells = vectors.train_cells(corpus, 16)
+    found = vectors.cell_knn(queries, corpus, cells, 10, probes=12)
+    recall = vectors.recall_at_k(vectors.knn(queries, corpus, 10), found, 10)
+    return recall.agg(F.count("*").alias("queries"), (F.avg("recall") >= 0.7).alias("good"))
+
+
 # --- change data ------------------------------------------------------------------------------------------
 
 
@@ -361,6 +371,7 @@ QUERIES = {
     "docs_dead_letter_batches": dead_letter_batches,
     "docs_resume_batches": resumed_batches,
     "embed_prepared": prepared_texts,
+    "recall_trained_cells": trained_recall,
     "cdc_ingest_time": ingest_time,
     "cdc_table_config": table_settings,
     "cdc_replay_ddl": replayed_ddl,
@@ -400,6 +411,7 @@ ORACLE = {
       from documents where lang = 'fr'""",
     "docs_resume_batches": """select count(*) as ok, true as within, max(doc_id) as position, count(*) as processed from documents where lang <> 'fr'""",
     "embed_prepared": """select doc_id, length(text) as chars, 64 as width from documents where length(trim(text)) > 0 order by doc_id limit 1000""",
+    "recall_trained_cells": "select count(distinct label) as queries, true as good from embeddings",
     "cdc_ingest_time": "select event_type, count(*) as events, count(*) as stamped from events group by 1",
     "cdc_table_config": """select lower(r_name) as db, lower(n_name) as name, case when n_nationkey % 2 = 1 then 'id,day' else 'id' end as keys,
       cast(n_nationkey as varchar) as version from nation, region where n_regionkey = r_regionkey""",
