@@ -63,4 +63,34 @@ QUERIES = {
     "op10_collision_dedup": vector_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"words as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents)"
+# The smallest node reachable from each node, itself included; `nodes` has id, `pairs` has links in both directions as (x, y).
+_REACH = """reach(a, b) as (select id, id from nodes union select reach.a, pairs.y from reach join pairs on reach.b = pairs.x),
+  low as (select a, min(b) as component from reach group by 1)"""
+
+ORACLE = {
+    "op8_prefix_suffix_trees": f"""with {_WORDS},
+      passages as (select doc_id, unnest(range(1, len(ws) - 33)) as p,
+        unnest(list_transform(range(1, len(ws) - 33), lambda p: array_to_string(ws[p:p + 34], ' '))) as k from words where len(ws) >= 35),
+      twice as (select k from passages group by 1 having count(*) > 1),
+      hit as (select distinct doc_id, unnest(range(p, p + 35)) as i from passages where k in (select k from twice)),
+      places as (select doc_id, unnest(range(1, len(ws) + 1)) as i, unnest(ws) as word from words),
+      kept as (select places.doc_id, string_agg(word, ' ' order by places.i) as t from places anti join hit on places.doc_id = hit.doc_id and places.i = hit.i group by 1),
+      gone as (select doc_id, count(*) as n from hit group by 1)
+      select words.doc_id, len(ws) as n_words, coalesce(gone.n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+      from words left join gone on words.doc_id = gone.doc_id left join kept on words.doc_id = kept.doc_id""",
+    "op9_dart_minhash_dedup": f"""with recursive {_WORDS},
+      sets as (select distinct doc_id, unnest(case when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda p: array_to_string(ws[p:p + 4], ' '))
+        when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from words),
+      sizes as (select doc_id, count(*) as n from sets group by 1),
+      common as (select a.doc_id as x, b.doc_id as y, count(*) as c from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+      links as (select x, y from common join sizes p on x = p.doc_id join sizes q on y = q.doc_id where c::double / (p.n + q.n - c) >= 0.8),
+      pairs as (select x, y from links union all select y, x from links),
+      nodes as (select doc_id as id from documents), {_REACH}
+      select a as doc_id, coalesce(n, 0) as n_shingles, component as class_id, a = component as kept from low left join sizes on a = doc_id""",
+    "op10_collision_dedup": f"""with recursive vectors as (select vec_id as id, embedding::double[] as v from embeddings),
+      links as (select a.id as x, b.id as y from vectors a join vectors b on a.id < b.id and list_cosine_similarity(a.v, b.v) >= 0.95),
+      pairs as (select x, y from links union all select y, x from links),
+      nodes as (select id from vectors), {_REACH}
+      select a as vec_id, (select count(*) from pairs where x = a) as n_links, component as component_id, a = component as kept from low""",
+}
