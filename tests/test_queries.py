@@ -8,9 +8,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from lakeops import workloads
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workloads.queries(), workloads.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,10 @@ def test_registry():
     assert set(QUERIES) - set(SQL) == {"lake_file_sizes", "script_suite_timing"}
 
 
+def test_entry_has_them_all():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
