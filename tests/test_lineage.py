@@ -48,13 +48,14 @@ def test_task_marker_holds_a_brace_itself(spark):
 
 def test_query_text_order_and_types(spark):
     parts = spark.createDataFrame([(1, 1, "b  "), (1, 0, "a "), (1, 320, "z")], "query_id int, sequence int, text string")
-    assert rows(lineage.query_texts(parts)) == [(1, "ab")]
+    assert rows(lineage.query_texts(parts)) == [(1, "abz")]
+    assert rows(lineage.query_texts(parts, max_parts=320)) == [(1, "ab")]
     history = spark.createDataFrame([(1, 1, 1, 1, 5, 6, "INSERT"), (2, 1, 1, 1, 5, 6, "SELECT"), (3, 1, 1, 1, 1, 2, "DDL")],
         "query_id int, user_id int, transaction_id int, session_id int, start_time int, end_time int, query_type string")
     details = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 7)], "query_id int, table_id int")
     tables = spark.createDataFrame([(7, "d", "s", "t", "TABLE")], "table_id int, database string, schema string, table string, table_type string")
     got = lineage.query_history(history, parts, details, tables, start_time=3, unescape_text=True)
-    assert rows(got.select("query_id", "table", "query_txt")) == [(1, "t", "ab")]
+    assert rows(got.select("query_id", "table", "query_txt")) == [(1, "t", "abz")]
 
 
 def test_crawls(spark):

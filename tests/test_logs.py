@@ -104,3 +104,41 @@ def test_cap_and_events(spark):
     assert got[0]["truncated"] and got[0]["message"].startswith("é" * 5) and not got[1]["truncated"]
     lines_df = spark.createDataFrame([(" a ",), ("  ",)], "line string")
     assert rows(logs.log_events(lines_df, "src", F.lit(1.5))) == [(1.5, "a", "src")]
+
+
+def test_unmatched_lines_are_given_up_quickly(spark):
+    """10 KB lines that begin like a record of their type and then do not fit."""
+    import time
+
+    start = "2024-01-02 03:04:05.678 "
+    bodies = ("[a b c d ", "[x] ", "a| ", "| [a b c d e", "x,", " - ", "] [")
+    items = []
+    for rule in logs.RULES_BY_TYPE:
+        for kind in rule.types or ("other",):
+            items += [(rule.topic, kind, start + body * (10_000 // len(body))) for body in bodies]
+    df = lines(spark, items).coalesce(1).cache()
+    df.count()
+    logs.extract_fields(df).select("matched").collect()
+    begun = time.time()
+    logs.extract_fields(df).select("matched").collect()
+    assert time.time() - begun < 0.05 * len(items)
+
+
+def test_bounded_fields_read_the_same(spark):
+    """Fields with blanks, dashes and brackets of other kinds in them."""
+    df = lines(
+        spark,
+        [
+            ("core", "apsi", "2024-01-02 03:04:05,678 [t (1)] [a b c d e f] [pool 1|x] WARN   com.A$1 - a - b [c] d"),
+            ("core", "ocpay", "2024-01-02 03:04:05.678| INFO | t 1| [a b c d s1| th [2]| com.A - m | n"),
+            ("core", "icms", "2024/01/02 03:04:05:678 INFO [a,b|t-1] com.A - m"),
+            ("core", "cimb-lazada", "x 2024-01-02 03:04:05,678 [app,,s 1,x,y] INFO com.A - m"),
+        ],
+    )
+    got = [tuple(r) for r in logs.extract_fields(df).select("matched", "traceId", "seqNo", "thread", "class", "msg").collect()]
+    assert got == [
+        (True, "t (1)", "e f", "pool 1|x", "com.A$1", "a - b [c] d"),
+        (True, "t 1", "s1", "th [2]", "com.A", "m | n"),
+        (True, "t-1", None, "a,b", "com.A", "m"),
+        (True, None, "s 1", None, "com.A", "m"),
+    ]

@@ -84,7 +84,7 @@ def test_consumer_rate(spark):
 def test_histogram_and_write_figures(spark):
     df = spark.createDataFrame([(5.0,), (10.0,), (2000.0,)], "x double")
     got = {r["bucket"]: r["messages"] for r in metrics.latency_histogram(df, "x").collect()}
-    assert got == {"0-10": 1, "10-50": 1, "50-100": 0, "100-500": 0, "500-1000": 0, "1000+": 1}
+    assert got == {"<0": 0, "0-10": 1, "10-50": 1, "50-100": 0, "100-500": 0, "500-1000": 0, "1000+": 1}
     stats = spark.createDataFrame([(0, 0, 10, 9, 1, 2.0), (1, 0, 10, 10, 0, 4.0)], "partition int, batch int, docs int, ok int, failed int, seconds double")
     assert rows(metrics.write_throughput(stats)) == [(20, 19, 1, 3.0, 4.75)]
     assert rows(metrics.batch_throughput(stats).select("docs_per_s"), "docs_per_s") == [(2.5,), (4.5,)]
