@@ -91,3 +91,10 @@ def test_text_helpers(spark):
     assert unescape_text(r"a\nb\x41é\\n\q") == "a\nbAé\\n\\q"
     df = spark.createDataFrame([("a\\tb", "/x/y/z/"), (None, "z")], "t string, l string")
     assert rows(df.select(unescape("t"), parent_path("l"))) == [("a\tb", "x/y"), (None, "")]
+
+
+def test_unescape_column_equals_the_function(spark):
+    texts = [r"a\nb", r"\\n", r"\\\n", r"\x41\\x41", r"tab\there", "mark \x01 \\n", r"\q \' \"", "", r"\101\u00e9", r"end\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string")
+    got = dict(rows(df.select("i", unescape("t"))))
+    assert got == {**{i: unescape_text(t) for i, t in enumerate(texts)}, 99: None}
