@@ -36,15 +36,21 @@ _CLASSES = 17  # of ranks up to 2**16
 _SYMBOLS = _CLASSES + 2  # the ids that orders 2 and 1 name come first
 _TOP = 32767
 _SLOTS = 1 << 11
+_NAME = 17  # bits of a rank in a slot; the rest tells how sure it is
+_NOBODY = (1 << _NAME) - 1
 _SURE = 5  # 0: no id is named; 1 to 4: how often in a row it was right, plus 1
 _FAST, _SLOW = 4, 5
 _FLOOR = 2
 
 
+# The bit length of 1 to 2**16, less one.
+_BITS = np.append(0, np.repeat(np.arange(_CLASSES), 1 << np.arange(_CLASSES)))[: (1 << 16) + 1]
+
+
 def rank_class(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class, number of low bits and low bits of ranks up to 2**16: all bits of rank + 1 behind the highest are low."""
     value = ranks.astype(np.int64) + 1
-    low = np.frexp(value.astype(np.float64))[1].astype(np.int64) - 1
+    low = _BITS.take(value)
     return low, low, value - (1 << low)
 
 
@@ -57,8 +63,7 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.named = [np.full(lanes * _SLOTS, -1, np.int32) for _ in range(2)]  # by the two last ids, by the last
-        self.sure = [np.zeros(lanes * _SLOTS, np.int8) for _ in range(2)]
+        self.slots = [np.full(lanes * _SLOTS, _NOBODY, np.int32) for _ in range(2)]  # by the two last ids, by the last
         even = (np.arange(_SYMBOLS + 1) * _TOP // _SYMBOLS).astype(np.int16)
         self.sizes = (1, _CLASSES, _SURE * _SURE * 2)
         # Cumulative distributions: order 0, order 1 (by the last id's class), order 2 (by what the named ids are worth).
@@ -74,9 +79,10 @@ class _Model:
         mixed = self.last1 * 0x9E3779B1
         base = self.lane * _SLOTS
         self.slot = [base + (((mixed ^ (self.last2 * 0x85EBCA77)) >> 9) & (_SLOTS - 1)), base + ((mixed >> 7) & (_SLOTS - 1))]
-        self.name2, self.name1 = self.named[0].take(self.slot[0]), self.named[1].take(self.slot[1])
-        self.count = [self.sure[0].take(self.slot[0]), self.sure[1].take(self.slot[1])]
-        worth = (self.count[0].astype(np.int64) * _SURE + self.count[1]) * 2 + (self.name2 == self.name1)
+        held = [slots.take(at) for slots, at in zip(self.slots, self.slot, strict=True)]
+        self.name2, self.name1 = held[0] & _NOBODY, held[1] & _NOBODY
+        self.count = [held[0] >> _NAME, held[1] >> _NAME]
+        worth = (self.count[0] * _SURE + self.count[1]) * 2 + (self.name2 == self.name1)
         self.row = [self.lane, self.lane * self.sizes[1] + self.class1, self.lane * self.sizes[2] + worth]
         self.now = [self.cdf[0], self.cdf[1].take(self.row[1], axis=0), self.cdf[2].take(self.row[2], axis=0)]
 
@@ -110,8 +116,8 @@ class _Model:
             else:
                 self.cdf[0] = step
         for k, name in enumerate((self.name2, self.name1)):
-            self.named[k][self.slot[k]] = ranks
-            self.sure[k][self.slot[k]] = np.where(name == ranks, np.minimum(self.count[k] + 1, _SURE - 1), 1)
+            sure = np.where(name == ranks, np.minimum(self.count[k] + 1, _SURE - 1), 1)
+            self.slots[k][self.slot[k]] = ranks + (sure << _NAME)
         self.last2, self.last1, self.class1 = self.last1, ranks.astype(np.int64), classes
 
 
@@ -121,7 +127,7 @@ class _Coder:
     def __init__(self, lanes: int, room: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, 1 << 48, np.uint64)
-        self.digits = np.zeros((lanes, room), np.int64)
+        self.digits = np.zeros((lanes, room), np.int32)
         self.at = np.zeros(lanes, np.int64)
 
     def code(self, start: np.ndarray, size: np.ndarray) -> None:
@@ -133,7 +139,7 @@ class _Coder:
 
     def _shift(self, i: np.ndarray) -> None:
         low = self.low[i]
-        self.digits[i, self.at[i]] = (low >> np.uint64(32)).astype(np.int64)
+        self.digits[i, self.at[i]] = (low >> np.uint64(32)).astype(np.int32)
         self.at[i] += 1
         self.low[i] = (low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
         self.range[i] <<= np.uint64(16)
@@ -184,18 +190,18 @@ def encode_blocks(ranks: np.ndarray, block: int = BLOCK) -> list[bytes]:
     table = np.zeros(lanes * block, np.int32)
     table[: len(ranks)] = ranks
     table = np.ascontiguousarray(table.reshape(lanes, block)[:, :steps].T)
-    classes, low, rest = (x.astype(np.int64) for x in rank_class(table))
     model, coder = _Model(lanes), _Coder(lanes, steps * 2 + 8)
     for step in range(steps):
         now = table[step]
+        classes, low, rest = rank_class(now)
         model.look()
         hit1, hit2 = model.name1 == now, model.name2 == now
-        symbol = np.where(hit2, 0, np.where(hit1, 1, classes[step] + 2))
+        symbol = np.where(hit2, 0, np.where(hit1, 1, classes + 2))
         hit = hit1 | hit2
         first = model.bound(symbol).astype(np.int64)
-        width = ((model.bound(symbol + 1) - first) << 15) >> np.where(hit, 0, low[step])
-        coder.code((first << 15) + np.where(hit, 0, rest[step]) * width, width)
-        model.learn(symbol, now, classes[step])
+        width = ((model.bound(symbol + 1) - first) << 15) >> np.where(hit, 0, low)
+        coder.code((first << 15) + np.where(hit, 0, rest) * width, width)
+        model.learn(symbol, now, classes)
     return coder.finish()
 
 
@@ -274,8 +280,9 @@ class Encoder:
     def _learn(self, names: np.ndarray, words: list[str]) -> None:
         # Many words go as one text; the blanks between them are no ids, and offsets tell the words apart.
         where, many, added = [], [], []
-        lines = [words[i : i + 64] for i in range(0, len(words), 64)]
-        for line, found in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+        for i in range(0, len(words), 64):
+            line = words[i : i + 64]
+            found = self.tokenizer.encode(" ".join(line), add_special_tokens=False)
             size = np.array([len(w) for w in line]) + 1
             ends = np.cumsum(size)
             of = np.searchsorted(ends, [a for a, _ in found.offsets], "right")
@@ -305,7 +312,7 @@ class Encoder:
         where, many = self.where[place][inverse], self.many[place][inverse]
         summed = np.append(0, np.cumsum(many))
         counts = np.diff(summed[words.first]) + 1
-        out = np.full(int(counts.sum()), end, np.int64)
+        out = np.full(int(counts.sum()), end, np.int32)
         shift = np.repeat(words.row_of(), many)
         index = np.arange(summed[-1])
         out[index + shift] = self.flat[np.repeat(where - summed[:-1], many) + index]
@@ -328,7 +335,7 @@ def _write(path: str, end: int, block: int, lanes: int):
             return pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["part", "section", "first", "doc_ids", "data"])
 
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", 1 << 21):
                 ids, counts = encoder.encode(some.column(1), end)
                 held.append((some.column(0), ids, counts))
                 waiting += len(ids)
