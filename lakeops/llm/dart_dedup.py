@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ from lakeops.llm.work import prepare, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5  # of two texts with similarity 0.8, one pair in 20 000 shares no band
+LONG = 1000  # coordinates of the long signature, which tells similarities apart to about 0.05
 
 
 def throw_darts(values: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
@@ -114,6 +115,24 @@ def _sets(size: int):
     return run
 
 
+def _long_marks(k: int):
+    """Element sets to long signatures, a byte a coordinate; a bounded number of sets at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 100):
+                part = batch.slice(start, 100)
+                sets = [np.frombuffer(x, np.uint64) for x in part.column(1).to_pylist()]
+                bounds = np.append(0, np.cumsum([len(x) for x in sets]))
+                values = np.concatenate(sets)
+                names = throw_darts(values, np.ones(len(values)), bounds, k)
+                marks = pa.array((names.reshape(-1) & np.uint64(255)).astype(np.uint8).view(np.int8))
+                lists = pa.ListArray.from_arrays(np.arange(0, part.num_rows * k + 1, k, dtype=np.int32), marks)
+                yield pa.record_batch([part.column(0), lists], names=["named", "long_marks"])
+
+    return run
+
+
 def least_agreed(k: int, similarity: float, lost: float = 1e-5) -> int:
     """Coordinates that a pair of this similarity shares at least, but for one pair in 1 / lost."""
     total = 0.0
@@ -150,7 +169,7 @@ def near_duplicates(
     `similarity`. Documents with equal shingle sets are one node. In a bucket (documents with one band in common), each is compared with
     the bucket's smallest document. One that is not similar to it is compared with the bucket's document that has the most links so far. Only
     then, in buckets that still hold several components, it is compared with all others that share a second band with it (with 25 bands, all
-    but one similar pair in 10 000 do) and enough coordinates (all but one in 100 000 do), lie in another component, and are not ruled out by the triangle inequality of the
+    but one similar pair in 10 000 do) and enough coordinates of a short and a long signature (all but one in 100 000 do), lie in another component, and are not ruled out by the triangle inequality of the
     Jaccard distance. So a bucket of n copies costs n comparisons, not n squared, and no link between components is lost.
 
     Joins are sort-merge joins at every size: plans, and what they cost, are alike for small and large inputs.
@@ -205,11 +224,18 @@ def near_duplicates(
     placed = stored(placed.drop("leader").unionByName(first), "placed")
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     several = stored(several.filter("low < high and n > 2").select("key"), "several")
-    placed = stored(placed.join(several.hint("merge"), "key", "left_semi").join(named_bands.hint("merge"), F.col("id") == F.col("of")).drop("of"), "open")
+    placed = stored(placed.join(several.hint("merge"), "key", "left_semi"), "placed-open")
+    asked = placed.select(F.col("id").alias("doc_id")).distinct()
+    long = sets.join(asked.hint("merge"), "doc_id", "left_semi").mapInArrow(_long_marks(LONG), "named long, long_marks array<tinyint>")
+    placed = placed.join(named_bands.hint("merge"), F.col("id") == F.col("of")).join(stored(long, "long-marks").hint("merge"), F.col("id") == F.col("named"))
+    placed = stored(placed.drop("of", "named"), "open")
     x, y = placed.filter(F.col("distance") > far).alias("x"), placed.filter("distance > 0").alias("y")
     # A pair is taken in the first of the bands it shares; similar texts share two at least, and most coordinates.
     shared = F.array_intersect("x.bands", "y.bands")
-    agreed = F.aggregate(F.zip_with("x.marks", "y.marks", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
+
+    def agreed(marks: str) -> Column:
+        return F.aggregate(F.zip_with(f"x.{marks}", f"y.{marks}", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
+
     rest = x.join(
         y.hint("merge"),
         (F.col("x.key") == F.col("y.key"))
@@ -218,7 +244,8 @@ def near_duplicates(
         & ((F.col("x.id") < F.col("y.id")) | (F.col("y.distance") <= far))
         & (F.size(shared) > 1)
         & (shared[0] == F.col("x.key"))
-        & (agreed >= least_agreed(bands * rows, similarity)),
+        & (agreed("marks") >= least_agreed(bands * rows, similarity))
+        & (agreed("long_marks") >= least_agreed(LONG, similarity)),
     )
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = rest.join(again.hint("merge"), ["a", "b"], "left_anti")
