@@ -168,9 +168,10 @@ def near_duplicates(
     A class is a connected component of the links: pairs that share a band and have an exact Jaccard similarity of at least
     `similarity`. Documents with equal shingle sets are one node. In a bucket (documents with one band in common), each is compared with
     the bucket's smallest document. One that is not similar to it is compared with the bucket's document that has the most links so far. Only
-    then, in buckets that still hold several components, it is compared with all others that share a second band with it (with 25 bands, all
-    but one similar pair in 10 000 do) and enough coordinates of a short and a long signature (all but one in 100 000 do), lie in another component, and are not ruled out by the triangle inequality of the
-    Jaccard distance. So a bucket of n copies costs n comparisons, not n squared, and no link between components is lost.
+    then, in buckets that still hold several components, it is compared with all others that lie in another component, agree in enough coordinates
+    of a short and of a long signature, and are not ruled out by the triangle inequality of the Jaccard distance. So a bucket of n copies costs n
+    comparisons, not n squared. A pair of the least similarity is missed if it shares no band (with 25 bands of 5, one pair in 20 000) or, where only
+    the last comparison could find it, if a signature agrees in too few coordinates (one in 100 000 for either).
 
     Joins are sort-merge joins at every size: plans, and what they cost, are alike for small and large inputs.
     """
@@ -230,7 +231,7 @@ def near_duplicates(
     placed = placed.join(named_bands.hint("merge"), F.col("id") == F.col("of")).join(stored(long, "long-marks").hint("merge"), F.col("id") == F.col("named"))
     placed = stored(placed.drop("of", "named"), "open")
     x, y = placed.filter(F.col("distance") > far).alias("x"), placed.filter("distance > 0").alias("y")
-    # A pair is taken in the first of the bands it shares; similar texts share two at least, and most coordinates.
+    # A pair is taken in the first of the bands it shares; similar texts share most coordinates.
     shared = F.array_intersect("x.bands", "y.bands")
 
     def agreed(marks: str) -> Column:
@@ -242,7 +243,6 @@ def near_duplicates(
         & (F.col("x.component") != F.col("y.component"))
         & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9)
         & ((F.col("x.id") < F.col("y.id")) | (F.col("y.distance") <= far))
-        & (F.size(shared) > 1)
         & (shared[0] == F.col("x.key"))
         & (agreed("marks") >= least_agreed(bands * rows, similarity))
         & (agreed("long_marks") >= least_agreed(LONG, similarity)),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 from llm import data
 
 from lakeops.llm import dart_dedup as op
@@ -64,6 +65,30 @@ def test_chains_and_large_groups(spark):
     assert found == brute(rows)
 
 
+def bands_of(texts: list[str]) -> list[set]:
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    return [set(x) for out in op._signatures(op.SHINGLE, op.BANDS, op.ROWS)([batch]) for x in out.column(4).to_pylist()]
+
+
+def test_pair_that_shares_one_band_only(spark):
+    """Two near texts meet in one bucket alone, whose smallest document is near to neither."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(184)]
+
+    def edited(n: int) -> str:
+        places = rng.sample(range(4, 180, 5), n)  # each takes five shingles
+        return " ".join(f"edit{rng.randrange(10**9)}" if i in places else w for i, w in enumerate(base))
+
+    x = " ".join(base)
+    near, far = [edited(4) for _ in range(6000)], [edited(8) for _ in range(3000)]  # 160 of 200 shingles in common, 140 of 220
+    own, of_near, of_far = bands_of([x])[0], bands_of(near), bands_of(far)
+    meet = [(y, own & b) for y, b in zip(near, of_near, strict=True) if len(own & b) == 1]
+    y, leader = next((y, z) for y, band in meet for z, b in zip(far, of_far, strict=True) if band <= b)
+    rows = [(1, leader), (2, x), (3, y)]
+    found = {r["doc_id"]: r["class_id"] for r in op.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows) == {1: 1, 2: 2, 3: 2}
+
+
 def test_awkward_rows(spark):
     docs = data.awkward(spark)
     rows = op.near_duplicates(docs).collect()
