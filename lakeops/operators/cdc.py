@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from collections.abc import Iterable, Sequence
@@ -35,6 +36,8 @@ POLICIES = {
     "C": {"insert": (), "upsert": ("c", "r", "u")},
 }
 
+DELETED = "_deleted"  # flag of rows that are kept for their key and time alone
+
 
 @dataclass(frozen=True)
 class TableConfig:
@@ -330,21 +333,30 @@ def apply_changelog(
 ) -> DataFrame:
     """Apply routed changes (an `action` column plus data columns) to `current`.
 
-    `latest` keeps event order: only the last change of each key counts, and if `current` has the first order column, a change
-    older than the stored row does not. `sequential` reproduces the three passes insert, upsert, delete, where inserts append and a
+    `latest` keeps event order: only the last change of each key counts, and a change older than the stored row, by the leading
+    order columns that `current` has, does not. If `current` has a `_deleted` column, deletes stay as rows with that flag, so that
+    they too outlast older changes that come later. `sequential` reproduces the three passes insert, upsert, delete, where inserts append and a
     delete beats a later re-insert.
     """
     keys = list(keys)
     data = [c for c in changes.columns if c != "action"]
     if mode == "latest":
         last = dedupe_latest(changes, keys, order)
-        if current is not None and order and isinstance(order[0], str) and {order[0], *keys} <= set(current.columns):
-            stored = current.groupBy(*keys).agg(F.max(order[0]).alias("_stored"))
-            last = last.join(stored, keys, "left").filter(F.coalesce(F.col(order[0]) >= F.col("_stored"), F.lit(True))).drop("_stored")
-        alive = last.filter("action <> 'delete'").select(*data)
+        stored_columns = [] if current is None else current.columns
         if current is None:
-            return alive
-        return union_evolved(current.join(last, keys, "left_anti"), alive)
+            return last.filter("action <> 'delete'").select(*data)
+        hidden = DELETED in current.columns
+        current = align(current, merge_schemas(current.schema, last.select(*data).schema))
+        last = align(last, merge_schemas(T.StructType([f for f in current.schema.fields if f.name in data]), last.schema))
+        known = list(itertools.takewhile(lambda c: isinstance(c, str) and c in stored_columns, order))
+        if known and set(keys) <= set(stored_columns):
+            stored = current.groupBy(*keys).agg(F.max(F.struct(*known)).alias("_stored"))
+            last = last.join(stored, keys, "left").filter(F.coalesce(F.struct(*known) >= F.col("_stored"), F.lit(True))).drop("_stored")
+        if hidden:
+            fresh = last.select(*data, (F.col("action") == "delete").alias(DELETED))
+        else:
+            fresh = last.filter("action <> 'delete'").select(*data)
+        return union_evolved(current.join(last, keys, "left_anti"), fresh)
     inserts = changes.filter("action = 'insert'").select(*data)
     upserts = dedupe_latest(changes.filter("action = 'upsert'"), keys, order).select(*data)
     deletes = changes.filter("action = 'delete'")

@@ -127,6 +127,7 @@ class ParquetTable:
 
     A change rewrites only the partitions that hold a touched key; inserts add a version beside them. A batch id
     already in the manifest makes a replayed batch a no-op. One writer at a time: a second one fails on commit.
+    Deletes applied in event order stay as rows with a hidden `_deleted` flag, so a late older change cannot bring a key back.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (), properties: Mapping | None = None):
@@ -158,14 +159,22 @@ class ParquetTable:
     @property
     def schema(self) -> T.StructType | None:
         text = self._manifest()["schema"]
-        return T.StructType.fromJson(json.loads(text)) if text else None
+        if not text:
+            return None
+        return T.StructType([f for f in T.StructType.fromJson(json.loads(text)).fields if f.name != cdc.DELETED])
 
     # read ----------------------------------------------------------------------------------------------
 
     def snapshot(self) -> DataFrame | None:
         """The current rows, or None for a table never written."""
         manifest = self._manifest()
-        return self._read(manifest, manifest["parts"])
+        rows = self._read(manifest, manifest["parts"])
+        return rows if rows is None else self._alive(rows)
+
+    @staticmethod
+    def _alive(rows: DataFrame) -> DataFrame:
+        """Rows without the hidden ones of deleted keys."""
+        return rows.filter(~F.coalesce(cdc.DELETED, F.lit(False))).drop(cdc.DELETED) if cdc.DELETED in rows.columns else rows
 
     def _read(self, manifest: dict, parts: dict) -> DataFrame | None:
         if not manifest["schema"]:
@@ -282,12 +291,16 @@ class ParquetTable:
             changes.drop("action"),
             batch_id,
             writer,
+            tombstones=mode == "latest",
         )
 
-    def _change(self, source: DataFrame, keys, rewrite, new_rows: DataFrame | None, batch_id, writer) -> int:
+    def _change(self, source: DataFrame, keys, rewrite, new_rows: DataFrame | None, batch_id, writer, tombstones: bool = False) -> int:
+        """`rewrite` sees hidden rows only with `tombstones`; else they stay, but for keys that get new rows."""
         manifest = self._manifest()
         if self._seen(manifest, batch_id, writer):
             return manifest["version"]
+        if tombstones:
+            new_rows = new_rows.withColumn(cdc.DELETED, F.lit(False))
         if not manifest["schema"]:
             if new_rows is None:
                 return manifest["version"]
@@ -300,7 +313,13 @@ class ParquetTable:
                 list(manifest["parts"]) if self._retyped(manifest, schema) else self._touched(manifest, source, keys)
             )
             current = cdc.align(self._read(manifest, {p: manifest["parts"][p] for p in touched}), schema)
-            return self._write(manifest, cdc.align(rewrite(current, source), schema), touched, batch_id, writer, schema)
+            if tombstones or cdc.DELETED not in current.columns:
+                rows = cdc.align(rewrite(current, source), schema)
+            else:
+                rows = cdc.align(rewrite(self._alive(current), source), schema)
+                gone = current.filter(cdc.DELETED)
+                rows = rows.unionByName(gone if new_rows is None else gone.join(source.select(*keys), list(keys), "left_anti").select(rows.columns))
+            return self._write(manifest, rows, touched, batch_id, writer, schema)
         finally:
             source.unpersist()
 

@@ -271,16 +271,7 @@ def many_batches(spark: SparkSession, sf: str) -> DataFrame:
     _event_files(spark, sf, folder, 1, 2)
     _run_stream(spark, sf, folder, root, "cdc", interval="1 second")
     _run_stream(spark, sf, folder, root, "cdc")
-    return _alive_by_row(spark, sf, root)
-
-
-def _alive_by_row(spark: SparkSession, sf: str, root: str) -> DataFrame:
-    """Users whose last event is no deletion: tombstones are not kept, so only these are certain whatever the order of arrival."""
-    events = table(spark, sf, "events").withColumns({"ms": cd.ts_ms(), "db": F.when(F.col("user_id") % 2 == 0, "shop").otherwise("crm"),
-                                                     "table": F.when(F.col("event_type").isin("view", "click"), "visits").otherwise("users")})
-    last = events.groupBy("db", "table", "user_id").agg(F.max(F.struct("ms", "event_id", "event_type")).alias("l"))
-    sure = last.filter("l.event_type <> 'error'").select("db", "table", "user_id")
-    return _states(spark, root).join(sure, ["db", "table", "user_id"])
+    return _states(spark, root)
 
 
 def two_writers(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,7 +281,7 @@ def two_writers(spark: SparkSession, sf: str) -> DataFrame:
         folder = work_path(spark, "stream-files")
         _event_files(spark, sf, folder, part, 2)
         _run_stream(spark, sf, folder, root, f"cdc-{part}")
-    return _alive_by_row(spark, sf, root)
+    return _states(spark, root)
 
 
 # --- lineage, metrics, scripts ----------------------------------------------------------------------------

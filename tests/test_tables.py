@@ -84,6 +84,26 @@ def test_late_change_does_not_revive_a_deleted_key(spark):
     assert mor.snapshot().count() == 0
 
 
+def test_late_change_after_an_applied_delete(spark):
+    for parts in ([], ["v"]):
+        lake = tables.ParquetTable(spark, work_path(spark, "t"), parts)
+        shape = "action string, ts int, n int, id int, v string"
+
+        def apply(*items, lake=lake):
+            lake.apply(spark.createDataFrame(items, shape), ["id"], ["ts", "n"])
+            return rows(lake.snapshot(), "id")
+
+        assert apply(("upsert", 1, 0, 1, "a"), ("upsert", 1, 0, 2, "a"), ("delete", 5, 0, 3, "c")) == [(1, 0, 1, "a"), (1, 0, 2, "a")]
+        assert apply(("delete", 5, 5, 1, None)) == [(1, 0, 2, "a")]
+        assert apply(("upsert", 3, 0, 1, "late"), ("upsert", 5, 4, 1, "late"), ("upsert", 4, 0, 3, "late")) == [(1, 0, 2, "a")]
+        assert lake.schema.fieldNames() == ["ts", "n", "id", "v"]
+        lake.delete(spark.createDataFrame([(2,), (3,)], "id int"), ["id"])
+        assert apply(("upsert", 4, 0, 3, "late")) == []
+        lake.merge(spark.createDataFrame([(9, 0, 1, "m")], "ts int, n int, id int, v string"), ["id"], ["v"], ["ts", "id"])
+        assert rows(lake.snapshot().select("ts", "id")) == [(9, 1)]
+        assert apply(("upsert", 6, 0, 3, "new")) == [(9, None, 1, None), (6, 0, 3, "new")]
+
+
 def test_file_writes(spark, tmp_path):
     path = str(tmp_path / "x")
     df = frame(spark, [(i, "a" if i % 3 else "b", i) for i in range(30)])
