@@ -11,7 +11,10 @@ from lakeops.llm.work import read, stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in which no language can be told go: null, empty and letterless ones. Ambiguous ones stay: short clean texts are among them."""
+    """Texts in which no language can be told go: null, empty and letterless ones. Ambiguous ones stay: short clean texts are among them.
+
+    So the model decides on no text with a letter. If no language could be learned, all rows stay.
+    """
     return language_id.keep_known(docs, language_id.train(docs))
 
 

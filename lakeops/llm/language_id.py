@@ -210,8 +210,10 @@ def _fit(model: Model, rows: DataFrame) -> None:
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs` whose text gets a language, with all their columns."""
+    """The rows of `docs` whose text gets a language, with all their columns; all rows if the model has learned none."""
     prepare(docs.sparkSession)
+    if not model.languages:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
     at = docs.columns.index("text")
 

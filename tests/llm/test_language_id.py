@@ -51,3 +51,8 @@ def test_none_or_one_language(spark):
     assert {(r["lang_pred"], r["score"]) for r in op.predict(docs, op.train(docs)).collect()} == {("en", 1.0)}
     empty = docs.filter("false")
     assert op.predict(empty, op.train(empty)).count() == 0
+
+
+def test_documents_stay_if_no_language_was_learned(spark):
+    docs = spark.createDataFrame([(i, f"clean words of text {i}", None) for i in range(20)], "doc_id long, text string, lang string")
+    assert op.keep_known(docs, op.train(docs)).count() == 20
