@@ -31,6 +31,7 @@ from lakeops.llm.work import prepare, stored
 K, TREES, LEAF, SAMPLE = 20, 8, 512, 16384
 RECALL, TRIAL = 0.96, 200
 CHUNK = 4096
+LOT = 1 << 16  # pairs scored at once
 
 
 def lengthened(values: np.ndarray, longest: float) -> np.ndarray:
@@ -165,14 +166,14 @@ def _score(k: int):
         out = []
         for start in range(0, len(queries), 512):
             x = np.array(queries["vector"].iloc[start : start + 512].tolist(), np.float64)
-            # Some more than wanted, as this product may round differently; then the score itself.
-            few = min(len(y), k + 5)
-            best = np.argpartition(-(x @ y.T), few - 1, axis=1)[:, :few]
-            owner = np.repeat(np.arange(len(x)), few)
-            best = best.reshape(-1)
-            exact = pairwise_dot(x[owner], y[best])
+            # All that may be among the best, as this product may round differently; then the score itself.
+            rough = x @ y.T
+            few = min(len(y), k)
+            margin = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(x, axis=1, keepdims=True) * np.linalg.norm(y, axis=1).max()
+            owner, best = np.nonzero(rough >= -np.partition(-rough, few - 1, axis=1)[:, few - 1 : few] - margin)
+            exact = np.concatenate([pairwise_dot(x[owner[i : i + LOT]], y[best[i : i + LOT]]) for i in range(0, len(owner), LOT)])
             order = np.lexsort((ids[best], -exact, owner))
-            order = order[np.arange(len(order)) % few < k]
+            order = order[np.arange(len(order)) - np.searchsorted(owner, owner) < k]
             out.append(pd.DataFrame({"query_id": queries["id"].to_numpy()[start + owner[order]], "id": ids[best[order]], "score": exact[order]}))
         return pd.concat(out) if out else empty
 

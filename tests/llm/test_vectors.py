@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lakeops.llm import collision_dedup, forest_search
@@ -99,3 +100,12 @@ def test_best_leaf_comes_first():
     own = np.stack([t.leaf(queries) for t in trees], axis=1)
     for q, order in enumerate(forest_search.visits(trees, queries, 48)):
         assert len(set(order)) == 48 and {(t, int(own[q, t])) for t in range(3)} == set(order[:3])
+
+
+def test_ties_at_the_cut_of_a_chunk_go_to_smaller_ids():
+    """Many different vectors of one score: the rows kept do not depend on their order."""
+    ids = np.random.default_rng(4).permutation(200)
+    rows = pd.DataFrame({"asks": False, "id": ids, "vector": list(np.eye(201)[ids])})
+    ask = pd.DataFrame({"asks": [True], "id": [1000], "vector": [np.eye(201)[200]]})
+    found = forest_search._score(20)(pd.concat([rows, ask], ignore_index=True))
+    assert found["id"].tolist() == list(range(20)) and not found["score"].any()
