@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import collision_dedup, dart_dedup, forest_search, language_id, mixture, packing, repeats, secrets, token_counts, token_files
+from lakeops.llm import (
+    collision_dedup, dart_dedup, fill_middle, forest_search, language_id, merkle, mixture, norm_search, packing, repeats, secrets, token_counts, token_files,
+)
 from lakeops.llm.work import read
 
 
@@ -50,6 +53,22 @@ def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_limit(counted).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_search.top_products(read(spark, sf_dir, "embeddings"))
+
+
+def middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")
+    )
+
+
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ecoc_language_id": languages,
     "op2_pivotal_mixture": source_mix,
@@ -61,6 +80,9 @@ QUERIES = {
     "op8_prefix_suffix_trees": repeat_removal,
     "op9_dart_minhash_dedup": near_dedup,
     "op10_collision_dedup": vector_dedup,
+    "op11_norm_sorted_search": top_products,
+    "op12_postorder_merkle": dataset_manifest,
+    "op13_chunked_fill_middle": middles,
 }
 
 _WORDS = r"words as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents)"
@@ -68,6 +90,19 @@ _WORDS = r"words as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x0
 _REACH = """reach(a, b) as (select id, id from nodes union select reach.a, pairs.y from reach join pairs on reach.b = pairs.x),
   low as (select a, min(b) as component from reach group by 1)"""
 
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || ({value}), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id::varchar", "source", "lang", f"({n_chars})::varchar", "text"])) + ")"
+
+
+# CRC-32 of a number's decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))))"""
+
 ORACLE = {
     "op8_prefix_suffix_trees": f"""with {_WORDS},
       passages as (select doc_id, unnest(range(1, len(ws) - 33)) as p,
@@ -93,4 +128,33 @@ ORACLE = {
       pairs as (select x, y from links union all select y, x from links),
       nodes as (select id from vectors), {_REACH}
       select a as vec_id, (select count(*) from pairs where x = a) as n_links, component as component_id, a = component as kept from low""",
+    "op12_postorder_merkle": f"""with recursive rows as (select row_number() over () as r, doc_id, coalesce('=' || lang, '') as tree,
+        {_leaf("n_chars")} as leaf, case when {_CRC} % 7 = 0 then {_leaf("n_chars + 1")} else {_leaf("n_chars")} end as shown from documents),
+      placed as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as m from rows),
+      nodes(tree, h, m, i, d) as (select tree, 0, m, i, leaf from placed
+        union all select tree, h + 1, (m + 1) // 2, i // 2, sha256(string_agg(d, '' order by i)) from nodes where m > 1 group by tree, h, m, i // 2),
+      subroots as (select tree, d, row_number() over (order by tree) - 1 as i, count(*) over () as m from nodes where m = 1),
+      over_(h, m, i, d) as (select 0, m, i, d from subroots
+        union all select h + 1, (m + 1) // 2, i // 2, sha256(string_agg(d, '' order by i)) from over_ where m > 1 group by h, m, i // 2),
+      steps as (select p.r, a.h, case when b.i < a.i then 'L' else 'R' end || coalesce(b.d, '') as step from placed p
+          join nodes a on a.tree = p.tree and a.m > 1 and a.i = p.i >> a.h left join nodes b on b.tree = a.tree and b.h = a.h and b.i = xor(a.i, 1)
+        union all select p.r, 1000 + a.h, case when b.i < a.i then 'L' else 'R' end || coalesce(b.d, '') from placed p join subroots s on s.tree = p.tree
+          join over_ a on a.m > 1 and a.i = s.i >> a.h left join over_ b on b.h = a.h and b.i = xor(a.i, 1)),
+      proofs as (select r, list(step order by h) as path from steps group by r),
+      folded as (select p.doc_id, p.leaf, s.d as subroot, (select d from over_ where m = 1) as root, list_transform(coalesce(path, []), lambda x: x[2:]) as siblings,
+          list_reduce([p.shown] || coalesce(path, []), lambda a, x: sha256(case when x[1] = 'L' then x[2:] || a else a || x[2:] end)) as folded_root
+        from placed p join subroots s on s.tree = p.tree left join proofs q on q.r = p.r)
+      select doc_id, leaf, subroot, root, sha256(array_to_string(siblings, '')) as proof_sha256, folded_root, folded_root = root as verified from folded""",
+    "op11_norm_sorted_search": """with whole as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+        where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+      pairs as (select q.vec_id as query_id, c.vec_id, max(list_dot_product(q.v, c.v))::bigint as score from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id group by 1, 2)
+      select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from pairs qualify rank <= 20""",
+    "op13_chunked_fill_middle": """with keys as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as k from documents),
+      draws as (select *, length(t) as n, ('0x' || k[1:8])::bigint as h1, ('0x' || k[9:16])::bigint as h2, ('0x' || k[17:24])::bigint as h3, ('0x' || k[25:32])::bigint as h4 from keys),
+      forms as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from draws),
+      pieces as (select *, substring(t, 1, a) as p, substring(t, a + 1, b - a) as m, substring(t, b + 1) as s from forms)
+      select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+        sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+        sha256(t) as restored_sha256 from pieces""",
 }

@@ -14,7 +14,7 @@ ROWS = {"op4_projection_forest": "select count(*) filter (where vec_id % 20 = 0)
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", QUERIES)
