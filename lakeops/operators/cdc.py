@@ -50,6 +50,8 @@ class TableConfig:
     timestamp_fields: tuple[str, ...] = ()
     target: str | None = None
     schema: str | None = None
+    partition_by: tuple[str, ...] = ()
+    buckets: int | None = None
     properties: dict = field(default_factory=dict)
 
     @property
@@ -64,15 +66,21 @@ def load_table_config(spark: SparkSession, path: str) -> list[TableConfig]:
 
 
 def table_config(entry: dict) -> TableConfig:
-    named = {"db", "table", "primary_key", "precombine_key", "timestamp.fields", "target", "schema"}
+    named = {"db", "table", "primary_key", "precombine_key", "timestamp.fields", "target", "schema", "partition_by", "buckets"}
+
+    def listed(value: str | Sequence[str] | None) -> tuple[str, ...]:
+        return tuple(k.strip() for k in (value.split(",") if isinstance(value, str) else value or ()) if k.strip())
+
     return TableConfig(
         db=entry["db"],
         table=entry["table"],
-        primary_key=tuple(k.strip() for k in entry.get("primary_key", "id").split(",")),
+        primary_key=listed(entry.get("primary_key", "id")),
         precombine_key=entry.get("precombine_key") or None,
         timestamp_fields=tuple(entry.get("timestamp.fields") or ()),
         target=entry.get("target"),
         schema=entry.get("schema"),
+        partition_by=listed(entry.get("partition_by")),
+        buckets=int(entry["buckets"]) if entry.get("buckets") else None,
         properties={k: str(v) for k, v in entry.items() if k not in named},
     )
 

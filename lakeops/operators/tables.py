@@ -1,15 +1,16 @@
 """Lake tables with row-level change.
 
-`CatalogTable` sends MERGE and DELETE to a table format that supports them. `ParquetTable` does the same
-jobs on plain Parquet: copy-on-write into a new version folder, then one small manifest names the folders
-that make up the table. `MergeOnReadTable` appends change commits and merges them when read.
+`CatalogTable` sends MERGE and DELETE to a table format that supports them. `BucketTable` does the same jobs on plain Parquet, foldered
+by a hash of the key: a change rewrites the folders that it touches and leaves the others. `MergeOnReadTable`
+adds a folder per batch, and readers keep the latest row per key over all of them. A table's folder can be read by any Parquet reader; only its schema,
+key and number of buckets are kept beside the rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from pyspark.sql import types as T
 
 from lakeops.operators import cdc
 
+BUCKET, BATCH = "row_bucket", "batch"
+BUCKETS = 8
+
 
 # --- small helpers on the Hadoop file API (works for any path Spark can write) ---------------------------
 
@@ -119,301 +123,344 @@ def with_day_partition(df: DataFrame, time: str, name: str = "day") -> DataFrame
     return df.withColumn(name, F.to_date(time))
 
 
-# --- copy-on-write on plain Parquet ----------------------------------------------------------------------
+# --- keyed tables on plain Parquet ------------------------------------------------------------------------
 
 
-class ParquetTable:
-    """A table as version folders plus a manifest `{partition folder: [versions]}`.
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Hash bucket of a key. Keys are hashed as text, so a wider whole-number type keeps them in place."""
+    return F.pmod(F.xxhash64(*(F.col(f"`{k}`").cast("string") for k in keys)), F.lit(buckets)).cast("int")
 
-    A change rewrites only the partitions that hold a touched key; inserts add a version beside them. A batch id
-    already in the manifest makes a replayed batch a no-op. One writer at a time: a second one fails on commit.
-    Deletes applied in event order stay as rows with a hidden `_deleted` flag, so a late older change cannot bring a key back.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (), properties: Mapping | None = None):
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+# Columns that Parquet readers widen by themselves; any other change of type makes a table be written anew.
+_READABLE = {("int", "bigint"), ("int", "double"), ("float", "double"), ("smallint", "int"), ("smallint", "bigint")}
+
+
+def _retyped(old: T.StructType, new: T.StructType, keys: Sequence[str] = ()) -> bool:
+    kinds = {f.name: f.dataType.simpleString() for f in old.fields}
+    for f in new.fields:
+        was, now = kinds.get(f.name), f.dataType.simpleString()
+        if was not in (None, now) and ((was, now) not in _READABLE or (f.name in keys and now == "double")):
+            return True
+    return False
+
+
+class _KeyedFolders:
+    """A Parquet folder with its schema, key and number of buckets in `_table.json`, which Spark's readers pass over."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = BUCKETS, properties: Mapping | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.partition_by = list(partition_by)
+        self.keys = list(keys)
         self.properties = dict(properties or {})
+        known = self._info()
+        self.buckets = known["buckets"] if known else buckets
+        if known and known["keys"] != self.keys:
+            raise ValueError(f"{path} has the key {known['keys']}, not {self.keys}")
+
+    def _info(self) -> dict | None:
+        path = f"{self.path}/_table.json"
+        return json.loads(read_text(self.spark, path)) if path_exists(self.spark, path) else None
+
+    def _stored_schema(self) -> T.StructType | None:
+        known = self._info()
+        return T.StructType.fromJson(known["schema"]) if known else None
+
+    def _keep_schema(self, schema: T.StructType) -> None:
+        if schema == self._stored_schema():
+            return
+        info = {"schema": schema.jsonValue(), "keys": self.keys, "buckets": self.buckets, "properties": self.properties}
+        fs, p = _fs(self.spark, f"{self.path}/_table.json")
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(json.dumps(info).encode()))
+        finally:
+            stream.close()
 
-    # manifest ------------------------------------------------------------------------------------------
+    @property
+    def schema(self) -> T.StructType | None:
+        schema = self._stored_schema()
+        return schema and T.StructType([f for f in schema.fields if f.name != cdc.DELETED])
 
-    def _manifest(self) -> dict:
-        fs, p = _fs(self.spark, f"{self.path}/_manifests")
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-        names = [n for n in names if n.endswith(".json")]
-        if not names:
-            return {"version": 0, "parts": {}, "schema": None, "batches": {}, "properties": self.properties}
-        return json.loads(read_text(self.spark, f"{self.path}/_manifests/{names[-1]}"))
+    def _read(self, schema: T.StructType, more: Sequence[T.StructField], folders: Sequence[str] | None = None) -> DataFrame:
+        """Rows of the given folders, or of all, with the folder columns `more`."""
+        if folders is not None and not folders:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *more]))
+        paths = [self.path] if folders is None else [f"{self.path}/{f}" for f in folders]
+        return self.spark.read.schema(T.StructType([*schema.fields, *more])).option("basePath", self.path).parquet(*paths)
 
-    def _commit(self, manifest: dict) -> None:
-        write_text(self.spark, f"{self.path}/_manifests/{manifest['version']:010d}.json", json.dumps(manifest))
 
-    def _seen(self, manifest: dict, batch_id: int | None, writer: str) -> bool:
-        return batch_id is not None and batch_id <= manifest["batches"].get(writer, -1)
+def _alive(rows: DataFrame) -> DataFrame:
+    """Rows without the hidden ones of deleted keys."""
+    return rows.filter(~F.coalesce(cdc.DELETED, F.lit(False))).drop(cdc.DELETED) if cdc.DELETED in rows.columns else rows
 
-    @property
-    def version(self) -> int:
-        return self._manifest()["version"]
 
-    @property
-    def schema(self) -> T.StructType | None:
-        text = self._manifest()["schema"]
-        if not text:
-            return None
-        return T.StructType([f for f in T.StructType.fromJson(json.loads(text)).fields if f.name != cdc.DELETED])
+class BucketTable(_KeyedFolders):
+    """A keyed table in folders by key bucket and, below, by `partition_by`.
+
+    A change finds the folders that hold one of its keys (only buckets of its keys are looked at) or get one of its rows, and rewrites these;
+    all other files stay. So its cost follows the buckets it touches: choose the number so that a bucket is rewritten in the time a batch may take. The new rows are
+    first written to a side folder, whose folders then replace the old ones; a writer that is lost in between is finished by the next change.
+
+    Repeating a change changes nothing: by event order a row never beats itself, and a merge or delete leaves what it left before. (`append`
+    and the inserts of the `sequential` mode add rows each time.) One writer at a time. Deletes applied in event order stay as rows with a hidden
+    `_deleted` flag, so that a late older change cannot bring a key back; `purge` drops them. Empty text in a partition column is stored as null.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), buckets: int = BUCKETS, properties: Mapping | None = None
+    ):
+        super().__init__(spark, path, keys, buckets, properties)
+        self.partition_by = list(partition_by)
+        self.folder_by = [BUCKET, *self.partition_by]
 
     # read ----------------------------------------------------------------------------------------------
 
     def snapshot(self) -> DataFrame | None:
         """The current rows, or None for a table never written."""
-        manifest = self._manifest()
-        rows = self._read(manifest, manifest["parts"])
-        return rows if rows is None else self._alive(rows)
-
-    @staticmethod
-    def _alive(rows: DataFrame) -> DataFrame:
-        """Rows without the hidden ones of deleted keys."""
-        return rows.filter(~F.coalesce(cdc.DELETED, F.lit(False))).drop(cdc.DELETED) if cdc.DELETED in rows.columns else rows
-
-    def _read(self, manifest: dict, parts: dict) -> DataFrame | None:
-        if not manifest["schema"]:
-            return None
-        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
-        paths = [f"{self.path}/ver={v}/{part}".rstrip("/") for part, versions in parts.items() for v in versions]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        # Files of older versions may lack newer columns or hold narrower numbers; the schema settles both.
-        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
-        return rows.select(*schema.fieldNames())
+        schema = self._stored_schema()
+        return None if schema is None else _alive(self._rows(schema))
 
-    # write ---------------------------------------------------------------------------------------------
+    def recover(self) -> None:
+        """Finish or drop what a lost writer left. Every change does so first; a reader need not."""
+        self._put_in_place()
 
-    def _write(self, manifest: dict, rows: DataFrame, replaced: Sequence[str], batch_id, writer, schema) -> int:
-        version = manifest["version"] + 1
-        folder = f"{self.path}/ver={version}"
-        out = balanced(rows, self.partition_by).write.mode("overwrite")
-        if self.partition_by:
-            out = out.partitionBy(*self.partition_by)
-        out.parquet(folder)
-        parts = {p: v for p, v in manifest["parts"].items() if p not in set(replaced)}
-        for part in _leaf_dirs(self.spark, folder, len(self.partition_by)):
-            parts[part] = [*parts.get(part, []), version]
-        batches = dict(manifest["batches"])
-        if batch_id is not None:
-            batches[writer] = batch_id
-        self._commit(
-            {
-                "version": version,
-                "parts": parts,
-                "schema": schema.json(),
-                "batches": batches,
-                "properties": manifest.get("properties", {}),
-            }
-        )
-        return version
-
-    def append(self, df: DataFrame, merge_schema: bool = True, batch_id: int | None = None, writer: str = "w") -> int:
-        """Add rows; new columns widen the table and are null in old rows."""
-        manifest = self._manifest()
-        if self._seen(manifest, batch_id, writer):
-            return manifest["version"]
-        schema = self._evolved(manifest, df, merge_schema)
-        rewrite = self._retyped(manifest, schema)
-        rows, replaced = cdc.align(df, schema), []
-        if rewrite:
-            rows = cdc.align(self._read(manifest, manifest["parts"]), schema).unionByName(rows)
-            replaced = list(manifest["parts"])
-        return self._write(manifest, rows, replaced, batch_id, writer, schema)
-
-    def overwrite(self, df: DataFrame, batch_id: int | None = None, writer: str = "w") -> int:
+    def _rows(self, schema: T.StructType, folders: Sequence[str] | None = None) -> DataFrame:
+        return self._read(schema, [T.StructField(BUCKET, T.IntegerType())], folders).select(*(f"`{c}`" for c in schema.fieldNames()))
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+
+    def _folders(self) -> list[str]:
+        return _leaf_dirs(self.spark, self.path, len(self.folder_by))
+
+    # change --------------------------------------------------------------------------------------------
+
+    def append(self, df: DataFrame) -> None:
+        """Add rows without a key lookup; new columns widen the table and are null in old rows."""
+        old = self._begin()
+        schema = self._complete(cdc.merge_schemas(old, df.schema) if old else df.schema)
+        rows = self._normal(cdc.align(df, schema))
+        if old and _retyped(old, schema, self.keys):
+            self._replace(cdc.align(self._rows(old), schema).unionByName(rows), schema, self._folders())
+            return
+        self._keep_schema(schema)
+        balanced(self._placed(rows), self.folder_by).write.mode("append").partitionBy(*self.folder_by).parquet(self.path)
+
+    def overwrite(self, df: DataFrame) -> None:
         """Replace the table."""
-        manifest = self._manifest()
-        if self._seen(manifest, batch_id, writer):
-            return manifest["version"]
-        return self._write(manifest, df, list(manifest["parts"]), batch_id, writer, df.schema)
-
-    def overwrite_partitions(self, df: DataFrame, batch_id: int | None = None, writer: str = "w") -> int:
-        """Replace only the partitions present in `df`."""
-        manifest = self._manifest()
-        if self._seen(manifest, batch_id, writer):
-            return manifest["version"]
-        schema = self._evolved(manifest, df, True)
-        version = manifest["version"] + 1
-        folder = f"{self.path}/ver={version}"
-        rows = cdc.align(df, schema)
-        balanced(rows, self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
-        parts = {**manifest["parts"], **{p: [version] for p in _leaf_dirs(self.spark, folder, len(self.partition_by))}}
-        batches = {**manifest["batches"], **({writer: batch_id} if batch_id is not None else {})}
-        self._commit({**manifest, "version": version, "parts": parts, "batches": batches, "schema": schema.json()})
-        return version
-
-    def merge(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        update: Sequence[str] | None = None,
-        insert: Sequence[str] | None = None,
-        batch_id: int | None = None,
-        writer: str = "w",
-    ) -> int:
+        self._begin()
+        schema = self._complete(df.schema)
+        self._replace(self._normal(cdc.align(df, schema)), schema, self._folders())
+
+    def overwrite_partitions(self, df: DataFrame) -> None:
+        """Replace only the values of the partition columns that are present in `df`."""
+        old = self._begin()
+        schema = self._complete(cdc.merge_schemas(old, df.schema) if old else df.schema)
+        rows = self._normal(cdc.align(df, schema))
+        if old and _retyped(old, schema, self.keys):
+            raise ValueError("a partition cannot change a column's type")
+        gone = self._matching(self._in_folders(old, None), rows.select(*self.partition_by).distinct(), self.partition_by) if old else []
+        self._replace(rows, schema, gone)
+
+    def merge(self, df: DataFrame, update: Sequence[str] | None = None, insert: Sequence[str] | None = None) -> None:
         """Upsert by key. `df` must hold one row per key (see `cdc.dedupe_latest`)."""
-        return self._change(
-            df, keys, lambda current, source: cdc.merge_rows(current, source, keys, update, insert), df, batch_id, writer
-        )
+        self._change(df, lambda current, source: cdc.merge_rows(current, source, self.keys, update, insert), df)
 
-    def upsert(
-        self, df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], batch_id: int | None = None, writer: str = "w"
-    ) -> int:
-        """Upsert the latest row per key of `df`; `order` is the precombine column and its tie-breaks."""
-        return self.merge(cdc.dedupe_latest(df, keys, order), keys, batch_id=batch_id, writer=writer)
+    def upsert(self, df: DataFrame, order: Sequence[str | Column]) -> None:
+        """Upsert the latest row per key of `df`, unless the stored row is later; `order` is the precombine column and its tie-breaks."""
+        self.apply(df.withColumn("action", F.lit("upsert")), self.keys, order)
 
-    def delete(self, key_rows: DataFrame, keys: Sequence[str], batch_id: int | None = None, writer: str = "w") -> int:
+    def delete(self, key_rows: DataFrame) -> None:
         """Remove the rows whose key is listed."""
-        return self._change(
-            key_rows, keys, lambda current, source: cdc.delete_rows(current, source, keys), None, batch_id, writer
+        self._change(key_rows.select(*self.keys), lambda current, source: cdc.delete_rows(current, source, self.keys), None)
+
+    def apply(self, changes: DataFrame, keys: Sequence[str], order: Sequence[str | Column], mode: str = "latest") -> None:
+        """Apply routed changes (see `cdc.apply_changelog`)."""
+        if list(keys) != self.keys:
+            raise ValueError(f"the table's key is {self.keys}, not {list(keys)}")
+        self._change(
+            changes, lambda current, source: cdc.apply_changelog(current, source, self.keys, order, mode), changes.drop("action"), tombstones=mode == "latest"
         )
 
-    def apply(
-        self,
-        changes: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str | Column],
-        mode: str = "latest",
-        batch_id: int | None = None,
-        writer: str = "w",
-    ) -> int:
-        """Apply routed changes (see `cdc.apply_changelog`) as one version."""
-        return self._change(
-            changes,
-            keys,
-            lambda current, source: cdc.apply_changelog(current, source, keys, order, mode),
-            changes.drop("action"),
-            batch_id,
-            writer,
-            tombstones=mode == "latest",
-        )
-
-    def _change(self, source: DataFrame, keys, rewrite, new_rows: DataFrame | None, batch_id, writer, tombstones: bool = False) -> int:
+    def purge(self, before: Column) -> None:
+        """Drop the hidden rows of deleted keys for which `before` holds: older changes of theirs must not come any more."""
+        schema = self._begin()
+        if schema is None or cdc.DELETED not in schema.fieldNames():
+            return
+        gone = self._in_folders(schema, None).filter(F.coalesce(cdc.DELETED, F.lit(False)) & before)
+        folders = self._names(gone.select("_folder").distinct())
+        rows = self._rows(schema, folders).filter(~F.coalesce(F.coalesce(cdc.DELETED, F.lit(False)) & before, F.lit(False)))
+        self._replace(rows, schema, folders)
+
+    def _change(self, source: DataFrame, rewrite: Callable[[DataFrame, DataFrame], DataFrame], new_rows: DataFrame | None, tombstones: bool = False) -> None:
         """`rewrite` sees hidden rows only with `tombstones`; else they stay, but for keys that get new rows."""
-        manifest = self._manifest()
-        if self._seen(manifest, batch_id, writer):
-            return manifest["version"]
+        old = self._begin()
+        if old is None and new_rows is None:
+            return
         if tombstones:
             new_rows = new_rows.withColumn(cdc.DELETED, F.lit(False))
-        if not manifest["schema"]:
-            if new_rows is None:
-                return manifest["version"]
-            manifest = {**manifest, "schema": new_rows.schema.json()}
-        old = T.StructType.fromJson(json.loads(manifest["schema"]))
-        schema = cdc.merge_schemas(old, new_rows.schema) if new_rows is not None else old
-        source = source.persist()  # read for the touched partitions, the anti join and the new rows
+        schema = self._complete(cdc.merge_schemas(old or new_rows.schema, new_rows.schema) if new_rows is not None else old)
+        old = old or schema
+        source = self._normal(source).persist()  # read for the touched folders, the anti join and the new rows
         try:
-            touched = (
-                list(manifest["parts"]) if self._retyped(manifest, schema) else self._touched(manifest, source, keys)
-            )
-            current = cdc.align(self._read(manifest, {p: manifest["parts"][p] for p in touched}), schema)
+            rewritten = _retyped(old, schema, self.keys)
+            folders = self._folders() if rewritten else self._touched(old, source, new_rows is not None)
+            current = cdc.align(self._rows(old, folders), schema)
             if tombstones or cdc.DELETED not in current.columns:
-                rows = cdc.align(rewrite(current, source), schema)
+                rows = rewrite(current, source)
             else:
-                rows = cdc.align(rewrite(self._alive(current), source), schema)
-                gone = current.filter(cdc.DELETED)
-                rows = rows.unionByName(gone if new_rows is None else gone.join(source.select(*keys), list(keys), "left_anti").select(rows.columns))
-            return self._write(manifest, rows, touched, batch_id, writer, schema)
+                rows = cdc.align(rewrite(_alive(current), source), schema)
+                hidden = current.filter(cdc.DELETED)
+                rows = rows.unionByName(hidden if new_rows is None else hidden.join(source.select(*self.keys), self.keys, "left_anti").select(rows.columns))
+            self._replace(cdc.align(rows, schema), schema, folders)
         finally:
             source.unpersist()
 
-    def _touched(self, manifest: dict, source: DataFrame, keys: Sequence[str]) -> list[str]:
-        """Partitions that hold a key of `source`: a key-only scan; at most one row per partition comes back."""
-        if not manifest["parts"]:
-            return []
-        if not self.partition_by:
-            return list(manifest["parts"])
-        current = self._read(manifest, manifest["parts"])
-        # partition columns of the matched rows name the folder exactly as the writer escaped it
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/ver=\d+/(.*)/[^/]+$", 1)
-        hits = current.select(*keys, folder.alias("_part")).join(source.select(*keys).distinct(), list(keys), "left_semi")
-        found = {row["_part"] for row in hits.select("_part").distinct().collect()}
-        unquote = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = {unquote(self.spark._jvm.java.net.URI(f).getPath()).toString() if "%" in f else f for f in found}
-        return [p for p in manifest["parts"] if p in found or p in names]
-
-    def _evolved(self, manifest: dict, df: DataFrame, merge_schema: bool) -> T.StructType:
-        if not manifest["schema"]:
-            return df.schema
-        old = T.StructType.fromJson(json.loads(manifest["schema"]))
-        if not merge_schema and set(df.columns) - set(old.fieldNames()):
-            raise ValueError("the batch has columns the table lacks")
-        return cdc.merge_schemas(old, df.schema) if merge_schema else old
-
-    @staticmethod
-    def _retyped(manifest: dict, schema: T.StructType) -> bool:
-        """True if a stored column changes in a way a Parquet reader cannot widen by itself."""
-        if not manifest["schema"] or not manifest["parts"]:
-            return False
-        readable = {("int", "bigint"), ("int", "double"), ("float", "double"), ("smallint", "int"), ("smallint", "bigint")}
-        old = {f.name: f.dataType.simpleString() for f in T.StructType.fromJson(json.loads(manifest["schema"])).fields}
-        new = {f.name: f.dataType.simpleString() for f in schema.fields}
-        return any(k != new[n] and (k, new[n]) not in readable for n, k in old.items() if n in new)
+    def _complete(self, schema: T.StructType) -> T.StructType:
+        """A schema with the partition columns, null for now if the rows lack them."""
+        missing = [T.StructField(c, T.StringType()) for c in self.partition_by if c not in schema.fieldNames()]
+        return T.StructType([*schema.fields, *missing])
+
+    def _normal(self, rows: DataFrame) -> DataFrame:
+        texts = [c for c in self.partition_by if c in rows.columns and isinstance(rows.schema[c].dataType, T.StringType)]
+        return rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else rows
+
+    # folders -------------------------------------------------------------------------------------------
+
+    def _touched(self, schema: T.StructType, source: DataFrame, lands: bool) -> list[str]:
+        """Folders with a key of `source`, and with `lands` those that its rows would go to: at most one row a folder comes back."""
+        mine = self._placed(source)
+        buckets = {f"{BUCKET}={r[0]}" for r in mine.select(BUCKET).distinct().collect()}
+        here = [b for b in list_dirs(self.spark, self.path) if b in buckets]
+        if not self.partition_by or not here:
+            return here
+        current = self._in_folders(schema, here)
+        found = self._names(current.join(source.select(*self.keys).distinct(), self.keys, "left_semi").select("_folder").distinct())
+        known = [c for c in self.folder_by if c in mine.columns]
+        if lands:
+            if len(known) < len(self.folder_by):
+                mine = mine.withColumns({c: F.lit(None).cast(schema[c].dataType) for c in self.folder_by if c not in known})
+            found = sorted({*found, *self._matching(current, mine.select(*self.folder_by).distinct(), self.folder_by)})
+        return found
+
+    def _in_folders(self, schema: T.StructType, folders: Sequence[str] | None) -> DataFrame:
+        """Rows with their bucket and `_folder`, the path below the table as the writer escaped it."""
+        rows = self._read(schema, [T.StructField(BUCKET, T.IntegerType())], folders)
+        return rows.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), rf"/({BUCKET}=[^/]*.*)/[^/]+$", 1))
+
+    def _matching(self, current: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> list[str]:
+        """Folders whose values of `columns` are among `wanted`; nulls match."""
+        there = current.select("_folder", *columns).distinct()
+        wanted = wanted.select(*(F.col(c).alias(f"_w_{c}") for c in columns))
+        same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in columns]
+        return self._names(there.join(wanted, same, "left_semi").select("_folder").distinct())
+
+    def _names(self, found: DataFrame) -> list[str]:
+        jvm = self.spark._jvm
+        names = {r[0] for r in found.collect()}
+        return sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(n).getPath()).toString() if "%" in n else n for n in names)
+
+    # write ---------------------------------------------------------------------------------------------
+
+    @property
+    def _side(self) -> str:
+        return f"{self.path}/_pending"
+
+    def _begin(self) -> T.StructType | None:
+        self.recover()
+        return self._stored_schema()
+
+    def _replace(self, rows: DataFrame, schema: T.StructType, folders: Sequence[str]) -> None:
+        """Put `rows` in place of the rows of `folders`; rows go to these or to folders that are new."""
+        balanced(self._placed(rows), self.folder_by).write.mode("overwrite").partitionBy(*self.folder_by).parquet(self._side)
+        self._keep_schema(schema)
+        filled = set(_leaf_dirs(self.spark, self._side, len(self.folder_by)))
+        self._put_in_place()
+        for folder in set(folders) - filled:
+            _remove(self.spark, f"{self.path}/{folder}")
+
+    def _put_in_place(self) -> None:
+        """Move the folders of a whole side folder over the table's; a second call moves those that are left."""
+        if not path_exists(self.spark, self._side):
+            return
+        if path_exists(self.spark, f"{self._side}/_SUCCESS"):
+            for folder in _leaf_dirs(self.spark, self._side, len(self.folder_by)):
+                _remove(self.spark, f"{self.path}/{folder}")
+                fs, target = _fs(self.spark, f"{self.path}/{folder}")
+                fs.mkdirs(target.getParent())
+                if not fs.rename(_fs(self.spark, f"{self._side}/{folder}")[1], target):
+                    raise RuntimeError(f"could not move {folder} of {self.path} into place")
+        _remove(self.spark, self._side)
 
 
 # --- merge-on-read ---------------------------------------------------------------------------------------
 
 
-class MergeOnReadTable:
-    """Changes appended to delta folders beside a base; readers keep the latest row per key over both.
+class MergeOnReadTable(_KeyedFolders):
+    """Changes added as a folder per key bucket and batch; readers keep the latest row per key over all folders.
 
-    Rows carry `_deleted` and the order columns. A batch has a folder of its own, named by its stream and number, so a replay
-    replaces it. Compaction writes what readers see, tombstones included, as the base of the next generation; batches that come
-    again after it are harmless, as a row never beats itself. One writer at a time.
+    Rows carry `_deleted` and the order columns. A batch's folders are named by its stream and number, so a replay replaces them. Compaction
+    writes, bucket by bucket, what readers see, hidden rows of deleted keys included, and drops the folders it came from. In between both are there, which
+    changes nothing for a reader: a row never beats itself. A reader that is running while old folders go has to read again. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS):
+        super().__init__(spark, path, keys, buckets)
         self.order = list(order)
 
-    def _generation(self) -> int:
-        names = [n for n in list_dirs(self.spark, self.path) if n.startswith("gen=")]
-        whole = [n for n in names if path_exists(self.spark, f"{self.path}/{n}/base/_SUCCESS")]
-        return max((int(n.split("=")[1]) for n in whole), default=0)
+    _MORE = [T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.StringType())]
 
     def append(self, df: DataFrame, batch_id: int, deleted: Column | None = None, stream: str = "w") -> None:
         """Write one batch of upserts and deletes."""
         flag = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
-        name = hashlib.sha256(stream.encode()).hexdigest()[:16]
-        df.withColumn("_deleted", flag).write.mode("overwrite").parquet(f"{self.path}/gen={self._generation()}/delta/{name}-{batch_id}")
-
-    def commits(self) -> list[str]:
-        """Batches since the last compaction."""
-        folder = f"{self.path}/gen={self._generation()}/delta"
-        return [n for n in list_dirs(self.spark, folder) if path_exists(self.spark, f"{folder}/{n}/_SUCCESS")]
-
-    def _merged(self) -> DataFrame:
-        home = f"{self.path}/gen={self._generation()}"
-        rows = self.spark.read.parquet(f"{home}/base") if path_exists(self.spark, f"{home}/base/_SUCCESS") else None
-        commits = self.commits()
-        if commits:
-            delta = self.spark.read.option("mergeSchema", True).parquet(*(f"{home}/delta/{c}" for c in commits))
-            rows = delta if rows is None else cdc.union_evolved(rows, delta)
-        if rows is None:
-            raise ValueError(f"no batches under {self.path}")
+        rows = df.withColumn(cdc.DELETED, flag)
+        old = self._stored_schema()
+        schema = cdc.merge_schemas(old, rows.schema) if old else rows.schema
+        if old and _retyped(old, schema, self.keys):
+            self._fold(old, schema, list_dirs(self.spark, self.path))
+        self._keep_schema(schema)
+        name = f"{hashlib.sha256(stream.encode()).hexdigest()[:16]}-{batch_id}"
+        self._write(cdc.align(rows, schema), name)
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        placed = rows.withColumns({BUCKET: bucket_of(self.keys, self.buckets), BATCH: F.lit(name)})
+        overwrite_partitions(placed, self.path, [BUCKET, BATCH])
+
+    def batches(self) -> dict[str, list[str]]:
+        """The folders of each bucket, compacted ones included."""
+        return {b: list_dirs(self.spark, f"{self.path}/{b}") for b in list_dirs(self.spark, self.path) if b.startswith(f"{BUCKET}=")}
+
+    def _latest(self, schema: T.StructType, folders: Sequence[str] | None = None) -> DataFrame:
+        rows = self._read(schema, self._MORE, folders).select(*(f"`{c}`" for c in schema.fieldNames()))
         return cdc.dedupe_latest(rows, self.keys, self.order)
 
     def snapshot(self) -> DataFrame:
-        """Latest row per key over base and batches, without deleted keys."""
-        return self._merged().filter(~F.col("_deleted")).drop("_deleted")
+        """Latest row per key over all batches, without deleted keys."""
+        schema = self._stored_schema()
+        if schema is None:
+            raise ValueError(f"no batches under {self.path}")
+        return _alive(self._latest(schema))
 
-    def compact(self, min_commits: int = 3) -> bool:
-        """Fold the batches into the base of a new generation once there are enough of them.
+    def compact(self, min_batches: int = 3) -> list[str]:
+        """Fold the folders of each bucket that has `min_batches` of them or more, and at least two, into one. Returns these buckets."""
+        full = [b for b, names in self.batches().items() if len(names) >= max(min_batches, 2)]
+        if full:
+            schema = self._stored_schema()
+            self._fold(schema, schema, full)
+        return full
 
-        Tombstones stay in the base, so a late older change cannot bring a deleted key back.
-        """
-        if len(self.commits()) < min_commits:
-            return False
-        self._merged().write.mode("overwrite").parquet(f"{self.path}/gen={self._generation() + 1}/base")
-        return True
+    def _fold(self, old: T.StructType, schema: T.StructType, buckets: Sequence[str]) -> None:
+        have = self.batches()
+        folders = [f"{b}/{name}" for b in buckets for name in have.get(b, [])]
+        last = max((int(f.rsplit("-", 1)[1]) for f in folders if f"/{BATCH}=base-" in f), default=0)
+        self._write(cdc.align(self._latest(old, folders), schema), f"base-{last + 1}")
+        for folder in folders:
+            _remove(self.spark, f"{self.path}/{folder}")
 
 
 # --- native table formats --------------------------------------------------------------------------------
@@ -473,7 +520,7 @@ class CatalogTable:
             f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED AND s.action <> 'delete' THEN INSERT ({names}) VALUES ({values})"
         )
 
-    def apply(self, changes: DataFrame, keys, order, mode: str = "latest", batch_id: int | None = None, writer: str = "w") -> None:
+    def apply(self, changes: DataFrame, keys: Sequence[str], order: Sequence[str | Column], mode: str = "latest") -> None:
         """Apply routed changes; the table format's own commit makes a repeated batch harmless, as keys decide."""
         if mode != "latest":
             raise ValueError("a single MERGE keeps event order; use mode='latest'")

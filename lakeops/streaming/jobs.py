@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.functions.jsonx import infer_schema
 from lakeops.operators import cdc, docs, sinks
-from lakeops.operators.tables import CatalogTable, MergeOnReadTable, ParquetTable
+from lakeops.operators.tables import BUCKETS, BucketTable, CatalogTable, MergeOnReadTable
 
 
 log = logging.getLogger("lakeops")
@@ -89,17 +89,16 @@ def apply_batch(
     batch: DataFrame,
     batch_id: int,
     tables: Sequence[cdc.TableConfig],
-    lakes: Mapping[tuple[str, str], ParquetTable | CatalogTable],
+    lakes: Mapping[tuple[str, str], BucketTable | CatalogTable],
     fmt: str = "debezium",
     policy: str = "C",
     mode: str = "latest",
     at_once: int = 4,
-    writer: str = "w",
     unrouted: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Apply one micro-batch of raw change events to the configured tables, `at_once` of them in parallel.
 
-    `writer` names the stream: batch ids count per stream, so a second stream's batches are not taken for replays.
+    A batch that comes again changes nothing, as a row never beats itself, whichever stream brings it.
     `unrouted` gets the events of tables that are not configured; without it their counts are logged.
     """
     parsed = cdc.with_source(cdc.parse_envelope(batch, fmt)).persist()
@@ -108,7 +107,7 @@ def apply_batch(
         lake = lakes[(table.db, table.table)]
         changes = decoded_changes(parsed, table, policy, lake.schema)
         if set(table.primary_key) <= set(changes.columns):
-            lake.apply(changes, table.primary_key, change_order(changes, table), mode, batch_id, writer)
+            lake.apply(changes, table.primary_key, change_order(changes, table), mode)
         elif not changes.isEmpty():  # an empty one has no column to know
             missing = sorted(set(table.primary_key) - set(changes.columns))
             raise ValueError(f"events of {table.db}.{table.table} have no key column {missing}, only {changes.columns}")
@@ -136,25 +135,24 @@ def start_cdc(
     fmt: str = "debezium",
     policy: str = "C",
     mode: str = "latest",
-    lakes: Mapping[tuple[str, str], ParquetTable | CatalogTable] | None = None,
+    lakes: Mapping[tuple[str, str], BucketTable | CatalogTable] | None = None,
     unrouted: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Keep one lake table per configured source table up to date from a stream with a `value` column.
 
-    The targets are Parquet tables below `root` unless `lakes` names others, such as catalog tables. The checkpoint folder
-    names the stream: each stream has batch ids of its own.
+    The targets are Parquet tables below `root`, foldered by key bucket and the configured partition columns, unless `lakes` names others, such as catalog tables.
     """
     lakes = lakes or open_tables(stream.sparkSession, tables, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, tables, lakes, fmt, policy, mode, writer=checkpoint, unrouted=unrouted)
+        apply_batch(batch, batch_id, tables, lakes, fmt, policy, mode, unrouted=unrouted)
 
     return start(stream, handle, checkpoint, interval)
 
 
-def open_tables(spark, tables: Sequence[cdc.TableConfig], root: str) -> dict[tuple[str, str], ParquetTable]:
+def open_tables(spark, tables: Sequence[cdc.TableConfig], root: str) -> dict[tuple[str, str], BucketTable]:
     return {
-        (t.db, t.table): ParquetTable(spark, f"{root}/{t.db}/{t.name}", properties=t.properties) for t in tables
+        (t.db, t.table): BucketTable(spark, f"{root}/{t.db}/{t.name}", t.primary_key, t.partition_by, t.buckets or BUCKETS, t.properties) for t in tables
     }
 
 
@@ -165,7 +163,7 @@ def start_merge_on_read(
     compact_after: int = 3,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Append routed changes (`action` plus data) as commits and compact after every few of them."""
+    """Append routed changes (`action` plus data) as folders and fold a bucket's folders after every few of them."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         table.append(batch, batch_id, F.col("action") == "delete", stream=checkpoint)

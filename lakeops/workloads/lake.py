@@ -15,22 +15,20 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cow_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    lake = tables.ParquetTable(spark, work_path(spark, "cow"))
+    lake = tables.BucketTable(spark, work_path(spark, "cow"), ["o_orderkey"])
     lake.append(_orders(spark, sf))
-    lake.merge(cd._order_changes(spark, sf), ["o_orderkey"], batch_id=0)
-    lake.merge(cd._order_changes(spark, sf), ["o_orderkey"], batch_id=0)  # a replay changes nothing
+    lake.merge(cd._order_changes(spark, sf))
+    lake.merge(cd._order_changes(spark, sf))  # a replay changes nothing
     return lake.snapshot()
 
 
 def cow_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Upserts and deletes that touch some partitions only."""
-    lake = tables.ParquetTable(spark, work_path(spark, "cow-parts"), ["o_orderpriority"])
+    lake = tables.BucketTable(spark, work_path(spark, "cow-parts"), ["o_orderkey"], ["o_orderpriority"])
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     lake.append(orders)
-    lake.merge(
-        orders.filter("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") * 2), ["o_orderkey"]
-    )
-    lake.delete(orders.filter("o_orderpriority = '5-LOW' and o_totalprice < 100000"), ["o_orderkey"])
+    lake.merge(orders.filter("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    lake.delete(orders.filter("o_orderpriority = '5-LOW' and o_totalprice < 100000"))
     return lake.snapshot()
 
 
@@ -48,25 +46,46 @@ def _mor(spark: SparkSession, sf: str, compact: bool) -> DataFrame:
     for batch, changes in enumerate(_commits(spark, sf)):
         lake.append(changes, batch, F.col("action") == "delete")
         if compact:
-            lake.compact(min_commits=3)
+            lake.compact(min_batches=3)
     return lake.snapshot().select("user_id", "event_id", "event_type", "value")
 
 
 def applied_batches(spark: SparkSession, sf: str) -> DataFrame:
-    lake = tables.ParquetTable(spark, work_path(spark, "applied"))
-    for batch, changes in enumerate(_commits(spark, sf)):
-        lake.apply(changes, ["user_id"], ["ts_ms", "event_id"], batch_id=batch)
+    lake = tables.BucketTable(spark, work_path(spark, "applied"), ["user_id"])
+    for changes in _commits(spark, sf):
+        lake.apply(changes, ["user_id"], ["ts_ms", "event_id"])
     return lake.snapshot().select("user_id", "event_id", "event_type", "value")
 
 
 def delete_write(spark: SparkSession, sf: str) -> DataFrame:
-    lake = tables.ParquetTable(spark, work_path(spark, "delete"))
+    lake = tables.BucketTable(spark, work_path(spark, "delete"), ["o_orderkey"])
     lake.overwrite(_orders(spark, sf))
     gone = table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
-    lake.delete(gone, ["o_orderkey"], batch_id=0)
+    lake.delete(gone)
     return lake.snapshot()
 
 
+def bucket_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The last event of each user, from batches that come newest first and one that comes again: stored rows that are later stay."""
+    lake = tables.BucketTable(spark, work_path(spark, "buckets"), ["user_id"], buckets=16)
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", cd.ts_ms().alias("ts_ms"))
+    for share in (2, 0, 1, 0):
+        lake.upsert(events.filter(F.col("event_id") % 3 == share), ["ts_ms", "event_id"])
+    return lake.snapshot()
+
+
+def bucket_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers without an order go; each bucket and market segment is a folder, and folders that lose all rows go too."""
+    lake = tables.BucketTable(spark, work_path(spark, "buckets"), ["c_custkey"], ["c_mktsegment"], buckets=16)
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    lake.append(customers)
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    lake.delete(customers.join(orders, "c_custkey", "left_anti"))
+    lake.delete(customers.filter("c_mktsegment = 'BUILDING'"))
+    left = lake._in_folders(lake.schema, None).withColumn("folder", F.regexp_extract("_folder", "c_mktsegment=(.*)", 1))
+    return left.groupBy("folder").agg(F.count("*").alias("customers"), F.sum("c_custkey").alias("keys"))
+
+
 def bulk_inserted(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "bulk")
     lines = table(spark, sf, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
@@ -88,7 +107,7 @@ def partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 def table_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    lake = tables.ParquetTable(spark, work_path(spark, "parts"), ["o_orderpriority"])
+    lake = tables.BucketTable(spark, work_path(spark, "parts"), ["o_orderkey"], ["o_orderpriority"])
     lake.overwrite(orders)
     lake.overwrite_partitions(orders.filter("o_orderpriority = '1-URGENT' and o_totalprice > 200000"))
     return lake.snapshot()
@@ -96,7 +115,7 @@ def table_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 def evolved_append(spark: SparkSession, sf: str) -> DataFrame:
     """The second batch brings a column and widens another."""
-    lake = tables.ParquetTable(spark, work_path(spark, "evolve"))
+    lake = tables.BucketTable(spark, work_path(spark, "evolve"), ["id"])
     lake.append(table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand")))
     lake.append(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("size"), F.col("s_name").alias("name")))
     return lake.snapshot()
@@ -137,6 +156,8 @@ QUERIES = {
     "lake_mor_compacted": lambda spark, sf: _mor(spark, sf, compact=True),
     "lake_applied_batches": applied_batches,
     "lake_delete_write": delete_write,
+    "lake_bucket_upsert": bucket_upsert,
+    "lake_bucket_delete": bucket_delete,
     "lake_bulk_insert": bulk_inserted,
     "lake_partition_overwrite": partition_overwrite,
     "lake_table_partition_overwrite": table_partition_overwrite,
@@ -157,6 +178,10 @@ ORACLE = {
     "lake_mor_compacted": cd.LIVE_SQL,
     "lake_applied_batches": cd.LIVE_SQL,
     "lake_delete_write": cd.ORACLE["cdc_delete_by_key"],
+    "lake_bucket_upsert": """select user_id, event_id, event_type, value, ts_ms from (select *, epoch_us(ts) // 1000 as ts_ms,
+        row_number() over (partition by user_id order by epoch_us(ts) // 1000 desc, event_id desc) as rn from events) where rn = 1""",
+    "lake_bucket_delete": """select c_mktsegment as folder, count(*) as customers, cast(sum(c_custkey) as bigint) as keys from customer
+      where c_mktsegment <> 'BUILDING' and c_custkey in (select o_custkey from orders) group by 1""",
     "lake_bulk_insert": """select year(l_shipdate) as ship_year, count(*) as "rows", round(sum(l_quantity), 2) as quantity
       from lineitem group by 1""",
     "lake_partition_overwrite": _OVERWRITTEN,

@@ -79,7 +79,7 @@ def overwritten(spark: SparkSession, sf: str) -> DataFrame:
     spark.sql(f"truncate table lake_{run}.segments")
     spark.sql(f"insert into lake_{run}.segments select c_custkey, c_mktsegment from customers_{run} where c_acctbal > 0")
     by_sql = spark.table(f"lake_{run}.segments").withColumn("way", F.lit("sql"))
-    lake = tables.ParquetTable(spark, f"{path}/lake")
+    lake = tables.BucketTable(spark, f"{path}/lake", ["c_custkey"])
     lake.overwrite(customers.select("c_custkey", "c_mktsegment"))
     lake.overwrite(customers.filter("c_acctbal <= 0").select("c_custkey", "c_mktsegment"))
     both = by_sql.unionByName(lake.snapshot().withColumn("way", F.lit("writer")))
@@ -197,7 +197,7 @@ def replayed_ddl(spark: SparkSession, sf: str) -> DataFrame:
 
 def null_batch_types(spark: SparkSession, sf: str) -> DataFrame:
     """A first batch fixes the types, a second one holds nothing but nulls in two columns: the types stay."""
-    lake = tables.ParquetTable(spark, work_path(spark, "nulls"))
+    lake = tables.BucketTable(spark, work_path(spark, "nulls"), ["event_id"])
     events = spread(table(spark, sf, "events"))
     config = cdc.TableConfig("shop", "log", ("event_id",))
     for batch, gone in enumerate((False, True)):
@@ -275,7 +275,7 @@ def many_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def two_writers(spark: SparkSession, sf: str) -> DataFrame:
-    """Two streams with checkpoints of their own feed the same tables: neither's batches are taken for replays of the other's."""
+    """Two streams with checkpoints of their own feed the same tables: neither takes rows from the other."""
     root = work_path(spark, "stream-two")
     for part in range(2):
         folder = work_path(spark, "stream-files")
@@ -284,6 +284,27 @@ def two_writers(spark: SparkSession, sf: str) -> DataFrame:
     return _states(spark, root)
 
 
+def partitioned_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """Targets foldered as their configuration says: one row per folder value, told from the files' paths."""
+    root, folder, path = work_path(spark, "stream-parts"), work_path(spark, "stream-files"), work_path(spark, "settings") + ".json"
+    entries = [
+        {"db": t.db, "table": t.table, "primary_key": "user_id", "partition_by": "event_type", "buckets": 4, "schema": t.schema} for t in cd._TABLES
+    ]
+    tables.write_text(spark, path, json.dumps(entries))
+    configs = cdc.load_table_config(spark, path)
+    _event_files(spark, sf, folder, 0, 1)
+    schema = table(spark, sf, "events").schema
+    stream = cd.change_events(readers.file_stream(spark, folder, "parquet", schema, max_files=2))
+    jobs.start_cdc(stream, configs, root, jobs.checkpoint_path(root, "parts")).awaitTermination()
+    parts = []
+    for (db, name), lake in jobs.open_tables(spark, configs, root).items():
+        if lake.schema is not None:
+            rows = lake._in_folders(lake._stored_schema(), None).filter(~F.col(cdc.DELETED))
+            rows = rows.withColumn("event_type", F.regexp_extract("_folder", "/event_type=(.*)", 1))
+            parts.append(rows.groupBy("event_type").agg(F.count("*").alias("users"), F.max("user_id").alias("last")).withColumns({"db": F.lit(db), "table": F.lit(name)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- lineage, metrics, scripts ----------------------------------------------------------------------------
 
 
@@ -372,6 +393,7 @@ QUERIES = {
     "cdc_list_payloads": list_payloads,
     "stream_cdc_many_batches": many_batches,
     "stream_cdc_two_writers": two_writers,
+    "stream_cdc_partitioned": partitioned_targets,
     "lineage_log_since": log_since,
     "lineage_task_events": task_events,
     "metrics_write_throughput": write_throughput,
@@ -416,6 +438,7 @@ ORACLE = {
     "cdc_list_payloads": "select event_id, case when event_type <> 'click' then user_id end as user_id from events",
     "stream_cdc_many_batches": _ALIVE,
     "stream_cdc_two_writers": _ALIVE,
+    "stream_cdc_partitioned": f"""select db, "table", event_type, count(*) as users, max(user_id) as last from ({_ALIVE}) group by 1, 2, 3""",
     "lineage_log_since": f"""with {_HALF_SQL}, half as (select (min(t) + max(t)) // 2 as m from l), p as (select max(t) + 1 as begin_ms from l, half where t <= m)
       select stream, count(*) as events, min(t) as first from l, p where t >= begin_ms group by 1""",
     "lineage_task_events": "select 'task-' || (user_id % 16) as stream, event_id as run, event_type as type from events where event_type <> 'view'",
