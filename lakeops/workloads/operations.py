@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from lakeops.operators import cdc, docs, lineage, metrics, sinks, tables, vector
 from lakeops.plans import script
 from lakeops.session import spread, table, work_path
 from lakeops.sources import readers
+from lakeops.sources.json_array import json_array
 from lakeops.streaming import jobs
 from lakeops.workloads import change_data as cd
 from lakeops.workloads import documents
@@ -52,6 +55,30 @@ def json_objects(spark: SparkSession, sf: str) -> DataFrame:
     return readers.json_documents(spark, path).select(F.col("c_mktsegment").alias("segment"), "customers", "last")
 
 
+def _array_files(rows: DataFrame, path: str, files: int) -> None:
+    """Each task's rows of JSON text as one array over a single file, an element a line."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "[ "
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([mark + text])], names=["value"])
+                mark = " , "
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if mark != "[ " else "[]"])], names=["value"])
+
+    rows.repartition(files, *rows.columns).mapInArrow(lines, "value string").write.text(path)
+
+
+def json_array_blocks(spark: SparkSession, sf: str, block_bytes: int = 64 * 1024) -> DataFrame:
+    """Large arrays read in small blocks; texts and notes hold brackets, commas, quotes and backslashes."""
+    path = work_path(spark, "arrays")
+    note = F.concat(F.lit('],[{"}\\'), F.col("source"), F.lit('"\\\\,{ '))
+    inner = F.array(F.struct(F.col("n_chars").alias("n"), note.alias("note")))
+    _array_files(table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text", inner.alias("parts"), note.alias("note"))).alias("value")), path, 3)
+    rows = json_array(spark, path, block_bytes=block_bytes)
+    return rows.select("doc_id", F.md5("text").alias("digest"), "note", F.get("parts", F.lit(0))["n"].alias("n"), F.get("parts", F.lit(0))["note"].alias("inner_note"))
+
+
 def inline_rows(spark: SparkSession, sf: str) -> DataFrame:
     names = readers.inline_rows(spark, [("R", "returned"), ("A", "accepted"), ("N", "none")], "flag string, meaning string")
     lines = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("lines"))
@@ -374,6 +401,7 @@ QUERIES = {
     "source_change_files": change_files,
     "source_text_lines": text_lines,
     "source_json_objects": json_objects,
+    "source_json_array_blocks": json_array_blocks,
     "source_inline_rows": inline_rows,
     "source_synthetic_trips": trips,
     "lake_overwrite_existing": overwritten,
@@ -410,6 +438,8 @@ ORACLE = {
     "source_text_lines": """select left(line, 1) as first, count(*) as lines, cast(sum(length(line)) as bigint) as chars
       from (select unnest(string_split(text, chr(10))) as line from documents) group by 1""",
     "source_json_objects": "select c_mktsegment as segment, count(*) as customers, max(c_custkey) as last from customer group by 1",
+    "source_json_array_blocks": """with n as (select *, '],[{"}\\' || source || '"\\\\,{ ' as note from documents)
+      select doc_id, md5(text) as digest, note, n_chars as n, note as inner_note from n""",
     "source_inline_rows": """select l_returnflag, case l_returnflag when 'R' then 'returned' when 'A' then 'accepted' when 'N' then 'none' end as meaning,
       count(*) as lines from lineitem group by 1""",
     "source_synthetic_trips": f"""select chr(65 + cast(o_orderkey % 10 as integer)) as route_id,

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import json
+import random
 
+import oracle
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from lakeops.sources import readers
+from lakeops.sources.json_array import json_array, json_array_elements
+from lakeops.workloads import operations
 
 
 def test_kafka_start_is_an_offset_or_a_time():
@@ -50,3 +54,42 @@ def test_generated_rows(spark):
     assert rows(trips.filter("trip_id = 13").select("route_id", "destination")) == [("D", "Los Angeles")]
     assert trips.count() == 20 and trips.agg(F.min("trip_id")).head()[0] == 5
     assert rows(readers.inline_rows(spark, [(1, "a", 2)], "id int, s string, n int")) == [(1, "a", 2)]
+
+
+ODD = ['{"a":1}', '{"a":"},{[\\"x\\\\"}', '"text, with } and \\" in it"', "17", "null", '[[1,2],{"b":[]}]', '{ "a" : {"b": "\\\\\\\\"} }', '{"é中": "}😀"}', "{}", '""']
+
+
+@pytest.mark.parametrize("block", [16, 64, 1024])
+def test_json_array_in_blocks(spark, tmp_path, block):
+    rng = random.Random(block)
+    files = {}
+    for n in range(6):
+        items = [rng.choice(ODD) for _ in range(rng.randrange(1, 60))] if n else []
+        gap = lambda: rng.choice(["", " ", "\n  ", "\t"])
+        text = gap() + "[" + ",".join(gap() + x + gap() for x in items) + "]" + rng.choice(["", "\n"])
+        (tmp_path / f"{n}.json").write_bytes((b"\xef\xbb\xbf" if n == 2 else b"") + text.encode())
+        files[f"{n}.json"] = items
+    (tmp_path / "6.json").write_text('{"one": [1, {"x": "}"}],\n "two": "' + "y" * 100 + '"}\n')
+    files["6.json"] = [(tmp_path / "6.json").read_text().strip()]
+    (tmp_path / "7.json").write_text('{"a":[{}]}')
+    files["7.json"] = ['{"a":[{}]}']
+    (tmp_path / "8.json").write_text("")
+    got = {name: {} for name in files}
+    for path, idx, text in json_array_elements(spark, str(tmp_path), block).collect():
+        got[path.rsplit("/", 1)[1]][idx] = text
+    assert {name: [found[i] for i in sorted(found)] for name, found in got.items()} == files
+    assert all(sorted(found) == list(range(len(found))) for found in got.values())
+    with pytest.raises(KeyError):
+        got["8.json"]
+
+
+def test_json_array_rows(spark, tmp_path):
+    (tmp_path / "x.json").write_text(json.dumps([{"a": i, "b": [{"c": "]" * i}]} for i in range(40)], indent=2))
+    got = json_array(spark, str(tmp_path), block_bytes=100)
+    assert rows(got.select("a", F.col("b")[0]["c"]), "a") == [(i, "]" * i) for i in range(40)]
+    assert json_array(spark, str(tmp_path), "a int").count() == 40
+
+
+def test_json_array_query_in_small_blocks(spark):
+    sf = "/root/testdata/sf0.001"
+    assert oracle.compare(operations.json_array_blocks(spark, sf, 1024), oracle.connect(sf), operations.ORACLE["source_json_array_blocks"]) is None
