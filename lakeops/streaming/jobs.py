@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.functions.jsonx import infer_schema
-from lakeops.operators import cdc, docs, sinks
+from lakeops.operators import cdc, docs, metrics, sinks
 from lakeops.operators.tables import BUCKETS, BucketTable, CatalogTable, MergeOnReadTable
 
 
@@ -194,20 +196,33 @@ def start_display(stream: DataFrame, checkpoint: str, rows: int = 20, interval:
     return start(stream, lambda batch, batch_id: sinks.log_sample(batch, rows, f"batch {batch_id}"), checkpoint, interval)
 
 
-def start_complete(result: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Keep the whole result of a streaming aggregate in a table: open windows are in it as they stand."""
+def keep_running(begin: Callable[[], StreamingQuery], failures: int = 2, pause_s: float = 0.0) -> int:
+    """Run a stream to its end and start it again when it fails, until it has failed `failures` times in a row without a finished batch.
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    writer = result.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+    Returns how often it was started. The failed batch is repeated by the next start, from the same checkpoint; the last failure is raised.
+    """
+    started = failed = 0
+    while True:
+        query = begin()
+        started += 1
+        try:
+            query.awaitTermination()
+            return started
+        except StreamingQueryException:
+            failed = 1 if query.lastProgress else failed + 1
+            log.warning("stream %s failed (%s of %s)", query.name or query.id, failed, failures)
+            if failed >= failures:
+                raise
+            time.sleep(pause_s)
 
 
 def latency_windows(
     messages: DataFrame, event_time: str, latency_ms: str, window: str = "10 seconds", late: str = "1 minute"
 ) -> DataFrame:
-    """Message count and latency figures per time window, dropping rows later than the watermark."""
+    """Message count and latency figures per time window, dropping rows later than the watermark.
+
+    In append mode a window comes out once, when the watermark has passed its end, and leaves the state.
+    """
     return (
         messages.withWatermark(event_time, late)
         .groupBy(F.window(event_time, window))
@@ -220,3 +235,18 @@ def latency_windows(
         )
         .select("window.start", "window.end", "messages", "mean", "min", "max", "median")
     )
+
+
+def latency_sketches(
+    messages: DataFrame, event_time: str, latency_ms: str, window: str = "1 hour", late: str = "1 minute", k: int = metrics.SKETCH_SIZE
+) -> DataFrame:
+    """Per time window the message count, extremes, sum and a mergeable sketch of the latencies; closed windows only, in append mode.
+
+    `metrics.merged_windows` makes longer windows of them.
+    """
+    return (
+        messages.withWatermark(event_time, late)
+        .groupBy(F.window(event_time, window))
+        .agg(*metrics.sketch_columns(latency_ms, k))
+        .select("window.start", "window.end", "messages", "total", "min", "max", "sketch")
+    )

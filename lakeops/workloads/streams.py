@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators import cdc, docs, sinks
+from lakeops.operators import cdc, docs, metrics, sinks
 from lakeops.operators.tables import MergeOnReadTable
-from lakeops.session import table, work_path
+from lakeops.session import stored, table, work_path
 from lakeops.sources.readers import file_stream
-from lakeops.streaming import jobs
+from lakeops.streaming import jobs, state
 from lakeops.workloads import change_data as cd
 from lakeops.workloads import documents
+from lakeops.workloads import lineage as lineage_queries
 
 
 def _event_stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
@@ -57,23 +59,124 @@ def document_load(spark: SparkSession, sf: str) -> DataFrame:
     return stats.agg(F.sum("docs").alias("docs"), F.sum("ok").alias("ok"), F.sum("failed").alias("failed"))
 
 
+def _message_files(spark: SparkSession, sf: str, folder: str, name: str = "events") -> None:
+    table(spark, sf, name).write.mode("append").parquet(folder)
+
+
+def _heartbeat(spark: SparkSession, sf: str, folder: str) -> None:
+    """One event without a value, two days after all others: it moves the watermark, so all windows before it close."""
+    events = table(spark, sf, "events")
+    late = events.agg((F.max("ts") + F.expr("interval 2 days")).alias("ts"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("ts").cast(f.dataType).alias("ts") for f in events.schema.fields]
+    late.select(*empty).filter("ts is not null").write.mode("append").parquet(folder)
+
+
+def _closed_windows(spark: SparkSession, sf: str, windows) -> DataFrame:
+    """Windows of the event stream that are closed after a first start over the events and a second one over a heartbeat."""
+    root, folder = work_path(spark, "stream-windows"), work_path(spark, "stream-files")
+    schema = table(spark, sf, "events").schema
+    for put in (_message_files, _heartbeat):
+        put(spark, sf, folder)
+        found = windows(file_stream(spark, folder, "parquet", schema).withColumn("ts", F.col("ts").cast("timestamp")))
+        state.start_batches(found, f"{root}/out", jobs.checkpoint_path(root, "windows")).awaitTermination()
+    return state.read_batches(spark, f"{root}/out", found.schema)
+
+
 def latency_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly latency windows of a stream; the last, open ones too, as the whole result is written after each batch."""
-    root = work_path(spark, "stream-latency")
-    messages = _event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    windows = jobs.latency_windows(messages, "ts", "value", "1 hour", "1 day")
-    jobs.start_complete(windows, f"{root}/out", jobs.checkpoint_path(root, "latency")).awaitTermination()
-    done = spark.read.schema(windows.schema).parquet(f"{root}/out")
+    """Hourly latency windows of a stream, each written once, when it is closed."""
+    done = _closed_windows(spark, sf, lambda messages: jobs.latency_windows(messages, "ts", "value", "1 hour", "1 day"))
     return done.select(
         F.unix_millis("start").alias("start_ms"), "messages", F.round("mean", 6).alias("mean"), "min", "max", "median"
     )
 
 
+def merged_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly sketches of a stream merged to days: exact counts and extremes, and percentiles whose rank among the day's values is within the sketch's error."""
+    hours = _closed_windows(spark, sf, lambda messages: jobs.latency_sketches(messages, "ts", "value", "1 hour", "1 day"))
+    days = stored(metrics.sketch_figures(metrics.merged_windows(hours, "1 day"), (50, 95, 99)), "days")
+    values = table(spark, sf, "events").select(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day"), "value")
+    met = values.join(days, F.col("day") == F.col("start"))
+    ranks = met.groupBy("day").agg(*(F.count_if(F.col("value") < F.col(p)).alias(f"{p}_below") for p in ("p50", "p95", "p99")),
+                                   *(F.count_if(F.col("value") <= F.col(p)).alias(f"{p}_to") for p in ("p50", "p95", "p99")))
+    n = F.col("messages")
+    within = [
+        ((F.col(f"{p}_below") <= n * (share + metrics.SKETCH_ERROR) + 1) & (F.col(f"{p}_to") >= n * (share - metrics.SKETCH_ERROR) - 1)).alias(f"{p}_within")
+        for p, share in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
+    ]
+    return days.join(ranks, F.col("start") == F.col("day")).select(F.unix_millis("start").alias("day_ms"), "messages", "min", "max", F.round("mean", 6).alias("mean"), *within)
+
+
+def live_counts(spark: SparkSession, sf: str, files: int = 10) -> DataFrame:
+    """Users and sums per event type over the live rows of a change stream, in ten batches in no order, over two starts."""
+    root, folder = work_path(spark, "stream-live"), work_path(spark, "stream-files")
+    schema = table(spark, sf, "events").schema
+    for half in range(2):
+        mine = table(spark, sf, "events").filter(F.pmod(F.hash("event_id"), F.lit(2)) == half)
+        mine.repartition(files // 2, "event_id").write.mode("append").parquet(folder)
+        raw = cd.change_events(file_stream(spark, folder, "parquet", schema, max_files=1))
+        routed = cdc.route(cdc.parse_envelope(raw), "C").select("ts_ms", "action", cdc.payload().alias("d"))
+        changes = cdc.decode(routed, "d", cd._PAYLOAD).withColumn("value", F.col("value").cast("decimal(20,6)"))
+        state.start_live_counts(
+            changes, ["user_id"], ["ts_ms", "event_id"], ["event_type"], f"{root}/counts", jobs.checkpoint_path(root, "live"), ["value"]
+        ).awaitTermination()
+    return state.live_counts(spark, f"{root}/counts").select("event_type", F.col("rows").alias("users"), F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+def stitched_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The split run events of `lineage_log_events` as a stream: two files of mixed messages, and a last message that lets all heads settle."""
+    root, folder = work_path(spark, "stream-stitch"), work_path(spark, "stream-files")
+    logs = stored(lineage_queries._logs(spark, sf), "logs")
+    beat = logs.agg((F.max("timestamp") + 86_400_000).alias("timestamp")).filter("timestamp is not null")
+    beat = beat.select(F.lit("heartbeat").alias("stream"), F.lit("z").alias("event_id"), "timestamp", F.lit("alive").alias("message"))
+    for rows in (logs.repartition(2, "event_id"), beat):
+        rows.write.mode("append").parquet(folder)
+        found = state.stitched_events(file_stream(spark, folder, "parquet", logs.schema), late="1 hour")
+        state.start_batches(found, f"{root}/events", jobs.checkpoint_path(root, "stitch")).awaitTermination()
+    events = state.read_batches(spark, f"{root}/events", found.schema)
+    complete = F.col("complete")
+    return events.select(
+        "stream",
+        F.when(complete, "complete").otherwise("incomplete").alias("state"),
+        F.when(complete, F.get_json_object("event", "$.run")).otherwise(F.regexp_extract("event", r'"run":"(\d+)"', 1)).alias("run"),
+        F.when(complete, F.get_json_object("event", "$.type")).alias("type"),
+        F.when(complete, F.get_json_object("event", "$.n.k")).cast("bigint").alias("k"),
+    )
+
+
+def retried(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream whose handler fails on each event type's first batch and is started again, and one that fails twice in a row and stops."""
+    root, folder, failed = work_path(spark, "stream-retry"), work_path(spark, "stream-files"), set()
+    _message_files(spark, sf, folder)
+    stream = file_stream(spark, folder, "parquet", table(spark, sf, "events").schema)
+
+    def fails_once(batch: DataFrame, batch_id: int) -> None:
+        if batch_id not in failed:
+            failed.add(batch_id)
+            raise ValueError("not yet")
+        batch.groupBy("event_type").count().write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    def fails(batch: DataFrame, batch_id: int) -> None:
+        failed.add(("twice", len(failed)))
+        raise ValueError("never")
+
+    starts = jobs.keep_running(lambda: jobs.start(stream, fails_once, jobs.checkpoint_path(root, "once")))
+    try:
+        jobs.keep_running(lambda: jobs.start(stream, fails, jobs.checkpoint_path(root, "twice")))
+    except StreamingQueryException:
+        stopped_after = sum(isinstance(f, tuple) for f in failed)
+    counts = spark.read.schema("event_type string, count bigint").parquet(f"{root}/out")
+    return counts.groupBy("event_type").agg(F.sum("count").alias("events")).withColumns({"starts": F.lit(starts), "tries": F.lit(stopped_after)})
+
+
 QUERIES = {
     "stream_cdc_tables": cdc_tables,
     "stream_merge_on_read": merge_on_read,
     "stream_document_load": document_load,
     "stream_latency_windows": latency_windows,
+    "stream_merged_windows": merged_windows,
+    "stream_live_counts": live_counts,
+    "stream_stitched_events": stitched_events,
+    "stream_bounded_retry": retried,
 }
 
 ORACLE = {
@@ -82,4 +185,9 @@ ORACLE = {
     "stream_document_load": documents.ORACLE["docs_write_stats"],
     "stream_latency_windows": """select epoch_ms(date_trunc('hour', ts)) as start_ms, count(*) as messages, round(avg(value), 6) as mean,
         min(value) as min, max(value) as max, quantile_disc(value, 0.5) as median from events group by 1""",
+    "stream_merged_windows": """select epoch_ms(date_trunc('day', ts)) as day_ms, count(value) as messages, min(value) as min, max(value) as max,
+        round(avg(value), 6) as mean, true as p50_within, true as p95_within, true as p99_within from events group by 1""",
+    "stream_live_counts": cd.ORACLE["cdc_live_by_type"],
+    "stream_stitched_events": lineage_queries.ORACLE["lineage_log_events"],
+    "stream_bounded_retry": "select event_type, count(*) as events, 2 as starts, 2 as tries from events group by 1",
 }
