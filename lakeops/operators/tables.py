@@ -118,6 +118,18 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def compact_files(spark: SparkSession, source: str, target: str, partition_by: Sequence[str], file_bytes: int = 256 << 20) -> None:
+    """Rewrite a partitioned Parquet folder with files of at most about `file_bytes`, few as small ones as there are folders.
+
+    A file's rows are bounded by the measured bytes a row of the whole folder; large partitions are split, small ones gathered, by the rebalancing of the write.
+    """
+    rows = spark.read.parquet(source)
+    size = file_sizes(spark, source).agg(F.sum("bytes")).head()[0] or 0
+    per_row = size / max(rows.count(), 1)
+    writer = balanced(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("maxRecordsPerFile", max(1, int(file_bytes / per_row)) if per_row else 0).parquet(target)
+
+
 def with_day_partition(df: DataFrame, time: str, name: str = "day") -> DataFrame:
     """Day transform of a timestamp as a derived partition column."""
     return df.withColumn(name, F.to_date(time))

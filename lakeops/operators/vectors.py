@@ -9,8 +9,6 @@ Scores are rounded to nine decimals before ranking, so equal scores tie by id ho
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -26,6 +24,7 @@ QUERY_BYTES = 64 * 1024 * 1024
 ROWS_PER_CHUNK = 200_000
 CHUNK_BYTES = 64 * 1024 * 1024
 _CELLS_AT_ONCE = 4_000_000
+_MARGIN = 1e-6
 
 Scorer = Callable[[pd.DataFrame], np.ndarray]
 
@@ -87,20 +86,18 @@ def normalize(vector: str | Column) -> Column:
 def sparse_vectors(df: DataFrame, key: str, text_col: str, out: str = "terms") -> DataFrame:
     """Term weights 1 + ln(count) per document as a map; documents without a word drop out.
 
-    Counting inside the row keeps the words out of a shuffle, which exploding and grouping them would need.
+    Counting inside the row keeps the words out of a shuffle, which exploding and grouping them would need: words are sorted, and a term's count is the
+    distance between the first places of it and of the next one.
     """
-
-    def weigh(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for page in pages:
-            maps = []
-            for text in page["_text"]:
-                counts = Counter(word for word in re.split(words.SPACE, text or "") if word)
-                maps.append({t: round(1.0 + math.log(n), 6) for t, n in counts.items()})
-            full = [bool(m) for m in maps]
-            yield pd.DataFrame({key: page[key][full], out: pd.Series(maps, index=page.index, dtype=object)[full]})
-
-    schema = T.StructType([df.schema[key], T.StructField(out, T.MapType(T.StringType(), T.DoubleType()))])
-    return df.select(key, F.lower(text_col).alias("_text")).mapInPandas(weigh, schema)
+    rows = df.select(key, F.sort_array(F.array_remove(words.split_words(text_col), "")).alias("_words"))
+    at = lambda i: F.get("_words", i)
+    firsts = F.filter(F.sequence(F.lit(0), F.size("_words") - 1), lambda i: (i == 0) | (at(i) != at(i - 1)))
+    rows = rows.withColumn("_first", F.when(F.size("_words") > 0, firsts))
+    ends = F.concat(F.slice("_first", 2, F.size("_first")), F.array(F.size("_words")))
+    weights = F.zip_with("_first", ends, lambda i, j: F.round(F.lit(1.0) + F.log((j - i).cast("double")), 6))
+    terms = F.map_from_arrays(F.transform("_first", at), weights)
+    # Behind a generator: Catalyst would move filters on the terms down and so sort the words once per word.
+    return rows.select(key, F.explode_outer(F.array(terms)).alias(out)).filter(F.col(out).isNotNull())
 
 
 # --- scoring kernels (numpy inside one task) --------------------------------------------------------------
@@ -131,42 +128,6 @@ def _dense(queries: pd.DataFrame, metric: str) -> Scorer:
     return score
 
 
-def _sparse(queries: pd.DataFrame, _metric: str) -> Scorer:
-    """Postings of the queries by term: memory follows the terms the queries hold, not vocabulary times queries."""
-    owner = np.repeat(np.arange(len(queries)), [len(t) for t in queries["_terms"]])
-    terms = np.concatenate([np.asarray(t, dtype=object) for t in queries["_terms"]]) if len(owner) else np.array([], object)
-    weights = np.concatenate([np.asarray(w, dtype=float) for w in queries["_weights"]]) if len(owner) else np.array([])
-    vocabulary, at = np.unique(terms.astype(str), return_inverse=True)
-    order = np.argsort(at, kind="stable")
-    owner, weights = owner[order], weights[order]
-    first = np.searchsorted(at[order], np.arange(len(vocabulary) + 1))
-    index = pd.Index(vocabulary)
-
-    def score(docs: pd.DataFrame) -> np.ndarray:
-        shape = (len(docs), len(queries))
-        sizes = [len(t) for t in docs["_terms"]]
-        if not len(index) or not sum(sizes):
-            return np.full(shape[::-1], -np.inf)
-        hit = index.get_indexer(np.concatenate([np.asarray(t, dtype=object) for t in docs["_terms"]]))
-        values = np.concatenate([np.asarray(w, dtype=float) for w in docs["_weights"]])
-        row = np.repeat(np.arange(len(docs)), sizes)
-        result, matched = np.zeros(shape).reshape(-1), np.zeros(shape, dtype=bool).reshape(-1)
-        found = np.flatnonzero(hit >= 0)
-        many = np.cumsum(first[hit[found] + 1] - first[hit[found]])
-        # A bounded number of (document, posting) pairs at a time.
-        cuts = np.unique(np.searchsorted(many, np.arange(0, many[-1] if len(many) else 0, _CELLS_AT_ONCE)))
-        for part in np.split(found, cuts[1:]):
-            count = first[hit[part] + 1] - first[hit[part]]
-            place = np.repeat(first[hit[part]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            cell = np.repeat(row[part], count) * shape[1] + owner[place]
-            np.add.at(result, cell, np.repeat(values[part], count) * weights[place])
-            matched[cell[weights[place] != 0]] = True
-        # Documents without a common term are no result at all.
-        return np.where(matched, result, -np.inf).reshape(shape).T
-
-    return score
-
-
 def _best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
     """The k best (score descending, id ascending) entries of each owner."""
     order = np.lexsort((ids, -scores, owner))
@@ -333,18 +294,52 @@ def sparse_topk(
     doc_id: str = "doc_id",
     query_terms: str = "terms",
     doc_terms: str = "terms",
-    query_bytes: int = QUERY_BYTES,
+    rows_per_salt: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Best k documents per query by the sum of query weight times document weight over common terms."""
-
-    def keyed(df: DataFrame, key: str, terms: str, name: str) -> DataFrame:
-        return df.select(
-            F.col(key).alias(name), F.map_keys(terms).alias("_terms"), F.map_values(terms).alias("_weights")
-        ).filter(F.col("_terms").isNotNull())
+    """Best k documents per query by the sum of query weight times document weight over common terms, exactly.
 
-    q, d = keyed(queries, query_id, query_terms, "query_id"), keyed(corpus, doc_id, doc_terms, "doc_id")
-    found = _search(q, d, k, "sparse", _sparse, False, F.size("_terms"), query_bytes)
-    return found.select("query_id", "rank", "doc_id", "score")
+    A join on terms, cut by bounds. A term adds at most its largest document weight times the query's. The k-th best single product of a query is a score that
+    k documents reach, so terms that cannot reach it even together bring no new document: only the other, rarer ones are joined with their postings. Documents that
+    cannot reach the k-th best sum found so far go, the rest get their missing products from their own terms. Terms with many postings are salted.
+    With a negative weight on either side nothing is cut.
+    """
+    q = queries.select(F.col(query_id).alias("query_id"), F.explode(query_terms).alias("term", "_qw")).filter("_qw <> 0")
+    q = stored(q, "query-terms")
+    d = corpus.select(F.col(doc_id).alias("doc_id"), F.col(doc_terms).alias("_terms")).filter(F.col("_terms").isNotNull())
+    wanted = q.select("term").distinct()
+    postings = stored(d.select("doc_id", F.explode("_terms").alias("term", "_dw")).join(wanted, "term", "left_semi"), "postings")
+    by_weight = Window.partitionBy("term").orderBy(F.desc("_dw"))
+    best = postings.withColumn("_r", F.row_number().over(by_weight)).filter(F.col("_r") <= k)
+    kth = best.groupBy("term").agg(F.max("_dw").alias("_most"), F.max("_r").alias("_n"), F.min("_dw").alias("_kth"))
+    counts = postings.groupBy("term").agg(F.count("*").alias("_df"), F.min("_dw").alias("_least"))
+    terms = stored(q.join(counts.join(kth, "term"), "term"), "query-terms")
+    lowest = terms.agg(F.least(F.min("_qw"), F.min("_least"))).head()[0]
+    if lowest is None:
+        return _ranked(queries.sparkSession.createDataFrame([], _result_schema(q, d)), k).select("query_id", "rank", "doc_id", "score")
+    mine = Window.partitionBy("query_id")  # the terms of one query
+    reached = F.max(F.when(F.col("_n") >= k, F.col("_qw") * F.col("_kth"))).over(mine)
+    below = F.sum(F.col("_qw") * F.col("_most")).over(mine.orderBy(F.col("_qw") * F.col("_most"), "term").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Scores are rounded to nine decimals before they are ranked: the margin keeps all that tie.
+    needed = (F.coalesce(below + _MARGIN >= reached, F.lit(True))) if lowest >= 0 else F.lit(True)
+    terms = stored(terms.withColumn("_needed", needed), "query-terms")
+    salts = F.ceil(F.col("_df") / rows_per_salt)
+    left = terms.filter("_needed").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    heavy = terms.filter(F.col("_df") > rows_per_salt).select("term", salts.alias("_salts")).distinct()
+    right = postings.join(heavy, "term", "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_salts")), F.lit(0)))
+    met = left.select("query_id", "term", "_qw", "_salt").join(right.select("term", "doc_id", "_dw", "_salt"), ["term", "_salt"])
+    sums = stored(met.groupBy("query_id", "doc_id").agg(F.sum(F.col("_qw") * F.col("_dw")).alias("_sum")), "sums")
+    rest = terms.filter("not _needed").groupBy("query_id").agg(
+        F.collect_list(F.struct("term", "_qw")).alias("_rest"), F.sum(F.col("_qw") * F.col("_most")).alias("_more")
+    )
+    ranked = sums.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("_sum")))).filter(F.col("_r") <= k)
+    edge = ranked.groupBy("query_id").agg(F.max("_r").alias("_n"), F.min("_sum").alias("_edge"))
+    limits = edge.join(rest, "query_id", "left").select("query_id", "_rest", F.coalesce("_more", F.lit(0.0)).alias("_more"), F.when(F.col("_n") >= k, F.col("_edge")).alias("_edge"))
+    open_ = sums.join(limits, "query_id").filter(F.coalesce(F.col("_sum") + F.col("_more") + _MARGIN >= F.col("_edge"), F.lit(True)))
+    done = open_.filter(F.col("_rest").isNull()).select("query_id", "doc_id", "_sum")
+    late = open_.filter(F.col("_rest").isNotNull()).join(d, "doc_id")
+    added = F.aggregate("_rest", F.lit(0.0), lambda acc, x: acc + x["_qw"] * F.coalesce(F.try_element_at("_terms", x["term"]), F.lit(0.0)))
+    found = done.unionByName(late.select("query_id", "doc_id", (F.col("_sum") + added).alias("_sum")))
+    return _ranked(found.select("query_id", "doc_id", F.round("_sum", 9).alias("score")), k).select("query_id", "rank", "doc_id", "score")
 
 
 def vocabulary(corpus: DataFrame, terms: str = "terms", fallback: int = 0) -> DataFrame:
@@ -484,6 +479,126 @@ def cell_knn(
     return _ranked(partial, k).select("query_id", "rank", "doc_id", score.alias("score"))
 
 
+# --- approximate search on compressed vectors -------------------------------------------------------------
+
+
+def _lloyd(points: np.ndarray, centres: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means centres of a few thousand points; a centre without points stays."""
+    known = np.unique(points, axis=0)
+    if len(known) <= centres:
+        return known
+    middle = known[rng.choice(len(known), centres, replace=False)]
+    for _ in range(rounds):
+        near = ((middle * middle).sum(axis=1)[None, :] - 2 * (points @ middle.T)).argmin(axis=1)
+        counts = np.bincount(near, minlength=centres)
+        sums = np.zeros_like(middle)
+        np.add.at(sums, near, points)
+        middle = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], middle)
+    return middle
+
+
+def train_codebooks(
+    corpus: DataFrame, parts: int = 16, centres: int = 256, vector: str = "embedding", doc_id: str = "doc_id", metric: str = "cosine", rows: int = 16_384, seed: int = 1
+) -> list[np.ndarray]:
+    """Centres of each of `parts` slices of the vectors, by k-means on at most `rows` rows, drawn by a hash of their id. At most 256 centres, so a code is a byte a slice.
+
+    Only the centres depend on the drawn rows; every row is encoded.
+    """
+    if not 0 < centres <= 256:
+        raise ValueError("a code is one byte: 1 to 256 centres")
+    some = _keyed(corpus, doc_id, vector, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows).toPandas()
+    points = _matrix(some["_vec"])
+    if metric == "cosine":
+        points = _units(points) if len(points) else points
+    rng = np.random.default_rng(seed)
+    return [_lloyd(part, centres, 12, rng) for part in np.array_split(points, min(parts, max(points.shape[1], 1)), axis=1)]
+
+
+def encode(corpus: DataFrame, codebooks: Sequence[np.ndarray], vector: str = "embedding", doc_id: str = "doc_id", metric: str = "cosine", out: str = "code") -> DataFrame:
+    """Each vector as the numbers of its slices' nearest centres, a byte each: (doc_id, code). Rows without a vector drop out."""
+    books = list(codebooks)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = _matrix(batch["_vec"])
+            if not len(x):
+                continue
+            x = _units(x) if metric == "cosine" else x
+            cuts = np.cumsum([0, *(b.shape[1] for b in books)])
+            near = [((b * b).sum(axis=1)[None, :] - 2 * (x[:, i:j] @ b.T)).argmin(axis=1) for b, i, j in zip(books, cuts, cuts[1:])]
+            codes = np.stack(near, axis=1).astype(np.uint8)
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), out: [c.tobytes() for c in codes]})
+
+    rows = _keyed(corpus, doc_id, vector, "doc_id")
+    return rows.mapInPandas(run, T.StructType([rows.schema["doc_id"], T.StructField(out, T.BinaryType())]))
+
+
+def _coded(codebooks: Sequence[np.ndarray]):
+    """Scores of codes: a table of products (or distances) per query and slice, one look-up a byte."""
+
+    def kernel(queries: pd.DataFrame, metric: str) -> Scorer:
+        q = _matrix(queries["_vec"])
+        q = _units(q) if metric == "cosine" else q
+        cuts = np.cumsum([0, *(b.shape[1] for b in codebooks)])
+        tables = []
+        for b, i, j in zip(codebooks, cuts, cuts[1:]):
+            dots = q[:, i:j] @ b.T
+            tables.append(2 * dots - (b * b).sum(axis=1)[None, :] - (q[:, i:j] ** 2).sum(axis=1)[:, None] if metric == "l2" else dots)
+
+        def score(docs: pd.DataFrame) -> np.ndarray:
+            codes = np.frombuffer(b"".join(docs["_vec"]), np.uint8).reshape(len(docs), len(tables))
+            total = np.zeros((len(q), len(docs)))
+            for part, table in enumerate(tables):
+                total += table[:, codes[:, part]]
+            return total
+
+        return score
+
+    return kernel
+
+
+def coded_knn(
+    queries: DataFrame,
+    coded: DataFrame,
+    corpus: DataFrame,
+    codebooks: Sequence[np.ndarray],
+    k: int,
+    metric: str = "cosine",
+    rerank: int = 20,
+    query_id: str = "query_id",
+    doc_id: str = "doc_id",
+    query_vector: str = "embedding",
+    doc_vector: str = "embedding",
+    exclude_self: bool = False,
+    query_bytes: int = QUERY_BYTES,
+) -> DataFrame:
+    """Approximate k nearest documents: codes (see `encode`) name the `k * rerank` most promising ones of a query, whose vectors decide.
+
+    Only codes are scanned; vectors are joined to the named documents alone.
+    """
+    width = F.lit(sum(b.shape[1] for b in codebooks))
+    q = _keyed(queries, query_id, query_vector, "query_id")
+    codes = coded.select("doc_id", F.col("code").alias("_vec"))
+    named = _search(q, codes, k * rerank, metric, _coded(codebooks), exclude_self, width, query_bytes).select("query_id", "doc_id")
+    d = _keyed(corpus, doc_id, doc_vector, "doc_id")
+    met = named.join(d.withColumnRenamed("_vec", "_d"), "doc_id").join(q.withColumnRenamed("_vec", "_q"), "query_id")
+
+    def dot(a: str, b: str) -> Column:
+        products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+        return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+    if metric == "l2":
+        gaps = F.zip_with("_q", "_d", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+        score = -F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
+    else:
+        score = dot("_q", "_d")
+        if metric == "cosine":
+            score = F.coalesce(F.try_divide(score, F.sqrt(dot("_q", "_q")) * F.sqrt(dot("_d", "_d"))), F.lit(0.0))
+    found = _ranked(met.select("query_id", "doc_id", F.round(score, 9).alias("score")), k)
+    shown = F.sqrt(-F.col("score")) if metric == "l2" else F.col("score")
+    return found.select("query_id", "rank", "doc_id", shown.alias("score"))
+
+
 # --- rank features ----------------------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -94,25 +95,41 @@ def run_script_file(spark: SparkSession, path: str, params=None, database: str |
     return run_script(spark, spark.read.text(path, wholetext=True).head()[0], params, database)
 
 
-def _input_gigabytes(df: DataFrame) -> float:
-    """Size of the files the plan's scans read, after partition pruning."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return round(total / 1024**3, 3)
+def bytes_read(spark: SparkSession, run: Callable[[], None]) -> int:
+    """Bytes that the tasks of `run` read from storage, as Spark's own task metrics say: columns and row groups that are skipped do not count."""
+    context, group = spark.sparkContext, f"measured-{uuid.uuid4().hex}"
+    context.setJobGroup(group, "bytes read")
+    # Ranges that Parquet reads in threads of its own are not in the tasks' metrics.
+    vectored = "parquet.hadoop.vectored.io.enabled"
+    before = spark.conf.get(vectored, None)
+    spark.conf.set(vectored, "false")
+    try:
+        run()
+    finally:
+        spark.conf.unset(vectored) if before is None else spark.conf.set(vectored, before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    tracker, jvm = context.statusTracker(), context._jsc.sc()
+    jvm.listenerBus().waitUntilEmpty()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    store, total = jvm.statusStore(), 0
+    for stage in stages:
+        attempts = store.stageData(stage, False, getattr(store, "stageData$default$3")(), False, getattr(store, "stageData$default$5")())
+        total += sum(attempts.apply(i).inputBytes() for i in range(attempts.size()))
+    return total
 
 
 def time_statement(spark: SparkSession, statement: str) -> dict:
-    """Run one statement to the end without keeping its rows."""
+    """Run one statement to the end without keeping its rows; `gigabytes` is what its tasks read."""
     started = time.time()
     try:
         df = spark.sql(statement)
         seen = Observation()
         watched = df.observe(seen, F.count(F.lit(1)).alias("rows")) if df.columns else df
-        if df.columns:
-            watched.write.format("noop").mode("overwrite").save()
+        read = bytes_read(spark, lambda: watched.write.format("noop").mode("overwrite").save()) if df.columns else 0
         return {
             "rows": int(seen.get["rows"]) if df.columns else 0,
-            "gigabytes": _input_gigabytes(df),
+            "gigabytes": round(read / 1024**3, 9),
             "seconds": round(time.time() - started, 3),
             "ok": True,
             "error": None,

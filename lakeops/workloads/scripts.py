@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from lakeops.operators.tables import write_text
 from lakeops.plans import script
@@ -75,12 +76,25 @@ def suite_outcome(spark: SparkSession, sf: str) -> DataFrame:
     return suite_timing(spark, sf).select("file", "statement", "rows", "ok")
 
 
+def bytes_scanned(spark: SparkSession, sf: str) -> DataFrame:
+    """A statement over one column, one over all of them and one over no file: rows, and whether each reads more than the one before."""
+    params = _params(spark, sf)
+    folder = work_path(spark, "suite")
+    for name, text in (("q1", "select 1 as one"), ("q2", "select l_linenumber from lineitem_{RUN}"), ("q3", "select * from lineitem_{RUN}")):
+        write_text(spark, f"{folder}/{name}.sql", text)
+    spark.read.parquet(f"{sf}/lineitem.parquet").createOrReplaceTempView(f"lineitem_{params['RUN']}")
+    report = script.run_suite(spark, folder, params)
+    before = F.lag("gigabytes").over(Window.orderBy("file"))  # three rows
+    return report.select("file", "rows", F.when(before.isNull(), F.col("gigabytes") == 0).otherwise(F.col("gigabytes") > before).alias("reads_more"))
+
+
 QUERIES = {
     "script_layers_append": layers_append,
     "script_layers_overwrite": layers_overwrite,
     "script_create_if_absent": create_if_absent,
     "script_suite_timing": suite_timing,
     "script_suite_outcome": suite_outcome,
+    "script_bytes_scanned": bytes_scanned,
 }
 
 _MONTHS = """select * from (select l_suppkey as supplier, strftime(l_shipdate, '%Y-%m') as month, count(*) as lines, round(sum(l_quantity), 2) as quantity
@@ -94,4 +108,6 @@ ORACLE = {
       union all select 'q2.sql', 1, count(distinct o_orderpriority), true from orders
       union all select 'q2.sql', 2, count(distinct p_brand), true from lineitem, part where l_partkey = p_partkey
       union all select 'q3.sql', 1, 0, false""",
+    "script_bytes_scanned": """select 'q1.sql' as file, 1 as "rows", true as reads_more union all select 'q2.sql', count(*), true from lineitem
+      union all select 'q3.sql', count(*), true from lineitem""",
 }

@@ -40,3 +40,11 @@ def test_suite_and_catalog(spark, tmp_path):
     spark.range(1).createOrReplaceTempView("listed_view")
     assert "listed_view" in [r["name"] for r in script.list_tables(spark).collect()]
     assert script.list_databases(spark).filter("database = 'default'").count() == 1
+
+
+def test_bytes_follow_the_columns(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "hash(id) as a", "md5(cast(id as string)) as b").write.parquet(str(tmp_path / "t"))
+    spark.read.parquet(str(tmp_path / "t")).createOrReplaceTempView("wide_rows")
+    few, all_, none = (script.time_statement(spark, q)["gigabytes"] for q in ("select a from wide_rows", "select * from wide_rows", "select 1 as one"))
+    assert 0 == none < few < all_ / 2
+    assert script.time_statement(spark, "select a from wide_rows where id < 0")["gigabytes"] < few
