@@ -190,7 +190,9 @@ def near_duplicates(
     spark = prepare(vectors.sparkSession)
     rows = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     good = rows.filter(F.col("vec_id").isNotNull() & usable("vector"))
-    same = stored(good.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("n")), "distinct-vectors")
+    # A vector's number, not its smallest vec_id, names it from here on: a vec_id may come with several vectors.
+    same = good.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count_distinct("vec_id").alias("n"))
+    same = stored(same.withColumn("id", F.monotonically_increasing_id()), "distinct-vectors")
     dim, total = dimension(same, "vector"), same.count()
     alone = rows.filter(F.col("vec_id").isNull() | ~usable("vector")).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -237,9 +239,9 @@ def near_duplicates(
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     tree = components(found.filter("id != other").select(F.col("id").alias("a"), F.col("other").alias("b")))
     classes = same.join(links, "id", "left").join(tree, same.id == tree.node, "left")
-    classes = classes.select(
-        F.col("vector").alias("_vector"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
-    )
+    classes = stored(classes.select("vector", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("group")), "vector-links")
+    lowest = classes.groupBy("group").agg(F.min("least").alias("component_id"))
+    classes = classes.join(lowest, "group").select(F.col("vector").alias("_vector"), "n_links", "component_id")
     out = good.join(stored(classes, "classes"), F.col("vector") == F.col("_vector"))
     out = out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
     return out.unionByName(alone)

@@ -225,6 +225,10 @@ def nearest(
     )
     asked = rows.filter(F.expr(queries.replace(id, "vec_id"))).select(F.col("vec_id").alias("id"), "vector").distinct()
 
+    # A vec_id with several vectors fills several places with one candidate: so many more are kept. It is 1 for clean tables.
+    most = same.select(F.explode("ids").alias("vec_id")).groupBy("vec_id").count().agg(F.max("count")).head()[0]
+    places = (k + 1) * most
+
     def search(asked: DataFrame, wanted: int) -> DataFrame:
         at = stored(asked.mapInArrow(lambda b: _ask(forest_of(sent.value), wanted)(b), f"id long, vector {kind}, tree int, leaf long"), "visits")
         both = filed.withColumn("asks", F.lit(False)).unionByName(at.withColumn("asks", F.lit(True)))
@@ -238,11 +242,12 @@ def nearest(
             "id", "vector", "asks", "tree", "leaf",
             F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")).alias("c"), F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")).alias("a"),
         )
-        scored = dealt.groupBy("tree", "leaf", "c", "a").applyInPandas(_score(k + 1), "query_id long, id long, score double")
+        scored = dealt.groupBy("tree", "leaf", "c", "a").applyInPandas(_score(places), "query_id long, id long, score double")
         # A candidate may come from several trees with the same score: one of them counts. dense_rank keeps repeats together.
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-        best = scored.withColumn("place", F.dense_rank().over(order)).filter(F.col("place") <= k + 1).drop("place").distinct()
-        best = best.join(same.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id").distinct()
+        best = scored.withColumn("place", F.dense_rank().over(order)).filter(F.col("place") <= places).drop("place").distinct()
+        best = best.join(same.select("id", "ids"), "id").select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
+        best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return stored(best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
 

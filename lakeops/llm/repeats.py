@@ -224,12 +224,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     anchors = stored(texts.mapInArrow(_find(window, prefix), "name long, doc_id long, row_key long, place int"), "anchors")
     often = stored(anchors.groupBy("name").agg(F.count("*").alias("times")).filter("times > 1"), "prefixes")
     places = anchors.join(often, "name").groupBy(*key).agg(
-        F.collect_list(F.when(F.col("times") <= crowd, F.col("place"))).alias("places"),
-        F.collect_list(F.when(F.col("times") > crowd, F.col("place"))).alias("crowded"),
+        F.array_sort(F.collect_set(F.when(F.col("times") <= crowd, F.col("place")))).alias("places"),
+        F.array_sort(F.collect_set(F.when(F.col("times") > crowd, F.col("place")))).alias("crowded"),
     )
     places = stored(places, "places")
     discard(anchors, often)
-    # A row that repeats has each place twice; that does no harm. Each of the rows with one key sends its own suffixes.
+    # Rows that repeat share a key and its places, each once; each of them sends its own suffixes.
     met = _same(texts, places).select("doc_id", "row_key", "text", "places", "crowded")
     suffixes = stored(met.mapInArrow(_suffixes(window, prefix), "name long, whole boolean, doc_id long, row_key long, start int, words binary"), "suffixes")
     groups = suffixes.filter("not whole").repartition("name").sortWithinPartitions("name").select("name", "doc_id", "row_key", "start", "words")

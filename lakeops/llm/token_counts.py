@@ -6,7 +6,8 @@ one pass over a piece of text gives the exact count at each of its prefixes. Tex
 distinct piece of a task is solved once. Where a prefix ends inside a blank run, a contraction or a special string, it is cut otherwise than the
 whole text; those places are counted as the library counts the prefix alone.
 
-`deltas` holds the change of the count from prefix to prefix, a signed byte a code point. `count_at` and `longest_prefix` answer truncation and
+`deltas` holds the change of the count from prefix to prefix, a signed byte a code point; `jumps` holds what a byte cannot, as behind a very long blank run (null for
+nearly all texts). `count_at` and `longest_prefix` answer truncation and
 budget questions from it without encoding anything again.
 
 Null is the empty text: 0 tokens. Rows that repeat a doc_id, or have none, are rows of their own. Further columns of the input are not read.
@@ -15,13 +16,13 @@ Null is the empty text: 0 tokens. Rows that repeat a doc_id, or have none, are r
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lakeops.llm.text import flat, mix, powers, slices
 from lakeops.llm.work import prepare
@@ -29,18 +30,27 @@ from lakeops.llm.work import prepare
 VOCABULARY, LIMIT = "byte_bpe_50k.json", 1024
 _SLICE = 1 << 20
 _LETTER, _NUMBER, _BLANK, _OTHER = 1, 2, 3, 0
-# The code points with the White_Space property.
-_WHITE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-
-
-def classes() -> np.ndarray:
-    """Letter, number, blank or other for every code point."""
-    table = np.zeros(0x110000, np.uint8)
-    for c in range(0x110000):
-        kind = unicodedata.category(chr(c))[0]
-        if kind in "LN":
-            table[c] = _LETTER if kind == "L" else _NUMBER
-    table[_WHITE] = _BLANK
+_REMEMBERED = 1 << 24  # counts of solved pieces that a task keeps
+
+
+def classes(path: str) -> np.ndarray:
+    """Letter, number, blank or other for every code point, as the vocabulary's own pre-tokenizer sees them: it joins runs of a class and cuts elsewhere.
+
+    Its tables may know letters that Python's do not. A code point that joins an `a` is a letter, a 1 a number, a ! other; one that joins nothing is a blank.
+    Surrogates do not occur in texts.
+    """
+    cutter = Tokenizer.from_file(path).pre_tokenizer
+    table = np.full(0x110000, _OTHER, np.uint8)
+    for low in range(0, 0x110000, 4096):
+        points = [c for c in range(low, low + 4096) if not 0xD800 <= c < 0xE000]
+        run = "".join(map(chr, points))
+        if not run or len(cutter.pre_tokenize_str("!" + run)) == 1:
+            continue
+        table[points] = _BLANK
+        for mark, kind in (("a", _LETTER), ("1", _NUMBER), ("!", _OTHER)):
+            text = "".join(mark + c for c in run) + mark
+            cuts = {start for _, (start, _) in cutter.pre_tokenize_str(text)}
+            table[[c for i, c in enumerate(points) if 2 * i + 1 not in cuts and 2 * i + 2 not in cuts]] = kind
     return table
 
 
@@ -177,7 +187,9 @@ class Counter:
         self.flat = np.zeros(0, np.int32)
 
     def _solve(self, names: np.ndarray, begin: np.ndarray, end: np.ndarray, raw: bytes) -> np.ndarray:
-        """Where the prefix counts of each piece begin in `flat`; new pieces (by name) are solved."""
+        """Where the prefix counts of each piece begin in `flat`; new pieces (by name) are solved. A full memory starts anew."""
+        if len(self.flat) > _REMEMBERED:
+            self.known, self.where, self.flat = self.known[:0], self.where[:0], self.flat[:0]
         distinct, example, inverse = np.unique(names, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
         fresh = np.ones(len(distinct), bool)
@@ -236,18 +248,31 @@ class Counter:
 
     def one(self, text: str) -> np.ndarray:
         """Counts at every prefix of one text, special strings included."""
-        out, base = [np.zeros(1, np.int64)], 0
-        while True:
-            at, special = min(((text.find(s), s) for s in self.vocabulary.special if s in text), default=(-1, ""), key=lambda x: (x[0], -len(x[1])))
+        out, base, begin = [np.zeros(1, np.int64)], 0, 0
+        for at, special in self._specials(text):
             # A special string that is not complete yet is text like any other.
-            segment = (text if at < 0 else text[: at + len(special) - 1]).encode()
+            segment = text[begin : at + len(special) - 1].encode()
             counts, _ = self.plain(np.frombuffer(segment, np.uint8), np.array([0, len(segment)]))
             out.append(counts[1:] + base)
-            if at < 0:
-                return np.concatenate(out)
-            base += int(counts[at]) + 1
+            base += int(counts[at - begin]) + 1
             out.append(np.array([base]))
-            text = text[at + len(special) :]
+            begin = at + len(special)
+        segment = text[begin:].encode()
+        counts, _ = self.plain(np.frombuffer(segment, np.uint8), np.array([0, len(segment)]))
+        return np.concatenate([*out, counts[1:] + base])
+
+    def _specials(self, text: str) -> Iterator[tuple[int, str]]:
+        """Leftmost special strings without overlap, the longest of those that begin at one place."""
+        begin = 0
+        found = {s: text.find(s) for s in self.vocabulary.special}
+        while True:
+            found = {s: at if at >= begin else text.find(s, begin) for s, at in found.items() if at >= 0}
+            found = {s: at for s, at in found.items() if at >= 0}
+            if not found:
+                return
+            special = min(found, key=lambda s: (found[s], -len(s)))
+            yield found[special], special
+            begin = found[special] + len(special)
 
 
 def _names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -259,6 +284,9 @@ def _names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(value, np.cumsum(size) - size) + size.astype(np.uint64))
 
 
+_JUMPS = pa.list_(pa.struct([("at", pa.int64()), ("more", pa.int64())]))
+
+
 def _count(make):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = make()
@@ -266,41 +294,44 @@ def _count(make):
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
                 data, bounds = flat(part.column(1))
+                counts, ends = counter.plain(data, bounds)
                 if any(s in data.tobytes() for s in special):
-                    found = [counter.one(t or "") for t in part.column(1).to_pylist()]
-                    counts = np.concatenate(found)
-                    ends = np.append(0, np.cumsum([len(x) for x in found]))
-                else:
-                    counts, ends = counter.plain(data, bounds)
+                    texts = part.column(1).to_pylist()
+                    rows = [
+                        counter.one(t) if t and any(s in t for s in counter.vocabulary.special) else counts[a:b] for t, a, b in zip(texts, ends, ends[1:], strict=False)
+                    ]
+                    counts = np.concatenate(rows)
                 tokens = counts[ends[1:] - 1]
                 change = np.diff(counts, prepend=0)
                 change = np.delete(change, ends[:-1])
-                if len(change) and np.abs(change).max() > 127:
-                    raise OverflowError("a count changes by more than a signed byte holds")
                 places = ends - np.arange(len(ends))
-                deltas = change.astype(np.int8)
+                deltas = np.clip(change, -127, 127).astype(np.int8)
+                far = np.flatnonzero(change != deltas)
+                jumps = [None] * part.num_rows
+                for at, row in zip(far, np.searchsorted(places, far, "right") - 1, strict=True):
+                    jumps[row] = [*(jumps[row] or []), {"at": int(at - places[row]), "more": int(change[at]) - int(deltas[at])}]
                 binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(deltas)])
                 yield pa.record_batch(
-                    [part.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(tokens, pa.int64()), binary.cast(pa.binary())],
-                    names=["doc_id", "n_bytes", "n_tokens", "deltas"],
+                    [part.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(tokens, pa.int64()), binary.cast(pa.binary()), pa.array(jumps, _JUMPS)],
+                    names=["doc_id", "n_bytes", "n_tokens", "deltas", "jumps"],
                 )
 
     return run
 
 
 def count_prefixes(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_bytes, n_tokens, deltas (see `count_at`). `path` names a byte-level BPE file of the tokenizers library."""
+    """One row per row of `docs`: doc_id, n_bytes, n_tokens, deltas and jumps (see `count_at`). `path` names a byte-level BPE file of the tokenizers library."""
     spark = prepare(docs.sparkSession)
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
-    kinds = spark.sparkContext.broadcast(classes())
+    kinds = spark.sparkContext.broadcast(classes(path))
 
     def make() -> Counter:
         return Counter(Vocabulary(path), kinds.value)
 
-    shape = "doc_id long, n_bytes long, n_tokens long, deltas binary"
+    shape = "doc_id long, n_bytes long, n_tokens long, deltas binary, jumps array<struct<at: bigint, more: bigint>>"
     return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(lambda b: _count(make)(b), shape)
 
 
@@ -309,12 +340,19 @@ def with_limit(counted: DataFrame, limit: int = LIMIT) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-def count_at(deltas: bytes, end: int) -> int:
+def _changes(deltas: bytes, jumps: list | None) -> np.ndarray:
+    out = np.frombuffer(deltas, np.int8).astype(np.int64)
+    for jump in jumps or ():
+        out[jump["at"]] += jump["more"]
+    return out
+
+
+def count_at(deltas: bytes, end: int, jumps: list | None = None) -> int:
     """Tokens of the first `end` code points."""
-    return int(np.frombuffer(deltas, np.int8)[:end].sum())
+    return int(_changes(deltas, jumps)[:end].sum())
 
 
-def longest_prefix(deltas: bytes, budget: int) -> int:
+def longest_prefix(deltas: bytes, budget: int, jumps: list | None = None) -> int:
     """Code points of the longest prefix with at most `budget` tokens."""
-    fits = np.flatnonzero(np.cumsum(np.frombuffer(deltas, np.int8), dtype=np.int64) <= budget)
+    fits = np.flatnonzero(np.cumsum(_changes(deltas, jumps)) <= budget)
     return int(fits[-1]) + 1 if len(fits) else 0

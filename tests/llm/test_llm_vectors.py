@@ -109,3 +109,13 @@ def test_ties_at_the_cut_of_a_chunk_go_to_smaller_ids():
     ask = pd.DataFrame({"asks": [True], "id": [1000], "vector": [np.eye(201)[200]]})
     found = forest_search._score(20)(pd.concat([rows, ask], ignore_index=True))
     assert found["id"].tolist() == list(range(20)) and not found["score"].any()
+
+
+def test_one_id_with_several_vectors(spark):
+    """Each vector has links of its own; a candidate id counts once, with its best score."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.001]), (3, [0.0, 1.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (4, [-1.0, -1.0])]
+    found = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in collision_dedup.near_duplicates(table(spark, rows)).collect())
+    assert found == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True), (20, 2, 1, False), (20, 2, 1, False)]
+    near = sorted(tuple(r) for r in forest_search.nearest(table(spark, rows)).collect())
+    assert [(q, n, i) for q, n, i, _ in near] == [(20, 1, 1), (20, 2, 2), (20, 3, 3), (20, 4, 4)]
+    assert [round(s, 3) for *_, s in near] == [1.0, 1.0, 1.0, -1.0]

@@ -59,3 +59,11 @@ def test_least_of():
     values = np.random.default_rng(1).integers(0, 9, 200)
     for span in (1, 2, 3, 7, 28):
         assert op.least_of(values, span).tolist() == [i + int(np.argmin(values[i : i + span])) for i in range(200 - span + 1)]
+
+
+def test_many_equal_rows(spark):
+    """Rows that repeat cost in proportion to their number: each place of theirs counts once."""
+    text = " ".join(str(i * i % 1009) for i in range(120))
+    docs = spark.range(4000).selectExpr("cast(null as bigint) as doc_id", f"'{text}' as text")
+    rows = op.remove_repeats(docs).groupBy("n_words", "n_removed").count().collect()
+    assert [tuple(r) for r in rows] == [(120, 120, 4000)]
