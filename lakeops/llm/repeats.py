@@ -5,7 +5,7 @@ the same one, so they meet), an anchor. Prefixes have variable length: an anchor
 suffixes to one group; for a more frequent one the prefix grows to the whole passage, so its group is a single node of the tree, which is counted with
 aggregation before the shuffle. Groups are taken into memory several at a time, up to a bounded number of suffixes, and their trees are built from the top down, an edge of up to
 eight words at a time: nodes with one suffix are cut off, and what is alive at the depth of `window` words are the internal nodes that deep: their
-suffixes repeat. Words are compared by 32-bit hashes at every place of the passage and by 64-bit hashes of each edge.
+suffixes repeat. Words are compared by 64-bit hashes at every place of the passage, as is each edge.
 
 Null or empty texts and texts with fewer words than a window keep all their words. Rows that repeat a text, with or without its doc_id, are occurrences of their own. Rows without
 a doc_id take part. An empty table gives an empty result. Further columns of the input are not read.
@@ -82,7 +82,6 @@ def _suffixes(window: int, prefix: int):
             for part in slices(batch, "text"):
                 words = Words(part.column(2))
                 found = Anchors(words, window, prefix)
-                short = (found.hashes >> np.uint64(32)).astype(np.uint32)
                 marks = np.zeros(len(words) + 1, np.int8)
                 for i, column in ((1, 3), (2, 4)):
                     lists = part.column(column).fill_null([]) if part.column(column).null_count else part.column(column)
@@ -98,8 +97,8 @@ def _suffixes(window: int, prefix: int):
                 size = found.count[single] + window - 1
                 ends = np.cumsum(size)
                 index = np.repeat(found.low[single] - (ends - size), size) + np.arange(size.sum())
-                content = short[index].view(np.uint8)
-                offsets = np.append(0, ends).astype(np.int64) * 4
+                content = found.hashes[index].view(np.uint8)
+                offsets = np.append(0, ends).astype(np.int64) * 8
                 binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(single), [None, pa.py_buffer(offsets), pa.py_buffer(content)]).cast(pa.binary())
                 for name, start, rows, flag, data in (
                     (found.name[single], found.low[single], found.row[single], False, binary),
@@ -117,9 +116,8 @@ def _suffixes(window: int, prefix: int):
 def repeated_suffixes(content: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
     """Which of the passages content[s:s + window] occur twice or more among them: top-down tree construction, cut off at single suffixes."""
     node, alive = np.zeros(len(starts), np.uint64), np.arange(len(starts))
-    wide = mix(content.astype(np.uint64))
     for depth in range(0, window, 8):
-        edge = windows(wide, min(8, window - depth))
+        edge = windows(content, min(8, window - depth))
         _, child, size = np.unique(mix(node ^ edge[starts[alive] + depth]) + node, return_inverse=True, return_counts=True)
         keep = size[child] > 1
         alive, node = alive[keep], mix(child[keep].astype(np.uint64))
@@ -144,8 +142,8 @@ def _trees(window: int, limit: int):
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         words = rows.column("words").combine_chunks().cast(pa.large_binary())
-        content = np.frombuffer(b"".join(words.to_pylist()), np.uint32)
-        length = np.diff(words.offsets.to_numpy() if hasattr(words, "offsets") else np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]) // 4
+        content = np.frombuffer(b"".join(words.to_pylist()), np.uint64)
+        length = np.diff(words.offsets.to_numpy() if hasattr(words, "offsets") else np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]) // 8
         sizes = length - window + 1
         base = np.cumsum(length) - length
         starts = np.repeat(base, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -160,7 +158,7 @@ def _trees(window: int, limit: int):
         suffixes = 0
         for batch in batches:
             held.append(batch)
-            suffixes += batch.column(4).nbytes // 4 - (window - 1) * batch.num_rows
+            suffixes += batch.column(4).nbytes // 8 - (window - 1) * batch.num_rows
             if suffixes < limit:
                 continue
             # The last name may go on in the next batch: it is held back.
@@ -170,7 +168,7 @@ def _trees(window: int, limit: int):
             if cut:
                 yield solve(rows.slice(0, cut))
             held = rows.slice(cut).to_batches()
-            suffixes = sum(b.column(4).nbytes // 4 for b in held) if len(names) - cut < len(names) else 0
+            suffixes = sum(b.column(4).nbytes // 8 for b in held) if len(names) - cut < len(names) else 0
         if held:
             yield solve(pa.Table.from_batches(held))
 
