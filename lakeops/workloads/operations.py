@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.jsonx import infer_schema
 from lakeops.functions.text import hash_embedder
-from lakeops.operators import cdc, docs, lineage, metrics, sinks, tables, vectors
+from lakeops.operators import bulk_sink, cdc, docs, lineage, metrics, sinks, tables, vectors
 from lakeops.plans import script
 from lakeops.session import spread, stored, table, work_path
 from lakeops.sources import readers
@@ -164,6 +164,38 @@ def dead_letter_batches(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("error", "index", F.explode("data").alias("d")).select("error", "index", F.col("d._id").alias("id"), F.md5("d.text").alias("digest"))
 
 
+class _Choosy:
+    """A writer that takes a batch but for its French documents."""
+
+    def __call__(self):
+        def write(batch: list[dict]) -> tuple[int, int]:
+            french = {a["_id"]: "fr not accepted" for a in batch if a["_index"] == "docs-fr-v1"}
+            if french:
+                raise bulk_sink.Refused(french)
+            return len(batch), 0
+
+        return write
+
+
+def sink_report(spark: SparkSession, sf: str, size: int = 500) -> DataFrame:
+    """A load of all documents, one of the French ones, and the first again: each name counts once."""
+    path, actions = work_path(spark, "bulk"), documents.actions(spark, sf)
+    for name in ("all", "french", "all"):
+        bulk_sink.load(actions if name == "all" else actions.filter("_index = 'docs-fr-v1'"), _Choosy(), size, path, name)
+    return bulk_sink.report(spark, path).groupBy("load").agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("docs", "ok", "failed", "refused")),
+        (F.sum("batches") <= F.sum(F.ceil(F.col("docs") / size))).alias("full_batches"),
+    )
+
+
+def sink_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that a load refused one by one, with their texts."""
+    path = work_path(spark, "bulk")
+    bulk_sink.load(documents.actions(spark, sf), _Choosy(), 500, path, "all")
+    back = bulk_sink.letters(spark, path)
+    return back.select("error", "index", "id", F.md5(F.from_json("source", "text string")["text"]).alias("digest"))
+
+
 def resumed_batches(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in batches of up to a thousand, in two loads; a batch with a French document fails whole, and is answered all the same."""
     rows = documents.actions(spark, sf).withColumn("doc_id", F.col("_id").cast("bigint"))
@@ -428,6 +460,8 @@ QUERIES = {
     "sink_semistructured": semistructured,
     "docs_write_batches": write_batches,
     "docs_dead_letter_batches": dead_letter_batches,
+    "docs_sink_report": sink_report,
+    "docs_sink_letters": sink_letters,
     "docs_resume_batches": resumed_batches,
     "embed_prepared": prepared_texts,
     "recall_trained_cells": trained_recall,
@@ -472,6 +506,11 @@ ORACLE = {
     "docs_write_batches": "select count(*) as docs, count(*) as answered, true as within, true as only_last_small, 0 as half_failed from documents",
     "docs_dead_letter_batches": """select 'fr not accepted' as error, 'docs-fr-v1' as index, cast(doc_id as varchar) as id, md5(text) as digest
       from documents where lang = 'fr'""",
+    "docs_sink_report": """select load, count(*) as docs, count(*) filter (where lang is distinct from 'fr') as ok, count(*) filter (where lang = 'fr') as failed,
+      count(*) filter (where lang = 'fr') as refused, true as full_batches
+      from documents join (values ('all'), ('french')) l(load) on load = 'all' or lang = 'fr' group by 1""",
+    "docs_sink_letters": """select 'fr not accepted' as error, 'docs-fr-v1' as index, cast(doc_id as varchar) as id, md5(text) as digest
+      from documents where lang = 'fr'""",
     "docs_resume_batches": "select count(*) as answered, true as within, max(doc_id) as position, count(*) as processed from documents",
     "embed_prepared": """select doc_id, length(text) as chars, 64 as width from documents where length(trim(text)) > 0 order by doc_id limit 1000""",
     "recall_product_codes": "select count(*) as queries, true as good, true as a_third_of_the_bytes from embeddings where vec_id % 20 = 0",

@@ -8,13 +8,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators import cdc, docs, metrics, sinks
+from lakeops.operators import bulk_sink, cdc, docs, metrics, sinks
 from lakeops.operators.tables import MergeOnReadTable
 from lakeops.session import stored, table, work_path
 from lakeops.sources.readers import file_stream
 from lakeops.streaming import jobs, state
 from lakeops.workloads import change_data as cd
-from lakeops.workloads import documents
+from lakeops.workloads import documents, operations
 from lakeops.workloads import lineage as lineage_queries
 
 
@@ -59,6 +59,16 @@ def document_load(spark: SparkSession, sf: str) -> DataFrame:
     return stats.agg(F.sum("docs").alias("docs"), F.sum("ok").alias("ok"), F.sum("failed").alias("failed"))
 
 
+def document_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents loaded by the sink, a micro-batch a load; the second start finds nothing new."""
+    path, checkpoint = work_path(spark, "bulk"), work_path(spark, "marks")
+    rows = _event_stream(spark, sf, "documents").select(F.col("doc_id").alias("doc_key"), "lang", "n_chars", "text")
+    actions = docs.bulk_actions(rows, sinks.index_name("docs-{lang}-v1"))
+    for _ in range(2):
+        bulk_sink.start(actions, operations._Choosy(), 500, path, checkpoint).awaitTermination()
+    return bulk_sink.report(spark, path).agg(*(F.sum(c).alias(c) for c in ("docs", "ok", "failed")))
+
+
 def _message_files(spark: SparkSession, sf: str, folder: str, name: str = "events") -> None:
     table(spark, sf, name).write.mode("append").parquet(folder)
 
@@ -172,6 +182,7 @@ QUERIES = {
     "stream_cdc_tables": cdc_tables,
     "stream_merge_on_read": merge_on_read,
     "stream_document_load": document_load,
+    "stream_document_sink": document_sink,
     "stream_latency_windows": latency_windows,
     "stream_merged_windows": merged_windows,
     "stream_live_counts": live_counts,
@@ -183,6 +194,7 @@ ORACLE = {
     "stream_cdc_tables": cd.ORACLE["cdc_demux"],
     "stream_merge_on_read": cd.LIVE_SQL,
     "stream_document_load": documents.ORACLE["docs_write_stats"],
+    "stream_document_sink": documents.ORACLE["docs_write_stats"],
     "stream_latency_windows": """select epoch_ms(date_trunc('hour', ts)) as start_ms, count(*) as messages, round(avg(value), 6) as mean,
         min(value) as min, max(value) as max, quantile_disc(value, 0.5) as median from events group by 1""",
     "stream_merged_windows": """select epoch_ms(date_trunc('day', ts)) as day_ms, count(value) as messages, min(value) as min, max(value) as max,
