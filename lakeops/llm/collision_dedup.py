@@ -34,8 +34,8 @@ COSINE = 0.95
 PROJECTIONS, WIDTH = 24, 2.0  # WIDTH and REACH: half windows, in standard deviations of a pair at the threshold
 REACH = 4.0
 RECALL = 0.9995
-CELL, SAMPLE = 2048, 65536
-_TILE = 256
+CELL, SAMPLE = 8192, 65536
+_TILE = 128
 
 
 def directions(dim: int, n: int, seed: int) -> np.ndarray:
@@ -115,6 +115,7 @@ def linked_pairs(visits: np.ndarray, homes: np.ndarray, axes: np.ndarray, half:
     ahead, here = visits @ axes, homes @ axes
     kind = np.uint16 if len(homes) < 65535 else np.uint32
     ranks, lows, spans = [], [], []
+    early = -(-2 * axes.shape[1] // 3)
     for k in range(axes.shape[1]):
         order = np.argsort(here[:, k], kind="stable")
         rank = np.empty(len(homes), kind)
@@ -128,12 +129,17 @@ def linked_pairs(visits: np.ndarray, homes: np.ndarray, axes: np.ndarray, half:
     for start in range(0, len(visits), _TILE):
         end = min(len(visits), start + _TILE)
         count = np.zeros((end - start, len(homes)), np.uint8)
-        for rank, low, span in zip(ranks, lows, spans, strict=True):
+        for rank, low, span in zip(ranks[:early], lows, spans, strict=False):
             # Ranks below the window wrap around to large numbers.
             count += (rank[None, :] - low[start:end, None]) < span[start:end, None]
-        i, j = np.nonzero(count >= least)
-        for part in range(0, len(i), 65536):
-            a, b = i[part : part + 65536] + start, j[part : part + 65536]
+        # Only pairs that can still reach the least count are counted on the other projections.
+        hope = np.flatnonzero(count >= max(0, least - (len(ranks) - early)))
+        for part in range(0, len(hope), 65536):
+            at = hope[part : part + 65536]
+            a, b, total = at // len(homes) + start, at % len(homes), count.ravel()[at]
+            for rank, low, span in zip(ranks[early:], lows[early:], spans[early:], strict=True):
+                total += (rank[b] - low[a]) < span[a]
+            a, b = a[total >= least], b[total >= least]
             ok = pairwise_dot(visits[a], homes[b]) >= cosine
             yield a[ok], b[ok]
 
