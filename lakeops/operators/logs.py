@@ -230,14 +230,26 @@ def with_fields(df: DataFrame, **values: str) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
+# Neither the marks nor their stand-ins are letters, digits or blanks, so patterns take them alike.
+_STAND_INS = [("\x02", "\x02\x04"), ("\x01", "\x02\x03")]
+
+
+def _swap(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def extract_fields(df: DataFrame, rules: Sequence[Rule] = RULES_BY_TYPE, message: str = "message") -> DataFrame:
     """Add the fields of the pattern that fits each line's topic and type, and `matched`.
 
     The chosen pattern runs once per line: it rewrites the line into the field values in a fixed order, which are
-    then split. Without a match `msg` is the whole message. A pattern reads to the end of its line only.
+    then split. Without a match `msg` is the whole message. A pattern reads to the end of its line only. Marks between
+    the values are control characters; a message that holds such a character is matched with a stand-in for it.
     """
     mark = "\x01"
-    rewritten = None
+    rewritten, odd = None, F.contains(F.col(message), F.lit(mark))
+    line = F.when(odd, _swap(F.col(message), _STAND_INS)).otherwise(F.col(message))
     for rule in rules:
         regex, groups = expand(rule.pattern)
         layout = ""
@@ -246,9 +258,11 @@ def extract_fields(df: DataFrame, rules: Sequence[Rule] = RULES_BY_TYPE, message
             if name not in rule.either:
                 numbers = numbers[-1:]
             layout += mark + "".join(f"${n}" for n in numbers)
-        value = F.regexp_replace(message, f"^(?s:.*?){regex}(?s:.*)$", layout)
+        value = F.regexp_replace(line, f"^(?s:.*?){regex}(?s:.*)$", layout)
         rewritten = F.when(rule.applies(), value) if rewritten is None else rewritten.when(rule.applies(), value)
-    parts = df.withColumn("_parts", F.split(rewritten, mark))
+    values = F.split(rewritten, mark)
+    back = [(new, old) for old, new in reversed(_STAND_INS)]
+    parts = df.withColumn("_parts", F.when(odd, F.transform(values, lambda v: _swap(v, back))).otherwise(values))
     matched = F.coalesce((F.size("_parts") == len(FIELDS) + 1) & (F.get("_parts", F.lit(0)) == ""), F.lit(False))
     parts = parts.withColumn("matched", matched)
     fields = {

@@ -83,6 +83,14 @@ def test_one_level_line_fits_only_the_rule_by_type(spark):
     assert not logs.extract_fields(df, logs.RULES_MERGED).head()["matched"]
 
 
+def test_control_characters_stay_in_their_fields(spark):
+    heads = "2024-01-02 03:04:05.678 INFO [t1] [th] com.A - "
+    texts = ["a\x01b", "\x01\x02\x03", "\x02\x04\x01", "plain \x02\x03", "\x01"]
+    df = lines(spark, [("core", "bankcloud-check", heads + t) for t in texts] + [("core", "bankcloud-check", "no \x01 line"), ("core", "bankcloud-check", None)])
+    got = {r["msg"]: (r["matched"], r["traceId"], r["class"]) for r in logs.extract_fields(df).collect()}
+    assert got == {**{t: (True, "t1", "com.A") for t in texts}, "no \x01 line": (False, None, None), None: (False, None, None)}
+
+
 def test_time_formats_are_local_time(spark):
     df = spark.createDataFrame(
         [
