@@ -15,9 +15,11 @@ empty table gives empty files. Further columns of the input are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,156 +31,209 @@ from lakeops.llm.text import Words, slices
 from lakeops.llm.work import prepare, stored
 
 VOCABULARY, END = "word_bpe_49k.json", 2
-BLOCK, LANES = 4096, 1024
+BLOCK, LANES = 4096, 2048
 MAGIC = b"TIDS"
 _HEADER = "<4sHIIIIQ"  # magic, version, ids per block, blocks, documents, distinct ids, ids
-_CLASSES = 17  # of ranks up to 2**16
+_VERSION = 2
+_CLASSES = 14  # of ranks up to 2**16; the last one holds all above 2**13
 _SYMBOLS = _CLASSES + 2  # the ids that orders 2 and 1 name come first
-_TOP = 32767
 _SLOTS = 1 << 11
 _NAME = 17  # bits of a rank in a slot; the rest tells how sure it is
 _NOBODY = (1 << _NAME) - 1
 _SURE = 5  # 0: no id is named; 1 to 4: how often in a row it was right, plus 1
-_FAST, _SLOW = 4, 5
-_FLOOR = 2
+_WORTHS = 2 * _SURE * _SURE
+_PULL = np.array([28, 200], np.int32)  # where the weight of an order goes that was not, or was, the best
+_RATES = np.array([[5], [4], [4]], np.int16)  # how fast the orders learn
+# A distribution adds up to 8 * 4091 + 7. Mixed in sixteenths of its eighths, and with the least frequency for each symbol, that makes 2**16.
+_TOP, _FLOOR = 8 * 4091 + 7, 5
+_ROW = f"V{2 * _SYMBOLS}"  # a distribution as one element: rows are fetched and put back whole
 
-
-# The bit length of 1 to 2**16, less one.
-_BITS = np.append(0, np.repeat(np.arange(_CLASSES), 1 << np.arange(_CLASSES)))[: (1 << 16) + 1]
+_BASE = (1 << np.arange(_CLASSES)) - 1  # first rank of a class
+_LOW = np.append(np.arange(_CLASSES - 1), 16)  # low bits of a class
+_CLASS = np.minimum(np.repeat(np.arange(_CLASSES + 3), 1 << np.arange(_CLASSES + 3))[: 1 << 16], _CLASSES - 1)
+_GOALS = np.where(np.arange(_SYMBOLS) >= np.arange(_SYMBOLS)[:, None], _TOP, 0).astype(np.int16).reshape(-1).view(_ROW)
+_WEIGHTS = np.repeat(np.arange(17, dtype=np.uint16), _SYMBOLS).view(_ROW)
+_FLOORS = (_FLOOR * np.arange(1, _SYMBOLS + 1) - 1).astype(np.uint16)
 
 
 def rank_class(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, number of low bits and low bits of ranks up to 2**16: all bits of rank + 1 behind the highest are low."""
-    value = ranks.astype(np.int64) + 1
-    low = _BITS.take(value)
-    return low, low, value - (1 << low)
-
-
-_BASE = (1 << np.arange(_CLASSES)) - 1
-_LOW_BITS = np.append([0, 0], np.arange(_CLASSES))
+    """Class, number of low bits and low bits of ranks below 2**16."""
+    classes = _CLASS.take(ranks)
+    return classes, _LOW.take(classes), ranks - _BASE.take(classes)
 
 
 class _Model:
-    """The predictions of one block per lane, in ranks. Tables are flat: a lane's part starts at its number times the part's size."""
+    """The predictions of one block per lane, in ranks. Arrays of the orders are stacked, so that each step makes few calls.
+
+    A distribution is the sixteen upper ends of its symbols' intervals; `cdf` holds those of order 0, of order 1 (by the last id's class) and of
+    order 2 (by what the named ids are worth), each lane by lane.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.slots = [np.full(lanes * _SLOTS, _NOBODY, np.int32) for _ in range(2)]  # by the two last ids, by the last
-        even = (np.arange(_SYMBOLS + 1) * _TOP // _SYMBOLS).astype(np.int16)
-        self.sizes = (1, _CLASSES, _SURE * _SURE * 2)
-        # Cumulative distributions: order 0, order 1 (by the last id's class), order 2 (by what the named ids are worth).
-        self.cdf = [np.tile(even, (lanes * n, 1)) for n in self.sizes]
-        self.weight = np.tile(np.array([[86], [85], [85]], np.int32), (1, lanes))
-        self.goal = np.where(np.arange(_SYMBOLS + 1) > np.arange(_SYMBOLS)[:, None], _TOP, 0).astype(np.int16)
-        self.floor = _FLOOR * np.arange(_SYMBOLS + 1, dtype=np.int32)
-        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.class1 = np.zeros(lanes, np.int64)
+        lane = np.arange(lanes)
+        self.slots = np.full(2 * lanes * _SLOTS, _NOBODY, np.int32)  # by the two last ids, by the last
+        self.base = np.arange(2 * lanes).reshape(2, lanes) * _SLOTS
+        even = (np.arange(1, _SYMBOLS + 1) * _TOP // _SYMBOLS).astype(np.int16)
+        self.cdf = np.tile(even, lanes * (1 + _CLASSES + _WORTHS)).view(_ROW)
+        self.first_rows = np.stack([lane, lanes + lane * _CLASSES, lanes * (1 + _CLASSES) + lane * _WORTHS])
+        self.rows = self.first_rows.copy()
+        self.corner = np.arange(3 * lanes).reshape(3, lanes) * _SYMBOLS
+        self.floors = np.tile(_FLOORS, lanes)
+        self.weight = np.full((2, lanes), 85, np.int32)  # of orders 1 and 2, in 256ths
+        self.share = np.zeros((3, lanes), np.int32)  # of all three, in sixteenths
+        self.best = np.zeros((2, lanes), bool)
+        self.last, self.key = np.zeros(lanes, np.int64), np.zeros((2, lanes), np.int64)
 
     def look(self) -> None:
-        """What the orders name, and the rows of the three distributions."""
-        mixed = self.last1 * 0x9E3779B1
-        base = self.lane * _SLOTS
-        self.slot = [base + (((mixed ^ (self.last2 * 0x85EBCA77)) >> 9) & (_SLOTS - 1)), base + ((mixed >> 7) & (_SLOTS - 1))]
-        held = [slots.take(at) for slots, at in zip(self.slots, self.slot, strict=True)]
-        self.name2, self.name1 = held[0] & _NOBODY, held[1] & _NOBODY
-        self.count = [held[0] >> _NAME, held[1] >> _NAME]
-        worth = (self.count[0] * _SURE + self.count[1]) * 2 + (self.name2 == self.name1)
-        self.row = [self.lane, self.lane * self.sizes[1] + self.class1, self.lane * self.sizes[2] + worth]
-        self.now = [self.cdf[0], self.cdf[1].take(self.row[1], axis=0), self.cdf[2].take(self.row[2], axis=0)]
-
-    def bound(self, symbol: np.ndarray) -> np.ndarray:
-        """Mixed cumulative frequency below a symbol, of 2**15 in all."""
-        w, i = self.weight, self.lane * (_SYMBOLS + 1) + symbol
-        a, b, c = (x.reshape(-1).take(i).astype(np.int32) for x in self.now)
-        return (((a * w[0] + b * w[1] + c * w[2]) >> 8) * 32700 >> 15) + _FLOOR * symbol
-
-    def bounds(self) -> np.ndarray:
-        """All of them."""
-        w = self.weight[:, :, None]
-        return (((self.now[0] * w[0] + self.now[1] * w[1] + self.now[2] * w[2]) >> 8) * 32700 >> 15) + self.floor
+        """What the orders name, and the three distributions."""
+        self.slot = ((self.key >> 8) & (_SLOTS - 1)) + self.base
+        held = self.slots.take(self.slot)
+        self.name, self.sure = held & _NOBODY, held >> _NAME
+        np.add(self.first_rows[2], self.sure[0] * (2 * _SURE) + 2 * self.sure[1] + (self.name[0] == self.name[1]), out=self.rows[2])
+        self.now = self.cdf.take(self.rows).view(np.int16)
+        np.right_shift(self.weight, 4, out=self.share[1:])
+        np.subtract(16 - self.share[1], self.share[2], out=self.share[0])
+
+    def symbol(self, ranks: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """0 for the id that order 2 names, 1 for that of order 1, else the class."""
+        hit2, hit1 = self.name == ranks
+        return (classes + 2) * ~(hit2 | hit1) + (hit1 > hit2)
+
+    def interval(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of a symbol in the mixed distribution, of 2**16; notes what each order gave it."""
+        at, now = self.corner + symbol, self.now.reshape(-1)
+        upper, lower = now.take(at), now.take(at - 1) * (symbol > 0)
+        self.given = upper - lower
+        upper >>= 3
+        lower >>= 3
+        low = lower * self.share
+        first = low[0] + low[1] + low[2] + _FLOOR * symbol
+        upper -= lower
+        wide = upper * self.share
+        return first, (wide[0] + wide[1] + wide[2] + _FLOOR).astype(np.int64)
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The symbol whose interval holds a value below 2**16."""
+        part = self.now.view(np.uint16) >> 3
+        part *= _WEIGHTS.take(self.share).view(np.uint16)
+        last = part[0] + part[1]
+        last += part[2]
+        last += self.floors
+        # Ends are less by one here, so that 2**16 fits. Sixteen truth values are added up as the bytes of two words.
+        below = (last < np.repeat(value.astype(np.uint16), _SYMBOLS)).view(np.uint64).reshape(-1, 2)
+        return (((below[:, 0] + below[:, 1]) * np.uint64(0x0101010101010101)) >> np.uint64(56)).view(np.int64)
 
     def learn(self, symbol: np.ndarray, ranks: np.ndarray, classes: np.ndarray) -> None:
-        i = self.lane * (_SYMBOLS + 1) + symbol
-        share = [x.reshape(-1).take(i + 1) - x.reshape(-1).take(i) for x in self.now]
-        best1 = (share[1] >= share[0]) & (share[1] > share[2])
-        best2 = (share[2] >= share[0]) & (share[2] >= share[1])
-        w = self.weight
-        w[1] += (np.where(best1, 200, 28) - w[1]) >> 5
-        w[2] += (np.where(best2, 200, 28) - w[2]) >> 5
-        w[0] = 256 - w[1] - w[2]
-        goal = self.goal.take(symbol, axis=0)
-        for k, rate in enumerate((_SLOW, _FAST, _FAST)):
-            step = goal - self.now[k]
-            step >>= rate
-            step += self.now[k]
-            if k:
-                self.cdf[k][self.row[k]] = step
-            else:
-                self.cdf[0] = step
-        for k, name in enumerate((self.name2, self.name1)):
-            sure = np.where(name == ranks, np.minimum(self.count[k] + 1, _SURE - 1), 1)
-            self.slots[k][self.slot[k]] = ranks + (sure << _NAME)
-        self.last2, self.last1, self.class1 = self.last1, ranks.astype(np.int64), classes
+        given0, given1, given2 = self.given
+        np.logical_and(given1 >= given0, given1 > given2, out=self.best[0])
+        np.logical_and(given2 >= given0, given2 >= given1, out=self.best[1])
+        pull = _PULL.take(self.best.view(np.int8))
+        pull -= self.weight
+        pull >>= 5
+        self.weight += pull
+        step = _GOALS.take(symbol).view(np.int16) - self.now
+        step >>= _RATES
+        step += self.now
+        self.cdf.put(self.rows, step.view(_ROW))
+        sure = np.minimum(self.sure, _SURE - 2)
+        sure *= self.name == ranks
+        sure += 1
+        sure <<= _NAME
+        sure += ranks.astype(np.int32)
+        self.slots[self.slot] = sure
+        np.add(self.first_rows[1], classes, out=self.rows[1])
+        np.multiply(ranks, 0x9E3779B1, out=self.key[1])
+        np.bitwise_xor(self.key[1], self.last, out=self.key[0])
+        np.multiply(ranks, 0x85EBCA77, out=self.last)
+
+
+# What stays of `low`, and how far numbers move, in lanes that go on (0) and lanes that give a digit (1).
+_KEEP = np.array([(1 << 64) - 1, (1 << 32) - 1], np.uint64)
+_MOVE = np.array([0, 16], np.uint64)
+_SMALL = np.uint64(1 << 32)
 
 
 class _Coder:
-    """Range coders side by side. Frequencies add up to 2**30; `low` keeps 48 bits and a carry."""
+    """Range coders side by side. Frequencies add up to 2**30; `low` keeps 48 bits and a carry. Digits of 16 bits are noted as they come."""
 
-    def __init__(self, lanes: int, room: int):
+    def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, 1 << 48, np.uint64)
-        self.digits = np.zeros((lanes, room), np.int32)
-        self.at = np.zeros(lanes, np.int64)
+        self.lanes: list[np.ndarray] = []
+        self.digits: list[np.ndarray] = []
 
     def code(self, start: np.ndarray, size: np.ndarray) -> None:
         unit = self.range >> np.uint64(30)
-        self.low += unit * start.astype(np.uint64)
-        self.range = unit * size.astype(np.uint64)
-        while len(small := np.flatnonzero(self.range < np.uint64(1 << 32))):
-            self._shift(small)
-
-    def _shift(self, i: np.ndarray) -> None:
-        low = self.low[i]
-        self.digits[i, self.at[i]] = (low >> np.uint64(32)).astype(np.int32)
-        self.at[i] += 1
-        self.low[i] = (low & np.uint64(0xFFFFFFFF)) << np.uint64(16)
-        self.range[i] <<= np.uint64(16)
+        self.low += unit * start.view(np.uint64)
+        np.multiply(unit, size.view(np.uint64), out=self.range)
+        small = self.range < _SMALL
+        self._note(small.nonzero()[0])
+        small = small.view(np.int8)
+        self.low &= _KEEP.take(small)
+        move = _MOVE.take(small)
+        self.low <<= move
+        self.range <<= move
+        # Few lanes give a second digit.
+        while len(again := (self.range < _SMALL).nonzero()[0]):
+            self._note(again)
+            self.low[again] = (self.low[again] & _KEEP[1]) << _MOVE[1]
+            self.range[again] <<= _MOVE[1]
+
+    def _note(self, lanes: np.ndarray) -> None:
+        self.lanes.append(lanes.astype(np.int32))
+        self.digits.append((self.low.take(lanes) >> np.uint64(32)).astype(np.int32))
 
     def finish(self) -> list[bytes]:
-        every = np.arange(len(self.low))
+        n = len(self.low)
         for _ in range(3):
-            self._shift(every)
-        # Digits above 16 bits carry over to the digit before.
-        for place in range(self.digits.shape[1] - 1, 0, -1):
-            self.digits[:, place - 1] += self.digits[:, place] >> 16
-        raw = (self.digits & 0xFFFF).astype("<u2")
-        return [raw[i, : self.at[i]].tobytes() for i in every]
+            self._note(np.arange(n))
+            self.low = (self.low & _KEEP[1]) << _MOVE[1]
+        lane = np.concatenate(self.lanes)
+        order = np.argsort(lane.astype(np.uint16) if n <= 1 << 16 else lane, kind="stable")
+        used = np.bincount(lane, minlength=n)
+        digits = np.concatenate(self.digits)[order]
+        ends = np.cumsum(used)
+        # Digits above 16 bits carry over to the digit before, which seldom passes the carry on. A lane's first digit gets and gives none.
+        while len(over := np.flatnonzero(digits >> 16)):
+            digits[over] &= 0xFFFF
+            digits[over - 1] += 1
+        raw = digits.astype("<u2")
+        return [raw[j - k : j].tobytes() for j, k in zip(ends.tolist(), used.tolist(), strict=True)]
 
 
 class _Decoder:
     def __init__(self, payloads: list[bytes]):
-        size = max(map(len, payloads)) // 2 + 8
-        self.digits = np.zeros((len(payloads), size), np.uint64)
+        lanes, room = len(payloads), max(map(len, payloads)) // 2 + 8
+        digits = np.zeros((lanes, room), np.uint64)
         for i, payload in enumerate(payloads):
-            self.digits[i, : len(payload) // 2] = np.frombuffer(payload, "<u2")
-        self.at = np.full(len(payloads), 3, np.int64)
-        self.code = (self.digits[:, 0] << np.uint64(32)) | (self.digits[:, 1] << np.uint64(16)) | self.digits[:, 2]
-        self.range = np.full(len(payloads), 1 << 48, np.uint64)
+            digits[i, : len(payload) // 2] = np.frombuffer(payload, "<u2")
+        self.code = (digits[:, 0] << np.uint64(32)) | (digits[:, 1] << np.uint64(16)) | digits[:, 2]
+        self.digits = digits.astype(np.uint16).reshape(-1)
+        self.at = np.arange(lanes) * room + 3
+        # A block that is through reads the zeros at its end.
+        self.stop = np.arange(1, lanes + 1) * room - 1
+        self.range = np.full(lanes, 1 << 48, np.uint64)
 
     def target(self) -> np.ndarray:
         """The value below 2**30 whose interval comes next."""
         self.unit = self.range >> np.uint64(30)
-        return np.minimum(self.code // self.unit, np.uint64((1 << 30) - 1)).astype(np.int64)
+        return np.minimum(self.code // self.unit, np.uint64((1 << 30) - 1)).view(np.int64)
 
     def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.code -= self.unit * start.astype(np.uint64)
-        self.range = self.unit * size.astype(np.uint64)
-        while len(i := np.flatnonzero(self.range < np.uint64(1 << 32))):
-            # A block that is through reads zeros.
-            place = np.minimum(self.at[i], self.digits.shape[1] - 1)
-            self.code[i] = (self.code[i] << np.uint64(16)) | self.digits[i, place]
-            self.at[i] += 1
-            self.range[i] <<= np.uint64(16)
+        self.code -= self.unit * start.view(np.uint64)
+        np.multiply(self.unit, size.view(np.uint64), out=self.range)
+        small = self.range < _SMALL
+        move = _MOVE.take(small.view(np.int8))
+        self.code <<= move
+        self.code |= self.digits.take(self.at) * small
+        self.range <<= move
+        self.at += small
+        np.minimum(self.at, self.stop, out=self.at)
+        while len(again := (self.range < _SMALL).nonzero()[0]):
+            at = self.at[again]
+            self.code[again] = (self.code[again] << _MOVE[1]) | self.digits.take(at)
+            self.range[again] <<= _MOVE[1]
+            self.at[again] = np.minimum(at + 1, self.stop[again])
 
 
 def encode_blocks(ranks: np.ndarray, block: int = BLOCK) -> list[bytes]:
@@ -190,21 +245,23 @@ def encode_blocks(ranks: np.ndarray, block: int = BLOCK) -> list[bytes]:
     table = np.zeros(lanes * block, np.int32)
     table[: len(ranks)] = ranks
     table = np.ascontiguousarray(table.reshape(lanes, block)[:, :steps].T)
-    model, coder = _Model(lanes), _Coder(lanes, steps * 2 + 8)
+    model, coder = _Model(lanes), _Coder(lanes)
     for step in range(steps):
-        now = table[step]
+        now = table[step].astype(np.int64)
         classes, low, rest = rank_class(now)
         model.look()
-        hit1, hit2 = model.name1 == now, model.name2 == now
-        symbol = np.where(hit2, 0, np.where(hit1, 1, classes + 2))
-        hit = hit1 | hit2
-        first = model.bound(symbol).astype(np.int64)
-        width = ((model.bound(symbol + 1) - first) << 15) >> np.where(hit, 0, low)
-        coder.code((first << 15) + np.where(hit, 0, rest) * width, width)
+        symbol = model.symbol(now, classes)
+        fresh = symbol > 1
+        first, width = model.interval(symbol)
+        width = (width << 14) >> (low * fresh)
+        coder.code((first << 14) + rest * fresh * width, width)
         model.learn(symbol, now, classes)
     return coder.finish()
 
 
+_NO_LOW = np.append([0, 0], _LOW)
+
+
 def decode_blocks(payloads: list[bytes], steps: int) -> np.ndarray:
     """The ranks of blocks, a row each, of `steps` ranks."""
     lanes = len(payloads)
@@ -212,17 +269,20 @@ def decode_blocks(payloads: list[bytes], steps: int) -> np.ndarray:
     if not lanes:
         return out.T
     model, coder = _Model(lanes), _Decoder(payloads)
+    bases = np.append([0, 0], _BASE)
     for step in range(steps):
         model.look()
-        bounds, value = model.bounds(), coder.target()
-        symbol = (bounds[:, 1:] <= (value >> 15)[:, None]).sum(axis=1)
-        symbol = np.minimum(symbol, _SYMBOLS - 1)
-        first = bounds[model.lane, symbol].astype(np.int64)
-        width = ((bounds[model.lane, symbol + 1] - first) << 15) >> _LOW_BITS[symbol]
-        rest = (value - (first << 15)) // width
-        coder.take((first << 15) + rest * width, width)
-        now = np.where(symbol == 0, model.name2, np.where(symbol == 1, model.name1, _BASE[symbol - 2] + rest)).astype(np.int32)
-        model.learn(symbol, now, rank_class(now)[0])
+        value = coder.target()
+        symbol = model.find(value >> 14)
+        first, width = model.interval(symbol)
+        first <<= 14
+        width = (width << 14) >> _NO_LOW.take(symbol)
+        rest = ((value - first).view(np.uint64) // width.view(np.uint64)).view(np.int64)
+        coder.take(first + rest * width, width)
+        now = np.minimum(bases.take(symbol) + rest, (1 << 16) - 1)
+        named = np.flatnonzero(symbol < 2)
+        now[named] = model.name[symbol.take(named), named] & 0xFFFF
+        model.learn(symbol, now, _CLASS.take(now))
         out[step] = now
     return out.T
 
@@ -236,7 +296,7 @@ def pack_section(ids: np.ndarray, counts: np.ndarray, block: int = BLOCK) -> byt
     rank = np.zeros(len(times), np.int32)
     rank[found] = np.arange(len(found))
     payloads = encode_blocks(rank[ids], block)
-    head = struct.pack(_HEADER, MAGIC, 1, block, len(payloads), len(counts), len(found), len(ids))
+    head = struct.pack(_HEADER, MAGIC, _VERSION, block, len(payloads), len(counts), len(found), len(ids))
     sums = [zlib.crc32(ids[i * block : (i + 1) * block].astype("<u4").tobytes()) for i in range(len(payloads))]
     tables = [np.asarray(x, "<u4").tobytes() for x in (counts, found, [len(p) for p in payloads], sums)]
     body = b"".join([*tables, *payloads])
@@ -246,7 +306,7 @@ def pack_section(ids: np.ndarray, counts: np.ndarray, block: int = BLOCK) -> byt
 def unpack_section(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(ids, counts) of a section; damage raises ValueError."""
     magic, version, block, blocks, documents, different, total = struct.unpack_from(_HEADER, data)
-    if magic != MAGIC or version != 1:
+    if magic != MAGIC or version != _VERSION:
         raise ValueError("not a section of token ids")
     at = struct.calcsize(_HEADER) + 4
     if zlib.crc32(data[at:]) != struct.unpack_from("<I", data, struct.calcsize(_HEADER))[0]:
@@ -265,37 +325,59 @@ def unpack_section(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+_MARK = b" \x01 "
+
+
+def _spans(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of some spans, end to end."""
+    before = np.cumsum(sizes) - sizes
+    return data[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class Encoder:
     """Ids of texts by the tokenizers library. The vocabulary's pieces never cross white space, so each distinct word is encoded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
         self.known = np.zeros(0, np.uint64)
         self.where = np.zeros(0, np.int64)
         self.many = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, names: np.ndarray, words: list[str]) -> None:
-        # Many words go as one text; the blanks between them are no ids, and offsets tell the words apart.
-        where, many, added = [], [], []
-        for i in range(0, len(words), 64):
-            line = words[i : i + 64]
-            found = self.tokenizer.encode(" ".join(line), add_special_tokens=False)
-            size = np.array([len(w) for w in line]) + 1
-            ends = np.cumsum(size)
-            of = np.searchsorted(ends, [a for a, _ in found.offsets], "right")
-            n = np.bincount(of, minlength=len(line))
-            where += (len(self.flat) + len(added) + np.cumsum(n) - n).tolist()
-            many += n.tolist()
-            added += found.ids
+    def _learn(self, names: np.ndarray, words: Words, which: np.ndarray) -> None:
+        # Many words go as one text with a mark behind each; the mark's id tells the words apart. The blanks are no ids.
+        size = words.ends[which] - words.starts[which]
+        ends = np.cumsum(size + len(_MARK))
+        line = np.frombuffer(_MARK * len(which), np.uint8)
+        text = np.insert(line, np.repeat(np.arange(len(which)) * len(_MARK), size), _spans(words.data, words.starts[which], size)).tobytes()
+        cuts = [0, *ends[63::64].tolist()]
+        if cuts[-1] != len(text):
+            cuts.append(len(text))
+        lines = [text[i:j].decode() for i, j in pairwise(cuts)]
+        found = [x.ids for i in range(0, len(lines), 64) for x in self.tokenizer.encode_batch_fast(lines[i : i + 64], add_special_tokens=False)]
+        many, added = [], []
+        for i, ids in enumerate(found):
+            part = which[i * 64 : (i + 1) * 64]
+            flat = np.array(ids, np.int32)
+            marks = np.flatnonzero(flat == self.mark)
+            if len(marks) == len(part):
+                many.append(np.diff(marks, prepend=-1) - 1)
+                added.append(np.delete(flat, marks))
+            else:  # a word holds the mark
+                alone = [self.tokenizer.encode(words.text(k), add_special_tokens=False).ids for k in part]
+                many.append(np.array([len(x) for x in alone]))
+                added += [np.array(x, np.int32) for x in alone]
+        many = np.concatenate(many)
         known = np.concatenate([self.known, names])
         order = np.argsort(known, kind="stable")
         self.known = known[order]
-        self.where = np.concatenate([self.where, np.array(where, np.int64)])[order]
-        self.many = np.concatenate([self.many, np.array(many, np.int64)])[order]
-        self.flat = np.concatenate([self.flat, np.array(added, np.int32)])
+        self.where = np.concatenate([self.where, len(self.flat) + np.cumsum(many) - many])[order]
+        self.many = np.concatenate([self.many, many])[order]
+        self.flat = np.concatenate([self.flat, *added])
 
     def encode(self, column: pa.Array, end: int = END) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id behind it, and the number of ids of each text."""
@@ -307,7 +389,7 @@ class Encoder:
         inner = place < len(self.known)
         fresh[inner] = self.known[place[inner]] != distinct[inner]
         if fresh.any():
-            self._learn(distinct[fresh], [words.text(i) for i in example[fresh]])
+            self._learn(distinct[fresh], words, example[fresh])
             place = np.searchsorted(self.known, distinct)
         where, many = self.where[place][inverse], self.many[place][inverse]
         summed = np.append(0, np.cumsum(many))
@@ -355,7 +437,9 @@ def write_files(docs: DataFrame, path: str | None = None, end: int = END, block:
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one doc_id are spread by their texts.
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     shape = "part int, section int, first long, doc_ids array<long>, data binary"
     return stored(ordered.mapInArrow(lambda b: _write(path, end, block, lanes)(b), shape), "token-files")
 

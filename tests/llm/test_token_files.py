@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm import data
 
@@ -40,6 +41,34 @@ def test_blocks_are_independent():
     assert together[1] == alone[0]
 
 
+def test_words_with_the_mark():
+    texts = ["a \x01 b", "x\x01y !\x01", "\x01", "\x01\x01 \x01!", "plain words only", "", "\u00a0\x01 é", "w " * 200 + "\x01"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    encoder = op.Encoder(public_tokenizers.path(op.VOCABULARY))
+    for _ in range(2):  # fresh words, then known ones
+        ids, counts = encoder.encode(pa.array(texts))
+        assert ids.tolist() == sum(wanted, []) and counts.tolist() == [len(w) for w in wanted]
+
+
+def test_carries_and_rare_ranks():
+    rng = np.random.default_rng(5)
+    for ranks in (np.full(700, 65535), rng.integers(0, 1 << 16, 5000), np.where(rng.random(5000) < 0.999, 0, 65535)):
+        payloads = op.encode_blocks(ranks, 300)
+        back = op.decode_blocks(payloads, 300).reshape(-1)[: len(ranks)]
+        assert (back == ranks).all()
+
+
+def test_rows_of_one_id(spark):
+    """Rows that share a doc_id are spread over the files by their texts."""
+    docs = spark.range(0, 4000, numPartitions=4).selectExpr("7L as doc_id", "concat('word ', id) as text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one part
+    files = op.write_files(docs, block=64, lanes=2)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert files.select("part").distinct().count() > 1
+    assert op.read_files(files).selectExpr("count(distinct start) n").first()["n"] == 4000
+
+
 def test_documents(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
     odd = spark.createDataFrame([(901, "It's #2 <|endoftext|>x Ünïcode é   a\u001cb", "en", "a", 5, 1, True, 1, None)], data.SHAPE)
