@@ -191,9 +191,16 @@ def start_load(
     return start(actions, handle, checkpoint, interval)
 
 
-def start_display(stream: DataFrame, checkpoint: str, rows: int = 20, interval: str | None = None) -> StreamingQuery:
-    """Log the first rows of each micro-batch."""
-    return start(stream, lambda batch, batch_id: sinks.log_sample(batch, rows, f"batch {batch_id}"), checkpoint, interval)
+def start_display(
+    stream: DataFrame, checkpoint: str, rows: int = 20, interval: str | None = None, views: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> StreamingQuery:
+    """Log the first rows of each micro-batch, or of each named view of it; a view that is ordered shows its least rows."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        for name, view in (views or {"": lambda rows: rows}).items():
+            sinks.log_sample(view(batch), rows, f"batch {batch_id} {name}".strip())
+
+    return start(stream, show, checkpoint, interval)
 
 
 def keep_running(begin: Callable[[], StreamingQuery], failures: int = 2, pause_s: float = 0.0) -> int:

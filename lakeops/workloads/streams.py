@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -178,7 +179,50 @@ def retried(spark: SparkSession, sf: str) -> DataFrame:
     return counts.groupBy("event_type").agg(F.sum("count").alias("events")).withColumns({"starts": F.lit(starts), "tries": F.lit(stopped_after)})
 
 
+class _Shown(logging.Handler):
+    """Keeps (label, rows) of what the display job logs."""
+
+    def __init__(self):
+        super().__init__(logging.INFO)
+        self.batches: list[tuple[str, list[dict]]] = []
+
+    def emit(self, record: logging.LogRecord) -> None:
+        if isinstance(record.args, tuple) and len(record.args) == 2:
+            self.batches.append(record.args)
+
+
+def display(spark: SparkSession, sf: str) -> DataFrame:
+    """What the display job logs of a change stream in two batches: twenty message texts each, and the twenty parsed events with the least ids."""
+    root, folder = work_path(spark, "stream-display"), work_path(spark, "stream-files")
+    schema = table(spark, sf, "events").schema
+
+    def parsed(batch: DataFrame) -> DataFrame:
+        row = F.from_json(F.coalesce("after", "before"), cd._PAYLOAD).alias("row")
+        return cdc.parse_envelope(batch).select(row).select("row.*").orderBy("event_id")
+
+    shown, level = _Shown(), sinks.log.level
+    sinks.log.addHandler(shown)
+    sinks.log.setLevel(logging.INFO)
+    try:
+        for half in range(2):
+            table(spark, sf, "events").filter(F.col("event_id") % 2 == half).write.mode("append").parquet(folder)
+            raw = cd.change_events(file_stream(spark, folder, "parquet", schema))
+            jobs.start_display(raw, jobs.checkpoint_path(root, "display"), views={"texts": lambda batch: batch, "events": parsed}).awaitTermination()
+    finally:
+        sinks.log.removeHandler(shown)
+        sinks.log.setLevel(level)
+    batches = {label: rows for label, rows in shown.batches if label.startswith("batch ")}
+    out = [
+        (int(label.split()[1]), place, row["event_id"], row["user_id"], row["event_type"], len(batches[label.replace("events", "texts")]))
+        for label, rows in batches.items()
+        if label.endswith(" events")
+        for place, row in enumerate(rows, 1)
+    ]
+    return spark.createDataFrame(out, "batch bigint, place bigint, event_id bigint, user_id bigint, event_type string, texts bigint")
+
+
 QUERIES = {
+    "stream_display": display,
     "stream_cdc_tables": cdc_tables,
     "stream_merge_on_read": merge_on_read,
     "stream_document_load": document_load,
@@ -191,6 +235,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_display": """select event_id % 2 as batch, place, event_id, user_id, event_type, least(n, 20) as texts from (
+        select *, row_number() over (partition by event_id % 2 order by event_id) as place, count(*) over (partition by event_id % 2) as n from events)
+        where place <= 20""",
     "stream_cdc_tables": cd.ORACLE["cdc_demux"],
     "stream_merge_on_read": cd.LIVE_SQL,
     "stream_document_load": documents.ORACLE["docs_write_stats"],
