@@ -32,6 +32,7 @@ from lakeops.llm.work import prepare, stored
 
 VOCABULARY, END = "word_bpe_49k.json", 2
 BLOCK, LANES = 4096, 2048
+KNOWN = 1 << 21  # words whose ids a task keeps
 MAGIC = b"TIDS"
 _HEADER = "<4sHIIIIQ"  # magic, version, ids per block, blocks, documents, distinct ids, ids
 _VERSION = 2
@@ -343,6 +344,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark,) = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        self._forget()
+
+    def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
         self.where = np.zeros(0, np.int64)
         self.many = np.zeros(0, np.int64)
@@ -381,6 +385,8 @@ class Encoder:
 
     def encode(self, column: pa.Array, end: int = END) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id behind it, and the number of ids of each text."""
+        if len(self.known) > KNOWN:
+            self._forget()
         words = Words(column)
         names = words.hashes()
         distinct, example, inverse = np.unique(names, return_index=True, return_inverse=True)

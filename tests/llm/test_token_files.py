@@ -51,6 +51,16 @@ def test_words_with_the_mark():
         assert ids.tolist() == sum(wanted, []) and counts.tolist() == [len(w) for w in wanted]
 
 
+def test_a_task_keeps_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(op, "KNOWN", 10)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
+    encoder = op.Encoder(public_tokenizers.path(op.VOCABULARY))
+    for i in range(6):
+        text = " ".join(f"word{j} thing" for j in range(i, i + 8))
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2] and len(encoder.known) <= 10 + 9
+
+
 def test_carries_and_rare_ranks():
     rng = np.random.default_rng(5)
     for ranks in (np.full(700, 65535), rng.integers(0, 1 << 16, 5000), np.where(rng.random(5000) < 0.999, 0, 65535)):
