@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import bulk_sink, cdc, docs, metrics, sinks
-from lakeops.operators.tables import MergeOnReadTable
+from lakeops.operators.tables import MergeOnReadTable, is_folder
 from lakeops.session import stored, table, work_path
 from lakeops.sources.readers import file_stream
 from lakeops.streaming import jobs, state
@@ -21,6 +21,9 @@ from lakeops.workloads import lineage as lineage_queries
 
 def _event_stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
     schema = table(spark, sf, name).schema
+    path = f"{sf}/{name}.parquet"
+    if is_folder(spark, path):
+        return file_stream(spark, path, "parquet", schema)
     return file_stream(spark, sf, "parquet", schema, pathGlobFilter=f"{name}.parquet")
 
 
