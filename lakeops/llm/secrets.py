@@ -160,7 +160,7 @@ def pem_blocks(text: str) -> Iterator[tuple[int, int, str]]:
 def _binary_kind(data: bytes) -> str | None:
     """Kind of a decoded key, or of the first key of a decoded PEM file."""
     kind = _key_kind(data)
-    if kind is None and b"-----BEGIN" in data[:4096]:
+    if kind is None and b"-----BEGIN" in data:
         kind = next((k for _, _, k in pem_blocks(data.decode("latin-1"))), None)
     return kind
 
