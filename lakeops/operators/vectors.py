@@ -22,12 +22,16 @@ from lakeops.session import parallelism, stored
 
 QUERY_BYTES = 64 * 1024 * 1024
 ROWS_PER_CHUNK = 200_000
-CHUNK_BYTES = 64 * 1024 * 1024
-_CELLS_AT_ONCE = 4_000_000
+ROWS_PER_CELL = 32_768
+CHUNK_BYTES = 128 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
+# A task keeps the k best of the queries of a block, this many in all.
+KEPT_AT_ONCE = 1_000_000
+_CELLS_AT_ONCE = 1_000_000
+_DOCS_AT_ONCE = 1_000
+_PAIRS_AT_ONCE = 100_000
 _MARGIN = 1e-6
 
-Scorer = Callable[[pd.DataFrame], np.ndarray]
-
 
 # --- embedding --------------------------------------------------------------------------------------------
 
@@ -113,19 +117,40 @@ def _units(rows: np.ndarray) -> np.ndarray:
     return rows / norms
 
 
-def _dense(queries: pd.DataFrame, metric: str) -> Scorer:
-    q = _matrix(queries["_vec"])
-    if metric == "cosine":
-        q = _units(q)
+class _Dense:
+    """Scores of vectors. `rough` may be off by `slack`: unit vectors are first multiplied in single precision."""
 
-    def score(docs: pd.DataFrame) -> np.ndarray:
-        x = _matrix(docs["_vec"])
-        if metric == "l2":
-            squared = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2 * (q @ x.T)
-            return -np.maximum(squared, 0)
-        return q @ (_units(x) if metric == "cosine" else x).T
+    def __init__(self, queries: pd.DataFrame, metric: str):
+        self.metric, self.q = metric, _matrix(queries["_vec"])
+        if metric == "cosine":
+            self.q = _units(self.q)
+        self.single = metric == "cosine"
+        # The error of an inner product of unit vectors in single precision, rounding of its factors included, is below (n + 2) * 2^-24.
+        self.slack = (self.q.shape[1] + 8) * 2.0**-22 if self.single else 0.0
+        self.fast = self.q.astype(np.float32) if self.single else self.q
 
-    return score
+    def prepare(self, docs: pd.DataFrame):
+        x = _matrix(docs["_vec"])
+        x = _units(x) if self.metric == "cosine" else x
+        return x, (x.astype(np.float32) if self.single else x)
+
+    def rough(self, x, start: int, stop: int) -> np.ndarray:
+        whole, fast = x
+        products = self.fast[start:stop] @ fast.T
+        if self.metric != "l2":
+            return products
+        q = self.q[start:stop]
+        squared = (q * q).sum(axis=1)[:, None] + (whole * whole).sum(axis=1)[None, :] - 2 * products
+        return -np.maximum(squared, 0)
+
+    def exact(self, x, owner: np.ndarray, column: np.ndarray, rough: np.ndarray) -> np.ndarray:
+        if not self.single:
+            return rough
+        out = np.empty(len(owner))
+        for start in range(0, len(owner), _PAIRS_AT_ONCE):
+            part = slice(start, start + _PAIRS_AT_ONCE)
+            out[part] = np.einsum("ij,ij->i", self.q[owner[part]], x[0][column[part]])
+        return out
 
 
 def _best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
@@ -138,29 +163,57 @@ def _best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
 
 
 def _scan(queries: pd.DataFrame, batches: Iterator[pd.DataFrame], k: int, metric: str, kernel, exclude_self: bool):
-    """Best k documents per query over all batches of one task."""
+    """Best k documents per query over all batches of one task.
+
+    Each query keeps the score that a document must reach, its k-th best so far. So of all pairs only the few above it are looked at again, and what is held
+    between merges is in proportion to the k best of all queries.
+    """
     scorer = kernel(queries, metric)
-    step = max(1, _CELLS_AT_ONCE // max(1, len(queries)))
-    qids = queries["query_id"].to_numpy()
-    best = None
+    n, qids = len(queries), queries["query_id"].to_numpy()
+    if not n:
+        batches = iter(())
+    edge = np.full(n, -np.inf)
+    best, held, limit = None, [], max(n * k, 100_000)
+
+    def merge() -> None:
+        nonlocal best
+        parts = [*([best] if best is not None else []), *held]
+        best = _best(*(np.concatenate(columns) for columns in zip(*parts)), k)
+        held.clear()
+        last = np.flatnonzero(np.append(best[0][1:] != best[0][:-1], True)) if len(best[0]) else np.zeros(0, int)
+        full = last[np.diff(np.append(-1, last)) == k]
+        edge[best[0][full]] = best[2][full]
+
     for batch in batches:
-        for start in range(0, len(batch), step):
-            docs = batch.iloc[start : start + step]
-            scores = np.round(scorer(docs), 9) + 0.0
-            ids = docs["doc_id"].to_numpy()
-            if exclude_self:
-                scores[qids[:, None] == ids[None, :]] = -np.inf
-            if "_filter" in queries:
-                scores[queries["_filter"].to_numpy()[:, None] != docs["_filter"].to_numpy()[None, :]] = -np.inf
-            if scores.shape[1] > k:
-                edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-                owner, column = np.nonzero((scores >= edge[:, None]) & np.isfinite(scores))
-            else:
-                owner, column = np.nonzero(np.isfinite(scores))
-            found = (owner, ids[column], scores[owner, column])
-            if best is not None:
-                found = tuple(np.concatenate(pair) for pair in zip(best, found))
-            best = _best(*found, k)
+        for start in range(0, len(batch), _DOCS_AT_ONCE):
+            docs = batch.iloc[start : start + _DOCS_AT_ONCE]
+            ids, x = docs["doc_id"].to_numpy(), scorer.prepare(docs)
+            step = max(1, _CELLS_AT_ONCE // len(docs))
+            for low in range(0, n, step):
+                high = min(low + step, n)
+                rough = scorer.rough(x, low, high)
+                floor = edge[low:high]
+                fresh = np.flatnonzero(np.isneginf(floor))
+                if len(fresh):
+                    rows = np.where(np.isfinite(rough[fresh]), rough[fresh], -np.inf)
+                    if exclude_self:
+                        rows[qids[low + fresh][:, None] == ids[None, :]] = -np.inf
+                    floor = floor.copy()
+                    if len(docs) > k:
+                        floor[fresh] = np.partition(rows, len(docs) - k, axis=1)[:, len(docs) - k] - scorer.slack
+                # Half a unit of the ninth decimal, to which scores are rounded.
+                least = (floor - scorer.slack - 1e-9).astype(rough.dtype)
+                at = np.flatnonzero((rough >= least[:, None]).ravel())
+                owner, column = np.divmod(at, len(docs))
+                scores = np.round(scorer.exact(x, owner + low, column, rough.ravel()[at]), 9) + 0.0
+                keep = np.isfinite(scores)
+                if exclude_self:
+                    keep &= qids[owner + low] != ids[column]
+                held.append((owner[keep] + low, ids[column[keep]], scores[keep]))
+            if sum(len(h[0]) for h in held) >= limit:
+                merge()
+    if held:
+        merge()
     if best is None:
         return pd.DataFrame({"query_id": qids[:0], "doc_id": [], "score": np.array([], float)})
     owner, ids, scores = best
@@ -196,13 +249,13 @@ def _blocks(queries: DataFrame, corpus: DataFrame, on: list[str], k: int, metric
 
 
 def _search(
-    queries: DataFrame, corpus: DataFrame, k: int, metric: str, kernel, exclude_self: bool, width: Column, query_bytes: int
+    queries: DataFrame, corpus: DataFrame, k: int, metric: str, kernel, exclude_self: bool, width: Column, query_bytes: int, doc_width: Column | None = None
 ) -> DataFrame:
     queries = queries.persist()
     try:
         size = queries.agg(F.count("*").alias("n"), F.sum(width).alias("cells")).head()
-        volume = (size["cells"] or 0) * 16
-        known = queries.toPandas() if volume <= query_bytes else None
+        volume, kept = (size["cells"] or 0) * 16, size["n"] * k
+        known = queries.toPandas() if volume <= query_bytes and kept <= KEPT_AT_ONCE // 10 else None
     finally:
         queries.unpersist()
     if known is not None:
@@ -213,10 +266,12 @@ def _search(
 
         return _ranked(corpus.mapInPandas(scan, _result_schema(queries, corpus)), k)
     # Too many queries to ship whole: blocks of queries meet chunks of the corpus.
-    blocks = math.ceil(volume / query_bytes)
-    # Chunks hold bounded bytes, however long the vectors are.
-    cells = corpus.agg(F.sum(width)).head()[0] or 0
-    chunks = max(parallelism(corpus.sparkSession), math.ceil(cells * 16 / CHUNK_BYTES))
+    # Chunks hold bounded bytes, however long the vectors are, and blocks bounded results, too.
+    cells = corpus.agg(F.sum(width if doc_width is None else doc_width)).head()[0] or 0
+    chunks = max(1, math.ceil(cells * 16 / CHUNK_BYTES))
+    blocks = max(math.ceil(volume / min(query_bytes, BLOCK_BYTES)), math.ceil(kept / KEPT_AT_ONCE), 1)
+    # Some groups for each task: more blocks do not make more results, more chunks would.
+    blocks = max(blocks, min(math.ceil(4 * parallelism(corpus.sparkSession) / chunks), math.ceil(size["n"] / 100)))
     left = queries.withColumns(
         {"_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)), "_chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))}
     ).withColumn("_chunk", F.col("_chunk").cast("bigint"))
@@ -243,7 +298,7 @@ def _search_groups(queries: DataFrame, corpus: DataFrame, k: int, metric: str, e
     )
     keys = ["_filter", "_qs", "_ds"]
     q, d = q.select("query_id", "_vec", *keys), d.select("doc_id", "_vec", *keys)
-    return _ranked(_blocks(q, d, keys, k, metric, _dense, exclude_self), k)
+    return _ranked(_blocks(q, d, keys, k, metric, _Dense, exclude_self), k)
 
 
 def _keyed(df: DataFrame, key: str, vector: str, name: str, filters: Sequence[str] = ()) -> DataFrame:
@@ -276,7 +331,7 @@ def knn(
     if filters:
         found = _search_groups(q, d, k, metric, exclude_self, query_bytes)
     else:
-        found = _search(q, d, k, metric, _dense, exclude_self, F.size("_vec"), query_bytes)
+        found = _search(q, d, k, metric, _Dense, exclude_self, F.size("_vec"), query_bytes)
     score = F.sqrt(-F.col("score")) if metric == "l2" else F.col("score")
     return found.select("query_id", "rank", "doc_id", score.alias("score"))
 
@@ -445,7 +500,7 @@ def cell_knn(
     query_vector: str = "embedding",
     doc_vector: str = "embedding",
     exclude_self: bool = False,
-    rows_per_task: int = ROWS_PER_CHUNK,
+    rows_per_task: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Approximate k nearest documents: each query looks only into its `probes` nearest cells.
 
@@ -474,7 +529,7 @@ def cell_knn(
     d = d.join(spark.createDataFrame(pieces, "cell bigint, _dn bigint, _qn bigint"), "cell").withColumns(
         {"_ds": F.expr("pmod(xxhash64(doc_id), _dn)"), "_qs": F.expr("explode(sequence(0L, _qn - 1))")}
     )
-    partial = _blocks(q, d, ["cell", "_qs", "_ds"], k, metric, _dense, exclude_self)
+    partial = _blocks(q, d, ["cell", "_qs", "_ds"], k, metric, _Dense, exclude_self)
     score = F.sqrt(-F.col("score")) if metric == "l2" else F.col("score")
     return _ranked(partial, k).select("query_id", "rank", "doc_id", score.alias("score"))
 
@@ -536,25 +591,32 @@ def encode(corpus: DataFrame, codebooks: Sequence[np.ndarray], vector: str = "em
 def _coded(codebooks: Sequence[np.ndarray]):
     """Scores of codes: a table of products (or distances) per query and slice, one look-up a byte."""
 
-    def kernel(queries: pd.DataFrame, metric: str) -> Scorer:
-        q = _matrix(queries["_vec"])
-        q = _units(q) if metric == "cosine" else q
-        cuts = np.cumsum([0, *(b.shape[1] for b in codebooks)])
-        tables = []
-        for b, i, j in zip(codebooks, cuts, cuts[1:]):
-            dots = q[:, i:j] @ b.T
-            tables.append(2 * dots - (b * b).sum(axis=1)[None, :] - (q[:, i:j] ** 2).sum(axis=1)[:, None] if metric == "l2" else dots)
+    class _Coded:
+        slack = 0.0
+
+        def __init__(self, queries: pd.DataFrame, metric: str):
+            q = _matrix(queries["_vec"])
+            q = _units(q) if metric == "cosine" else q
+            cuts = np.cumsum([0, *(b.shape[1] for b in codebooks)])
+            self.tables = []
+            for b, i, j in zip(codebooks, cuts, cuts[1:]):
+                dots = q[:, i:j] @ b.T
+                table = 2 * dots - (b * b).sum(axis=1)[None, :] - (q[:, i:j] ** 2).sum(axis=1)[:, None] if metric == "l2" else dots
+                self.tables.append(np.ascontiguousarray(table.T))
+
+        def prepare(self, docs: pd.DataFrame) -> np.ndarray:
+            return np.frombuffer(b"".join(docs["_vec"]), np.uint8).reshape(len(docs), len(self.tables))
 
-        def score(docs: pd.DataFrame) -> np.ndarray:
-            codes = np.frombuffer(b"".join(docs["_vec"]), np.uint8).reshape(len(docs), len(tables))
-            total = np.zeros((len(q), len(docs)))
-            for part, table in enumerate(tables):
-                total += table[:, codes[:, part]]
-            return total
+        def rough(self, codes: np.ndarray, start: int, stop: int) -> np.ndarray:
+            total = np.zeros((len(codes), stop - start))
+            for part, table in enumerate(self.tables):
+                total += np.take(table[:, start:stop], codes[:, part], axis=0)
+            return np.ascontiguousarray(total.T)
 
-        return score
+        def exact(self, codes, owner, column, rough: np.ndarray) -> np.ndarray:
+            return rough
 
-    return kernel
+    return _Coded
 
 
 def coded_knn(
@@ -579,7 +641,7 @@ def coded_knn(
     width = F.lit(sum(b.shape[1] for b in codebooks))
     q = _keyed(queries, query_id, query_vector, "query_id")
     codes = coded.select("doc_id", F.col("code").alias("_vec"))
-    named = _search(q, codes, k * rerank, metric, _coded(codebooks), exclude_self, width, query_bytes).select("query_id", "doc_id")
+    named = _search(q, codes, k * rerank, metric, _coded(codebooks), exclude_self, width, query_bytes, F.length("_vec")).select("query_id", "doc_id")
     d = _keyed(corpus, doc_id, doc_vector, "doc_id")
     met = named.join(d.withColumnRenamed("_vec", "_d"), "doc_id").join(q.withColumnRenamed("_vec", "_q"), "query_id")
 
