@@ -161,7 +161,9 @@ def settle(lines: list[tuple], until: int, stitch_ms: int) -> tuple[list[tuple],
         if body is None or at + stitch_ms >= until:
             continue
         more, last = [], None
-        for when, other, _, line, head in lines[i + 1 :]:
+        # By place: a slice would copy all later lines for each head.
+        for place in range(i + 1, len(lines)):
+            when, other, _, line, head = lines[place]
             if head is not None or when > at + stitch_ms:
                 break
             if other != event_id:
