@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +134,25 @@ STATS = (
     "partition int, batch int, docs int, ok int, failed int, seconds double, error string, dead_letter string"
 )
 
+_STATS = pa.schema(
+    [(n, pa.int32()) for n in ("partition", "batch", "docs", "ok", "failed")] + [("seconds", pa.float64()), ("error", pa.string()), ("dead_letter", pa.string())]
+)
+# What a task holds beside its open batch: rows of a page as objects, and characters of dead letters.
+_ROWS_AT_ONCE, _LETTERS_AT_ONCE = 100, 4_000_000
+
+
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Documents go to the tasks' Python a thousand at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
 def bulk_write(
     actions: DataFrame, writer: Callable[[], Writer], batch_size: int, report_path: str, dead_letter_path: str | None = None
@@ -145,10 +165,11 @@ def bulk_write(
     which stable ids make harmless.
     """
 
-    def send(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(pages: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         write, task = writer(), TaskContext.get().partitionId()
         pending: list[dict] = []
-        number = 0
+        done: list[dict] = []
+        number = held = 0
 
         def flush() -> dict:
             started, error, letter = time.time(), None, None
@@ -170,19 +191,24 @@ def bulk_write(
             }
 
         for page in pages:
-            done = []
-            for action in page[["_index", "_id", "_source"]].to_dict("records"):
-                pending.append(action)
-                if len(pending) >= batch_size:
-                    done.append(flush())
-                    pending, number = [], number + 1
-            if done:
-                yield pd.DataFrame(done)
+            for start in range(0, page.num_rows, _ROWS_AT_ONCE):
+                for action in page.slice(start, _ROWS_AT_ONCE).to_pylist():
+                    pending.append(action)
+                    if len(pending) >= batch_size:
+                        done.append(flush())
+                        held += len(done[-1]["dead_letter"] or "")
+                        pending, number = [], number + 1
+                        if len(done) >= 1000 or held >= _LETTERS_AT_ONCE:
+                            yield pa.RecordBatch.from_pylist(done, _STATS)
+                            done, held = [], 0
         if pending:
-            yield pd.DataFrame([flush()])
+            done.append(flush())
+        if done:
+            yield pa.RecordBatch.from_pylist(done, _STATS)
 
     spark = actions.sparkSession
-    actions.mapInPandas(send, STATS).write.mode("append").parquet(report_path)
+    with _small_batches(spark):
+        actions.select("_index", "_id", "_source").mapInArrow(send, STATS).write.mode("append").parquet(report_path)
     report = spark.read.schema(STATS).parquet(report_path)
     if dead_letter_path:
         letters = report.filter(F.col("dead_letter").isNotNull())
