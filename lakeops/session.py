@@ -52,6 +52,12 @@ def spread(df: DataFrame, bytes_per_task: int = 32 * 1024 * 1024) -> DataFrame:
     return df.repartition(tasks) if size < tasks * bytes_per_task else df
 
 
+def part_count(df: DataFrame, least: int, bytes_per_piece: int = 32 * 1024 * 1024) -> int:
+    """How many parts of bounded bytes a table makes, by the size Spark knows of it; `least` for small ones."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, -(-size // bytes_per_piece))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 

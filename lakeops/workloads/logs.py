@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import logs, sinks
-from lakeops.session import spread, table, work_path
+from lakeops.session import part_count, spread, table, work_path
 from lakeops.sources import readers
 
 # One line layout per log type. {d} date, {s} slash date, {t} time, {ms} milliseconds.
@@ -119,7 +119,7 @@ def multiline_files(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "logs")
     lines = _document_lines(spark, sf).withColumn("doc", F.floor(F.col("line_no") / 1_000_000))
     # Files are cut between documents, as a rotated log is cut between records.
-    ordered = lines.repartitionByRange(4, "path", "doc").sortWithinPartitions("path", "line_no")
+    ordered = lines.repartitionByRange(part_count(table(spark, sf, "documents"), 4), "path", "doc").sortWithinPartitions("path", "line_no")
     ordered.select("path", F.col("line").alias("value")).write.partitionBy("path").text(path)
     back = readers.log_lines(spark, path)
     records = logs.join_multiline(back)
