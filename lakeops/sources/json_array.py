@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lakeops.functions.jsonx import infer_schema
 from lakeops.operators.cdc import expand_json
-from lakeops.session import stored
+from lakeops.session import parallelism, part_count, stored
 
 _QUOTE, _BACK, _COMMA, _CLOSE = b'"'[0], b"\\"[0], b","[0], b"}"[0]
 _DEPTH = np.zeros(256, np.int8)
@@ -154,6 +154,8 @@ def json_array_elements(spark: SparkSession, path: str, block_bytes: int | None
         lines = spark.read.text(path, lineSep="}").select(
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value")
         )
+        # A task takes many small blocks, one after the other.
+        lines = lines.coalesce(part_count(spark.read.text(path), 4 * parallelism(spark)))
         level = "array<struct<depth: bigint, n: bigint>>"
         shape = f"path string, block long, quotes int, depth0 long, depth1 long, commas0 {level}, commas1 {level}, first string"
         sums = stored(lines.mapInArrow(_summaries, shape), "json-blocks")

@@ -16,7 +16,7 @@ from lakeops.functions.jsonx import infer_schema
 from lakeops.functions.text import hash_embedder
 from lakeops.operators import bulk_sink, cdc, docs, lineage, metrics, sinks, tables, vectors
 from lakeops.plans import script
-from lakeops.session import spread, stored, table, work_path
+from lakeops.session import part_count, spread, stored, table, work_path
 from lakeops.sources import readers
 from lakeops.sources.json_array import json_array
 from lakeops.streaming import jobs
@@ -61,9 +61,11 @@ def _array_files(rows: DataFrame, path: str, files: int) -> None:
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = "[ "
         for batch in batches:
+            out = []
             for text in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([mark + text])], names=["value"])
+                out.append(mark + text)
                 mark = " , "
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["]" if mark != "[ " else "[]"])], names=["value"])
 
     rows.repartition(files, *rows.columns).mapInArrow(lines, "value string").write.text(path)
@@ -74,7 +76,7 @@ def json_array_blocks(spark: SparkSession, sf: str, block_bytes: int = 64 * 1024
     path = work_path(spark, "arrays")
     note = F.concat(F.lit('],[{"}\\'), F.col("source"), F.lit('"\\\\,{ '))
     inner = F.array(F.struct(F.col("n_chars").alias("n"), note.alias("note")))
-    _array_files(table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text", inner.alias("parts"), note.alias("note"))).alias("value")), path, 3)
+    _array_files(table(spark, sf, "documents").select(F.to_json(F.struct("doc_id", "text", inner.alias("parts"), note.alias("note"))).alias("value")), path, part_count(table(spark, sf, "documents"), 3))
     rows = json_array(spark, path, block_bytes=block_bytes)
     return rows.select("doc_id", F.md5("text").alias("digest"), "note", F.get("parts", F.lit(0))["n"].alias("n"), F.get("parts", F.lit(0))["note"].alias("inner_note"))
 
@@ -145,7 +147,10 @@ def semistructured(spark: SparkSession, sf: str) -> DataFrame:
 
 def write_batches(spark: SparkSession, sf: str, size: int = 100) -> DataFrame:
     """Batches of up to `size`: all full but the last of each task; a batch with a French document fails whole."""
-    actions = documents.actions(spark, sf).repartition(4, "_index")
+    parts = part_count(table(spark, sf, "documents"), 4)
+    # The documents of one index stay together as long as a task can hold them.
+    salt = F.pmod(F.xxhash64("_id"), F.lit(parts if parts > 4 else 1))
+    actions = documents.actions(spark, sf).repartition(parts, "_index", salt)
     stats = docs.bulk_write(actions, documents._Picky(), size, work_path(spark, "report"))
     small = F.count_if(F.col("docs") < size)
     return stats.agg(
