@@ -360,9 +360,10 @@ def sparse_topk(
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.explode(query_terms).alias("term", "_qw")).filter("_qw <> 0")
     q = stored(q, "query-terms")
-    d = corpus.select(F.col(doc_id).alias("doc_id"), F.col(doc_terms).alias("_terms")).filter(F.col("_terms").isNotNull())
+    d = corpus.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("_row"), F.col(doc_terms).alias("_terms")).filter(F.col("_terms").isNotNull())
     wanted = q.select("term").distinct()
-    postings = stored(d.select("doc_id", F.explode("_terms").alias("term", "_dw")).join(wanted, "term", "left_semi"), "postings")
+    # The corpus is read once: all that comes later takes the terms of documents from here.
+    postings = stored(d.select("doc_id", "_row", F.explode("_terms").alias("term", "_dw")).join(wanted, "term", "left_semi"), "postings")
     by_weight = Window.partitionBy("term").orderBy(F.desc("_dw"))
     best = postings.withColumn("_r", F.row_number().over(by_weight)).filter(F.col("_r") <= k)
     kth = best.groupBy("term").agg(F.max("_dw").alias("_most"), F.max("_r").alias("_n"), F.min("_dw").alias("_kth"))
@@ -391,7 +392,9 @@ def sparse_topk(
     limits = edge.join(rest, "query_id", "left").select("query_id", "_rest", F.coalesce("_more", F.lit(0.0)).alias("_more"), F.when(F.col("_n") >= k, F.col("_edge")).alias("_edge"))
     open_ = sums.join(limits, "query_id").filter(F.coalesce(F.col("_sum") + F.col("_more") + _MARGIN >= F.col("_edge"), F.lit(True)))
     done = open_.filter(F.col("_rest").isNull()).select("query_id", "doc_id", "_sum")
-    late = open_.filter(F.col("_rest").isNotNull()).join(d, "doc_id")
+    spared = postings.join(terms.filter("not _needed").select("term", F.lit(True).alias("_spared")).distinct(), "term", "left")
+    own = spared.groupBy("doc_id", "_row").agg(F.map_from_entries(F.collect_list(F.when(F.col("_spared"), F.struct("term", "_dw")))).alias("_terms"))
+    late = open_.filter(F.col("_rest").isNotNull()).join(own, "doc_id")
     added = F.aggregate("_rest", F.lit(0.0), lambda acc, x: acc + x["_qw"] * F.coalesce(F.try_element_at("_terms", x["term"]), F.lit(0.0)))
     found = done.unionByName(late.select("query_id", "doc_id", (F.col("_sum") + added).alias("_sum")))
     return _ranked(found.select("query_id", "doc_id", F.round("_sum", 9).alias("score")), k).select("query_id", "rank", "doc_id", "score")

@@ -76,8 +76,8 @@ def _hybrid_parts(spark: SparkSession, sf: str):
     path = work_path(spark, "terms")
     _doc_terms(spark, sf).write.parquet(path)
     terms = spark.read.parquet(path)
-    labelled = terms.join(docs.select("doc_id", "label"), "doc_id")
-    spread = labelled.select("label", F.explode(F.map_keys("terms")).alias("term")).groupBy("label", "term").agg(F.count("*").alias("n"))
+    labelled = terms.select("doc_id", F.map_keys("terms").alias("words")).join(docs.select("doc_id", "label"), "doc_id")
+    spread = labelled.select("label", F.explode("words").alias("term")).groupBy("label", "term").agg(F.count("*").alias("n"))
     top = spread.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "term"))).filter("r <= 8")
     entry = F.struct("term", (F.lit(5.0) - F.col("r") * 0.5).alias("w"))
     queries = top.groupBy(F.col("label").alias("query_id")).agg(F.map_from_entries(F.collect_list(entry)).alias("terms"))
