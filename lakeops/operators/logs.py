@@ -6,10 +6,11 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.ordered import running_max, with_position
+from lakeops.operators.ordered import _join
+from lakeops.session import stored
 
 # The pattern names used below, as published with the grok pattern library.
 GROK = {
@@ -203,19 +204,33 @@ def join_multiline(
     A line matching `start` begins a record; lines before the first one form a record of their own. With `max_lines`, later lines of a
     record are dropped, as the collector does, and `truncated` tells so. `block` numbers must rise with `order` inside a file:
     windows run per block, and one row per block carries the open record on, so a file may be of any size.
+
+    Lines are shuffled once, to their blocks, and joined there. Of the pieces made so, only those at the ends of blocks move again.
     """
-    placed = with_position(lines.select(path, block, order, line), [path], [order], "_pos", chunk=block)
-    begins = F.when(F.col(line).rlike(start), F.col("_pos"))
-    marked = running_max(placed, [path], [order], begins, "_start", chunk=block)
-    member = marked.withColumn("_start", F.coalesce("_start", F.lit(0)))
-    inside = F.lit(True) if max_lines is None else F.col("_pos") - F.col("_start") < max_lines
-    records = member.groupBy(path, F.col("_start").alias("first_line")).agg(
-        F.count_if(inside).alias("lines"),
-        F.count_if(~inside).alias("_over"),
-        F.array_sort(F.collect_list(F.when(inside, F.struct("_pos", F.col(line).alias("l"))))).alias("_all"),
+    rows = Window.partitionBy(path, block).orderBy(order)
+    placed = lines.select(path, block, order, line, F.row_number().over(rows).cast("bigint").alias("_row"))
+    begins = F.max(F.when(F.col(line).rlike(start), F.col("_row"))).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = placed.withColumn("_start", begins)
+    # A piece is the part of a record in one block; without `_start` it goes on with a record of the blocks before.
+    first = F.coalesce("_start", F.lit(1))
+    kept = F.lit(True) if max_lines is None else F.col("_row") - first < max_lines
+    texts = F.array_sort(F.collect_list(F.when(kept, F.struct("_row", F.col(line).alias("l")))))
+    pieces = placed.groupBy(path, block, "_start").agg(F.count("*").alias("_n"), F.transform(texts, lambda x: x["l"]).alias("_texts"))
+    pieces = stored(pieces, "log-pieces")
+    # One row per block. Written too, so that its size is known and the pieces need not move to meet it.
+    sizes = pieces.groupBy(path, block).agg(F.sum("_n").alias("_size"), F.max("_start").alias("_last"))
+    before = Window.partitionBy(path).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0)) - 1)
+    blocks = stored(blocks.withColumn("_open", F.coalesce(F.max(F.col("_base") + F.col("_last")).over(before), F.lit(0))), "log-blocks")
+    at = _join(pieces, blocks, [path, block]).withColumns(
+        {"first_line": F.coalesce(F.col("_base") + F.col("_start"), "_open"), "_at": F.col("_base") + first, "_whole": F.coalesce(F.col("_start") < F.col("_last"), F.lit(False))}
     )
-    message = F.array_join(F.transform("_all", lambda x: x["l"]), "\n").alias("message")
-    return records.select(path, "first_line", "lines", message, (F.col("_over") > 0).alias("truncated"))
+    left = at if max_lines is None else at.withColumn("_texts", F.slice("_texts", 1, F.greatest(F.lit(0), max_lines + F.col("first_line") - F.col("_at")).cast("int")))
+    parts = F.array_sort(F.collect_list(F.struct("_at", "_texts")))
+    split = left.filter(~F.col("_whole")).groupBy(path, "first_line").agg(F.sum("_n").alias("_n"), F.flatten(F.transform(parts, lambda x: x["_texts"])).alias("_texts"))
+    records = at.filter("_whole").select(path, "first_line", "_n", "_texts").unionByName(split)
+    count = F.col("_n") if max_lines is None else F.least("_n", F.lit(max_lines).cast("bigint"))
+    return records.select(path, "first_line", count.alias("lines"), F.array_join("_texts", "\n").alias("message"), (F.col("_n") > count).alias("truncated"))
 
 
 def cap_bytes(df: DataFrame, column: str = "message", limit: int = 10240) -> DataFrame:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from itertools import pairwise
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -44,6 +47,31 @@ def test_max_lines_drops_the_excess(spark):
     assert row["lines"] == 30 and not row["truncated"]
 
 
+def test_records_over_any_blocks(spark):
+    """Records that begin, go on and end in any block, files of their own for a null path, and no second move of whole records."""
+    rng, items, files = random.Random(3), [], {}
+    for path in ("a", "b", None):
+        block = 0
+        for no in range(120):
+            block += rng.random() < 0.3
+            line = rng.choice(["2024-01-01 x", "more", "", "z", None, "more"])
+            items.append((path, block, no, line))
+            files.setdefault(path, []).append(line)
+    rng.shuffle(items)
+    frame = spark.createDataFrame(items, "path string, block long, line_no long, line string").repartition(3)
+    for most in (None, 1, 3):
+        want = []
+        for path, texts in files.items():
+            starts = sorted({0, *(i for i, t in enumerate(texts) if t is not None and t.startswith("2024"))})
+            for i, j in pairwise([*starts, len(texts)]):
+                kept = texts[i:j][:most]
+                want.append((path, i, len(kept), "\n".join(t for t in kept if t is not None), most is not None and j - i > most))
+        got = logs.join_multiline(frame, max_lines=most)
+        moves = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+        assert len(moves) == 1  # of the pieces at the ends of blocks
+        assert sorted(rows(got), key=str) == sorted(want, key=str)
+
+
 def lines(spark, items):
     return spark.createDataFrame(items, "logs_topic string, logs_type string, message string")
 
