@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import bulk_sink, cdc, docs, metrics, sinks
 from lakeops.operators.tables import MergeOnReadTable, is_folder
-from lakeops.session import stored, table, work_path
+from lakeops.session import part_count, stored, table, work_path
 from lakeops.sources.readers import file_stream
 from lakeops.streaming import jobs, state
 from lakeops.workloads import change_data as cd
@@ -123,11 +123,13 @@ def merged_windows(spark: SparkSession, sf: str) -> DataFrame:
 def live_counts(spark: SparkSession, sf: str, files: int = 10) -> DataFrame:
     """Users and sums per event type over the live rows of a change stream, in ten batches in no order, over two starts."""
     root, folder = work_path(spark, "stream-live"), work_path(spark, "stream-files")
-    schema = table(spark, sf, "events").schema
+    events = table(spark, sf, "events")
+    # A batch of a large table comes in several files, which several tasks read.
+    each = part_count(events, 1, files * 4 * 1024 * 1024)
     for half in range(2):
-        mine = table(spark, sf, "events").filter(F.pmod(F.hash("event_id"), F.lit(2)) == half)
-        mine.repartition(files // 2, "event_id").write.mode("append").parquet(folder)
-        raw = cd.change_events(file_stream(spark, folder, "parquet", schema, max_files=1))
+        mine = events.filter(F.pmod(F.hash("event_id"), F.lit(2)) == half)
+        mine.repartition(files // 2 * each, "event_id").write.mode("append").parquet(folder)
+        raw = cd.change_events(file_stream(spark, folder, "parquet", events.schema, max_files=each))
         routed = cdc.route(cdc.parse_envelope(raw), "C").select("ts_ms", "action", cdc.payload().alias("d"))
         changes = cdc.decode(routed, "d", cd._PAYLOAD).withColumn("value", F.col("value").cast("decimal(20,6)"))
         state.start_live_counts(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+from decimal import Decimal
 
 import pyarrow as pa
 import pytest
@@ -46,6 +47,30 @@ def test_counts_in_any_order(spark):
     assert len(state._whole(spark, f"{root}/c")) == 2
 
 
+def test_keys_share_a_call(spark, monkeypatch):
+    """Many keys, null and odd ones too, cost few calls into Python state, and each keeps its own last change."""
+    calls, one = spark.sparkContext.accumulator(0), state._LiveRows.handleInputRows
+
+    def counted(self, key, rows, timerValues):  # noqa: N803
+        calls.add(1)
+        return one(self, key, rows, timerValues)
+
+    monkeypatch.setattr(state, "BUCKETS", 8)
+    monkeypatch.setattr(state._LiveRows, "handleInputRows", counted)
+    shape = "action string, ts int, a string, b double, n decimal(20,6)"
+    names = [(f"k{i}", float(i % 3)) for i in range(200)] + [(None, 1.0), ("k1", None), (None, None), ("k", float("nan")), ("k", -0.0)]
+    folder, root, last = work_path(spark, "in"), work_path(spark, "s"), {}
+    for at in range(2):
+        changes = [("delete" if (i + at) % 5 == 0 else "upsert", at, *name, Decimal(i + 1000 * at)) for i, name in enumerate(names)]
+        last = {i: c for i, c in enumerate(changes)}
+        spark.createDataFrame(changes, shape).coalesce(1).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, "parquet", shape, max_files=1)
+        state.start_live_counts(stream, ["a", "b"], ["ts"], ["action"], f"{root}/c", jobs.checkpoint_path(root, "c"), ["n"]).awaitTermination()
+        live = [c for c in last.values() if c[0] != "delete"]
+        assert [tuple(r) for r in state.live_counts(spark, f"{root}/c").collect()] == [("upsert", len(live), sum(c[4] for c in live))]
+    assert 0 < calls.value <= 2 * 8
+
+
 def line(at, event, text, no=0):
     body = text if text.startswith("{") else None
     return (at, event, no, text, body)
