@@ -69,6 +69,46 @@ def test_carries_and_rare_ranks():
         assert (back == ranks).all()
 
 
+def test_a_piece_is_encoded_once():
+    """Spellings that differ in case and in punctuation around them share their pieces."""
+    encoder = op.Encoder(public_tokenizers.path(op.VOCABULARY))
+    texts = ["tree Tree TREE tree. Tree, (TREE) tree! \u00c9t\u00e9 \u00e9t\u00e9 \u00c9T\u00c9."]
+    ids, _ = encoder.encode(pa.array(texts))
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
+    assert ids.tolist() == [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 2]
+    assert len(encoder.known) == 7  # two words, five marks
+
+
+@pytest.mark.parametrize("bits", [1, 20])
+def test_pieces_are_those_of_the_library(monkeypatch, bits):
+    monkeypatch.setattr(op, "_NAME_SLOTS", bits)  # many pieces share a slot
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(op.VOCABULARY))
+    rng = np.random.default_rng(3)
+    signs = [*"abzABZ019!?.,-_<>|/'\"# \t\n\x01\x1c\x85", *"\u00e9\u00c9\u00df\u00ff\u00d7\u00f7\u0130\u0131\u017f\u212a\u0301\u00f1\u4e2d\u0436\u00b2\u00aa", "<|endoftext|>", " ", " the ", "</w>", "'S"]
+    texts = ["".join(rng.choice(signs, int(n))) for n in rng.integers(0, 30, 1500)]
+    texts += ["x" * 70 + "a " + "x" * 70 + "b", "\u4e2d" * 40 + " " + "\u4e2d" * 41]
+    encoder = op.Encoder(public_tokenizers.path(op.VOCABULARY))
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for _ in range(2):
+        ids, counts = encoder.encode(pa.array(texts))
+        assert ids.tolist() == sum(wanted, []) and counts.tolist() == [len(w) for w in wanted]
+
+
+def test_a_worker_keeps_its_encoder():
+    path = public_tokenizers.path(op.VOCABULARY)
+    assert op.encoder_of(path) is op.encoder_of(path)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 3000, 1 << 16])
+def test_ranks_share_their_class(n):
+    ranks = op.Ranks(np.sort(np.random.default_rng(n).zipf(1.3, n).clip(max=10**6))[::-1])
+    assert (ranks.width > 0).all()
+    places = ranks.symbols * op._INNER + ranks.start[1:]
+    found = ranks.found()
+    assert (found[places] == np.arange(n)).all() and (found[places + ranks.width[1:] - 1] == np.arange(n)).all()
+    assert set(np.bincount(ranks.symbols, ranks.width[1:])) <= {0, op._INNER}
+
+
 def test_rows_of_one_id(spark):
     """Rows that share a doc_id are spread over the files by their texts."""
     docs = spark.range(0, 4000, numPartitions=4).selectExpr("7L as doc_id", "concat('word ', id) as text")
